@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import lookup_join
+
 
 def distribution(df: DataFrame, col: str, out: str = "n") -> DataFrame:
     """Rows per value without NULL, most frequent first."""
@@ -47,7 +49,7 @@ def funnel(df: DataFrame, source: str, outcome: Column, until_kept: int | None =
             .agg(F.max(rank).alias("_stop"), F.count("*").alias("_n"))
             .where(F.col("_n") == until_kept)
         )
-        tagged = tagged.join(last.select(source, "_stop"), source, "left").where(
+        tagged = lookup_join(tagged, last.select(source, "_stop"), source, "left").where(
             F.col("_stop").isNull() | (rank <= F.col("_stop"))
         )
     return tagged.groupBy(source, "outcome").agg(F.count("*").alias("n"))
