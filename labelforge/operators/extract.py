@@ -44,6 +44,25 @@ def page_link_counts(pages: DataFrame, html: str, keep: Sequence[str], exclude_t
     )
 
 
+def page_anchors(pages: DataFrame, html: str, keep: Sequence[str]) -> DataFrame:
+    """``(*keep, pos, href, text)``: every link of each page with its text."""
+    anchor = r"""(?is)<a\s(?:[^>]*\s)?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
+    markup = H.visible(html)
+    found = F.arrays_zip(
+        F.regexp_extract_all(markup, F.lit(anchor), F.lit(1)).alias("href"),
+        F.regexp_extract_all(markup, F.lit(anchor), F.lit(2)).alias("markup"),
+    )
+    return pages.select(*keep, F.posexplode(found).alias("pos", "a")).select(
+        *keep, "pos", "a.href", H.markup_text("a.markup").alias("text")
+    )
+
+
+def block_keyword_counts(html: Column | str, selector: Selector, terms: Sequence[str]) -> tuple[Column, Column]:
+    """How many elements a selector matches, and how many of their texts hold a keyword."""
+    texts = selector_texts(html, selector)
+    return F.size(texts), F.size(F.filter(texts, lambda t: any_term(t, terms)))
+
+
 def title_of(html: Column | str, site_suffix: str | None = None) -> Column:
     """Text of ``<h1>``, or of ``<title>`` where there is no ``<h1>``, without the site's name."""
     markup = H.visible(html)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from ..functions.html import ENTITIES, INVISIBLE, TAG, element_pattern
 from ..functions.text import KEY_CHARS, WS
 from ..functions.tokens import WORD_PATTERNS
 
@@ -60,3 +61,30 @@ def in_list(values: Sequence[str]) -> str:
 
 def values_table(values: Sequence[str], name: str) -> str:
     return f"(VALUES {', '.join(f'({lit(v)})' for v in values)}) AS v({name})"
+
+
+def visible(x: str) -> str:
+    return sub(x, INVISIBLE)
+
+
+def markup_text(x: str) -> str:
+    node = "n"
+    for name, char in ENTITIES:
+        node = f"replace({node}, {lit(name)}, {lit(char)})"
+    return f"array_to_string(list_transform(regexp_split_to_array({x}, {lit(TAG)}), lambda n: {strip(node)}), '')"
+
+
+def element_texts(x: str, *selector) -> str:
+    found = f"regexp_extract_all({visible(x)}, {lit(element_pattern(*selector))}, 1)"
+    return f"list_transform({found}, lambda m: {markup_text('m')})"
+
+
+def title_of(x: str) -> str:
+    h1, title = element_pattern("h1"), element_pattern("title")
+    y = visible(x)
+    return (
+        f"CASE WHEN regexp_matches({y}, {lit(h1)}) THEN {markup_text(f'regexp_extract({y}, {lit(h1)}, 1)')} "
+        f"ELSE {markup_text(f'regexp_extract({y}, {lit(title)}, 1)')} END"
+    )
+
+DOC_TITLE = "string_split(text, '. ')[1]"

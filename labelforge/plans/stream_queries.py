@@ -1 +1,86 @@
+"""Incremental ingest over the table files as landed files, and crawl progress."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text as X
+from ..operators.common import shared_dir
+from ..streaming import ingest, progress
+from . import sqltext as S
+from .page_queries import RECORDS_SQL, records
+from .registry import query, table
+from .text_queries import documents
+
+
+def landed(spark, sf, name):
+    schema = table(spark, sf, name).schema
+    return ingest.landed(spark, sf, schema, glob=f"{name}.parquet")
+
+
+@query(RECORDS_SQL)
+def stream_ingest(spark, sf):
+    work = shared_dir(spark, "stream-ingest")
+    ingest.append(landed(spark, sf, "pages"), records, f"{work}/out", f"{work}/progress")
+    return spark.read.parquet(f"{work}/out")
+
+
+URL, TITLE = S.title_key("substr(text, 1, 12)"), S.title_key("substr(text, 1, 8)")
+
+
+@query(f"""WITH k AS (SELECT doc_id, {URL} AS url, {TITLE} AS title FROM documents),
+u AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_id) = 1)
+SELECT doc_id, url, title FROM u QUALIFY row_number() OVER (PARTITION BY title ORDER BY doc_id) = 1""")
+def stream_dedup(spark, sf):
+    work = shared_dir(spark, "stream-dedup")
+    keyed = landed(spark, sf, "documents").select(
+        "doc_id",
+        X.normalize_title(F.substring("text", 1, 12), "key").alias("url"),
+        X.normalize_title(F.substring("text", 1, 8), "key").alias("title"),
+    )
+    ingest.append_first(keyed, ["url", "title"], ["doc_id"], f"{work}/out", f"{work}/progress")
+    return spark.read.parquet(f"{work}/out").drop("batch")
+
+
+@query(f"SELECT DISTINCT {URL} AS url FROM documents")
+def stream_dedup_state(spark, sf):
+    work = shared_dir(spark, "stream-distinct")
+    keyed = landed(spark, sf, "documents").select(
+        X.normalize_title(F.substring("text", 1, 12), "key").alias("url")
+    )
+    ingest.append_distinct(keyed, ["url"], f"{work}/out", f"{work}/progress")
+    return spark.read.parquet(f"{work}/out")
+
+
+@query("SELECT source, count(*) AS n FROM documents GROUP BY source")
+def stream_counts(spark, sf):
+    work = shared_dir(spark, "stream-counts")
+    ingest.running_counts(landed(spark, sf, "documents"), "source", f"{work}/out", f"{work}/progress")
+    return spark.read.parquet(f"{work}/out")
+
+
+@query("""SELECT conv_id, max(turn) + 1 AS next_page FROM conversations
+    WHERE conv_id NOT IN (SELECT conv_id FROM conversations WHERE role = 'system') GROUP BY conv_id""")
+def resume_points(spark, sf):
+    c = table(spark, sf, "conversations")
+    completed = c.where("role = 'system'").select("conv_id").distinct()
+    return progress.resume_points(c, "conv_id", "turn", completed)
+
+
+@query("""WITH t AS (SELECT source, count(*) AS n FROM documents GROUP BY source)
+SELECT source, c AS chunk_no, c * 20 AS start, least(20, n - c * 20) AS max_results
+FROM (SELECT source, n, unnest(range(0, (n + 19) // 20)) AS c FROM t)""")
+def crawl_worklist(spark, sf):
+    targets = documents(spark, sf).groupBy("source").agg(F.count("*").alias("n"))
+    return progress.chunk_worklist(targets, "source", "n", 20).withColumn("chunk_no", F.col("chunk_no").cast("bigint"))
+
+
+@query("""WITH p AS (SELECT conv_id, max(turn) AS first FROM conversations GROUP BY conv_id)
+SELECT conv_id, first + k AS page, CASE WHEN first + k > 1 THEN '/c/' || conv_id || '?page=' || (first + k) ELSE '/c/' || conv_id END AS page_url
+FROM p, (SELECT unnest(range(0, 8)) AS k)""")
+def page_worklist(spark, sf):
+    points = progress.resume_points(table(spark, sf, "conversations"), "conv_id", "turn")
+    categories = points.select(
+        "conv_id", F.concat(F.lit("/c/"), F.col("conv_id").cast("string")).alias("url"), (F.col("next_page") - 1).alias("first")
+    )
+    return progress.page_worklist(categories, "conv_id", "url", "first", 8, "%s?page=%d")

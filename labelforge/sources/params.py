@@ -11,9 +11,16 @@ from ..operators.common import stored
 from ..operators.models import Fitted
 from ..operators.score import LinearParams
 
-MODEL_SCHEMA = T.StructType.fromDDL(
-    "classes array<string>, vocabulary map<string, int>, idf array<double>, "
-    "coef array<array<double>>, intercept array<double>, ngram_range array<int>, sublinear_tf boolean"
+_DOUBLES = T.ArrayType(T.DoubleType())
+MODEL_SCHEMA = (
+    T.StructType()
+    .add("classes", T.ArrayType(T.StringType()))
+    .add("vocabulary", T.MapType(T.StringType(), T.IntegerType()))
+    .add("idf", _DOUBLES)
+    .add("coef", T.ArrayType(_DOUBLES))
+    .add("intercept", _DOUBLES)
+    .add("ngram_range", T.ArrayType(T.IntegerType()))
+    .add("sublinear_tf", "boolean")
 )
 
 

@@ -15,11 +15,15 @@ from ..operators.dedup import keep_first, keep_first_two_keys
 from ..operators.membership import drop_contained
 from ..operators.report import take_first
 
-FLAT_ITEM = T.StructType.fromDDL("title string, title_english string, synopsis string")
-NESTED_ITEM = T.StructType.fromDDL(
-    "attributes struct<canonicalTitle: string, titles: map<string, string>, synopsis: string>"
+FLAT_ITEM = T.StructType().add("title", "string").add("title_english", "string").add("synopsis", "string")
+NESTED_ITEM = T.StructType().add(
+    "attributes",
+    T.StructType()
+    .add("canonicalTitle", "string")
+    .add("titles", T.MapType(T.StringType(), T.StringType()))
+    .add("synopsis", "string"),
 )
-ENTRY = T.StructType.fromDDL("title string, summary string")
+ENTRY = T.StructType().add("title", "string").add("summary", "string")
 
 
 def parse_json_items(
