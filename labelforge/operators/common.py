@@ -44,6 +44,16 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Repartition a scan that has fewer splits than the session has cores.
+
+    A small table sits in one row group and would be tokenised on one core.  A large one
+    has splits for every core and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def lookup_join(
     big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:

@@ -81,9 +81,10 @@ def keep_first_two_keys(
     rank = F.struct(*[F.col(c) for c in order])
     rows = df.select(rank.alias("o"), clean(a).alias("a"), clean(b).alias("b"))
     keyless = F.col("a").isNull() & F.col("b").isNull()
-    (rows.where(~keyless).groupBy("a", "b").agg(F.min("o").alias("o"))
-        .write.parquet(f"{work}/open-0"))
-    rows.where(keyless).select("o").write.parquet(f"{work}/kept/round=0")
+    if blank_keys == "ignore":
+        rows.where(keyless).select("o").write.parquet(f"{work}/kept/round=0")
+        rows = rows.where(~keyless)
+    rows.groupBy("a", "b").agg(F.min("o").alias("o")).write.parquet(f"{work}/open-0")
 
     n = 0
     open_rows = spark.read.parquet(f"{work}/open-0")
@@ -106,6 +107,8 @@ def keep_first_two_keys(
             .write.parquet(f"{work}/open-{n}"))
         open_rows = spark.read.parquet(f"{work}/open-{n}")
 
+    if n == 0 and blank_keys == "collide":
+        return df.limit(0)
     kept = spark.read.schema(df.select(rank.alias("o")).schema).parquet(f"{work}/kept")
     return df.join(kept.select("o.*"), list(order), "left_semi")
 

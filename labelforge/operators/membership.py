@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 
 def signature_set(
     tables: Sequence[DataFrame], col: str, fn: Callable[[Column], Column], out: str = "sig",
@@ -80,10 +82,14 @@ def contained_signatures(probes: DataFrame, known: DataFrame, sig: str, min_len:
 def drop_contained(
     df: DataFrame, sig_cols: Sequence[str], known: DataFrame, known_sig: str, min_len: int = 6
 ) -> DataFrame:
-    """Rows of which no signature of ``min_len`` or more characters lies inside a known one."""
+    """Rows of which no signature of ``min_len`` or more characters lies inside a known one.
+
+    The distinct signatures and the hits among them are written, since several joins
+    read them and making them may be costly.
+    """
     known = known.select(F.col(known_sig).alias("sig"))
-    probes = reduce(DataFrame.unionByName, [df.select(F.col(c).alias("sig")) for c in sig_cols])
-    hits = contained_signatures(probes, known, "sig", min_len)
+    each = df.select(F.explode(F.array(*sig_cols)).alias("sig")).where(F.length("sig") >= min_len)
+    hits = stored(contained_signatures(stored(each.distinct(), "probes"), known, "sig", min_len), "hits")
     for c in sig_cols:
         df = df.join(hits.select(F.col("sig").alias(c)), c, "left_anti")
     return df

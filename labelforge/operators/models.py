@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 from .evaluate import accuracy, averages, category_f1, report
-from .features import fit_vocabulary, term_counts, tfidf, to_vectors
+from .features import term_counts, term_stats, tfidf, to_vectors, vocabulary
 from .score import LinearParams, score_counts
 from .split import class_weights, with_class_weight
 
@@ -30,6 +30,7 @@ class Features:
     weights: DataFrame
     vocab: DataFrame
     size: int
+    n_rows: int
     ngram_range: tuple[int, int]
     stop_words: list[str]
 
@@ -45,11 +46,12 @@ def build_features(
     """
     if counts is None:
         counts = stored(term_counts(train, doc, text, "train", stop_words, ngram_range, [label]), "counts")
-    vocab = stored(fit_vocabulary(train, counts, size), "vocab")
+    n_rows = train.count()
+    vocab = stored(vocabulary(term_stats(counts), n_rows, size), "vocab")
     weights = stored(tfidf(counts, vocab, doc, size, keep=[label]), "weights")
     n_terms = vocab.count()
     rows = stored(to_vectors(weights, train, doc, n_terms, keep=[label]), "vectors")
-    return Features(rows, weights, vocab, n_terms, ngram_range, list(stop_words))
+    return Features(rows, weights, vocab, n_terms, n_rows, ngram_range, list(stop_words))
 
 
 @dataclass
@@ -72,14 +74,20 @@ def _linear_params(feats: Features, classes: list[str], coef, intercept) -> Line
     )
 
 
+# A solver runs a job per step, so partitions much smaller than this only add tasks.
+ROWS_PER_TASK = 50_000
+
+
 def _weighted(feats: Features, label: str, factors: Mapping[str, float] | None) -> DataFrame:
+    """Training rows with their class weight, in partitions that suit an iterative solver."""
     weights = class_weights(feats.rows, label, factors)
-    return with_class_weight(feats.rows, label, weights)
+    rows = with_class_weight(feats.rows, label, weights)
+    return rows.coalesce(max(1, -(-feats.n_rows // ROWS_PER_TASK)))
 
 
 def fit_logreg(
     feats: Features, label: str, C: float = 1.0, factors: Mapping[str, float] | None = None,
-    max_iter: int = 1000,
+    max_iter: int = 1000, tol: float = 1e-4,
 ) -> Fitted:
     """Multinomial logistic regression with balanced class weights times ``factors``.
 
@@ -90,7 +98,7 @@ def fit_logreg(
     indexer = StringIndexer(inputCol=label, outputCol="y", stringOrderType="alphabetAsc").fit(rows)
     lr = LogisticRegression(
         featuresCol="features", labelCol="y", weightCol="class_weight", family="multinomial",
-        standardization=False, regParam=1.0 / (C * total), elasticNetParam=0.0, maxIter=max_iter,
+        standardization=False, regParam=1.0 / (C * total), elasticNetParam=0.0, maxIter=max_iter, tol=tol,
     ).fit(indexer.transform(rows))
     rows.unpersist()
     back = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=indexer.labels)
@@ -100,11 +108,13 @@ def fit_logreg(
     return Fitted(params, PipelineModel([lr, back]))
 
 
-def fit_ovr_svm(feats: Features, label: str, C: float = 1.0, max_iter: int = 1000) -> Fitted:
+def fit_ovr_svm(
+    feats: Features, label: str, C: float = 1.0, max_iter: int = 100, tol: float = 1e-4
+) -> Fitted:
     """One linear SVM per class against the rest.
 
     A class's own rows carry its balanced weight and the others weight 1.  Spark's loss
-    is the hinge.
+    is the hinge, and a step of its solver is a pass over all rows.
     """
     rows = _weighted(feats, label, None).persist()
     classes = [r[0] for r in rows.select(label).distinct().orderBy(label).collect()]
@@ -118,7 +128,7 @@ def fit_ovr_svm(feats: Features, label: str, C: float = 1.0, max_iter: int = 100
         total = one.agg(F.sum("w")).first()[0]
         m = LinearSVC(
             featuresCol="features", labelCol="y", weightCol="w", standardization=False,
-            regParam=1.0 / (C * total), maxIter=max_iter,
+            regParam=1.0 / (C * total), maxIter=max_iter, tol=tol,
         ).fit(one)
         coef.append(m.coefficients.toArray())
         intercept.append(m.intercept)
@@ -186,7 +196,7 @@ def describe(v: Mapping) -> str:
 def run_variants(
     train: DataFrame, test: DataFrame, doc: str, text: str, label: str,
     variants: Sequence[Mapping] = VARIANTS, stop_words: Sequence[str] = (),
-    categories: Sequence[str] = (), max_iter: int = 1000,
+    categories: Sequence[str] = (),
 ) -> DataFrame:
     """Fit each variant on one split; one row of metrics per variant.
 
@@ -212,9 +222,9 @@ def run_variants(
         if v["kind"] == "nb":
             fitted = fit_naive_bayes(feats[key], label, v["alpha"])
         elif v["kind"] == "svm":
-            fitted = fit_ovr_svm(feats[key], label, v["C"], max_iter)
+            fitted = fit_ovr_svm(feats[key], label, v["C"])
         else:
-            fitted = fit_logreg(feats[key], label, v["C"], max_iter=max_iter)
+            fitted = fit_logreg(feats[key], label, v["C"])
         predicted = score_counts(test_counts, fitted.params, doc).select(doc, "predicted_label")
         pairs = stored(test.select(doc, label).join(predicted, doc), "pairs")
         rep = report(pairs, label, "predicted_label")

@@ -8,7 +8,7 @@ from ..functions import tokens as K
 from ..operators import features
 from . import sqltext as S
 from .registry import query
-from .text_queries import documents
+from .text_queries import texts
 
 # A short stop list for the checked queries.
 STOP = ("the", "of", "and", "to", "in", "is", "der", "die", "und", "le", "la", "de", "el", "los", "que")
@@ -23,7 +23,7 @@ def _listed(mode: str, stop: bool = False) -> str:
 
 
 def _words(spark, sf, *args):
-    w = documents(spark, sf).select("doc_id", K.tokens("text", *args).alias("w"))
+    w = texts(spark, sf).select("doc_id", K.tokens("text", *args).alias("w"))
     return w.select("doc_id", F.size("w").cast("bigint").alias("n"), F.array_join("w", " ").alias("words"))
 
 
@@ -59,7 +59,7 @@ def word_ngrams(spark, sf):
 
 
 def _counts(spark, sf, ngram_range=(1, 2), stop=STOP):
-    return features.term_counts(documents(spark, sf), "doc_id", "text", "train", stop, ngram_range)
+    return features.term_counts(texts(spark, sf), "doc_id", "text", "train", stop, ngram_range)
 
 
 ONES = f"SELECT doc_id, unnest({S.words('text')}) AS term FROM documents"
@@ -90,7 +90,7 @@ def top_vocabulary(spark, sf):
 
 @query(f"WITH {vocab_sql(grams_sql(), VOCAB)} SELECT term, feature_idx, df, round(idf, 6) AS idf FROM vocab")
 def vocabulary_index(spark, sf):
-    d = documents(spark, sf)
+    d = texts(spark, sf)
     v = features.fit_vocabulary(d, _counts(spark, sf), VOCAB)
     return v.select("term", F.col("feature_idx").cast("bigint").alias("feature_idx"), "df", F.round("idf", 6).alias("idf"))
 
@@ -107,6 +107,6 @@ weights AS (SELECT doc_id, feature_idx, term, raw / sqrt(sum(raw * raw) OVER (PA
 @query(f"WITH {vocab_sql(grams_sql(), VOCAB)}, {WEIGHTS_SQL} SELECT doc_id, feature_idx, round(weight, 6) AS weight FROM weights")
 def tfidf_l2(spark, sf):
     counts = _counts(spark, sf)
-    vocab = features.fit_vocabulary(documents(spark, sf), counts, VOCAB)
+    vocab = features.fit_vocabulary(texts(spark, sf), counts, VOCAB)
     w = features.tfidf(counts, vocab, "doc_id", VOCAB)
     return w.select("doc_id", F.col("feature_idx").cast("bigint").alias("feature_idx"), F.round("weight", 6).alias("weight"))

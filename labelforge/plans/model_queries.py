@@ -8,7 +8,7 @@ from ..operators import evaluate, features, models, rules, score, split
 from . import sqltext as S
 from .feature_queries import STOP, WEIGHTS_SQL, grams_sql, vocab_sql
 from .registry import query
-from .text_queries import documents
+from .text_queries import documents, texts
 
 NB_TERMS = 1000
 SCORE_TERMS = 500
@@ -45,7 +45,7 @@ def class_weights(spark, sf):
 def pairs(spark, sf):
     """True language and the one a few stop words suggest."""
     guess = F.coalesce(rules.pattern_label("text", GUESS), F.lit("es"))
-    return documents(spark, sf).select("doc_id", F.col("lang").alias("truth"), guess.alias("pred"))
+    return texts(spark, sf).select("doc_id", F.col("lang").alias("truth"), guess.alias("pred"))
 
 
 PAIRS_SQL = f"pairs AS (SELECT doc_id, lang AS truth, {S.case_patterns('text', GUESS, chr(39) + 'es' + chr(39))} AS pred FROM documents)"
@@ -102,7 +102,7 @@ def target_category_f1(spark, sf):
 
 def formula_params(spark, sf) -> score.LinearParams:
     """Parameters over the top terms with coefficients from a formula."""
-    d = documents(spark, sf)
+    d = texts(spark, sf)
     counts = features.term_counts(d, "doc_id", "text", "export", (), (1, 2))
     coef = F.array(*[((c * 31 + F.col("feature_idx") * 17) % 13 - 6) / 10.0 for c in range(len(CLASSES))])
     terms = features.fit_vocabulary(d, counts, SCORE_TERMS).withColumn("coef", coef)
@@ -119,21 +119,21 @@ probs AS (SELECT *, exp(s - max(s) OVER w) / sum(exp(s)) OVER w * exp(max(s) OVE
 @query(SCORE_SQL + """ SELECT doc_id, name AS predicted_label, round(p, 6) AS confidence FROM probs
     QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(p, 12) DESC, c) = 1""")
 def score_linear_softmax(spark, sf):
-    scored = score.score(documents(spark, sf), formula_params(spark, sf), "doc_id", "text")
+    scored = score.score(texts(spark, sf), formula_params(spark, sf), "doc_id", "text")
     return scored.select("doc_id", "predicted_label", F.round("confidence", 6).alias("confidence"))
 
 
 @query(SCORE_SQL + " SELECT doc_id, name AS label, round(p, 6) AS probability FROM probs")
 def score_probability_map(spark, sf):
     params = formula_params(spark, sf)
-    scored = score.probability_map(score.score(documents(spark, sf), params, "doc_id", "text"), params)
+    scored = score.probability_map(score.score(texts(spark, sf), params, "doc_id", "text"), params)
     return scored.select("doc_id", F.explode("probabilities").alias("label", "p")).select(
         "doc_id", "label", F.round("p", 6).alias("probability")
     )
 
 
 def split_documents(spark, sf):
-    whole = split.stratified_split(documents(spark, sf).select("doc_id", "lang", "text"), "lang", "doc_id")
+    whole = split.stratified_split(texts(spark, sf).select("doc_id", "lang", "text"), "lang", "doc_id")
     return whole.where("part = 'train'").drop("part"), whole.where("part = 'test'").drop("part")
 
 

@@ -8,12 +8,13 @@ from pyspark.sql import types as T
 from ..functions import html as H
 from ..functions import text as X
 from ..operators import extract
+from ..operators.common import spread
 from ..operators.rules import keyword_audit
 from ..sources import payloads
 from . import sqltext as S
 from .registry import query, table
 from .set_queries import DOC_SIG, TWO_KEYS_SQL
-from .text_queries import NOTES, documents
+from .text_queries import NOTES, texts
 
 BASE = "https://pages.example.org"
 LINK = "^/[A-Za-z]"
@@ -26,7 +27,7 @@ SUFFIX = r"\.$"
 
 
 def pages(spark, sf):
-    return table(spark, sf, "pages")
+    return spread(table(spark, sf, "pages"), "page_id")
 
 
 HREF = r"""(?i)<a\s(?:[^>]*\s)?href\s*=\s*["']([^"']*)["']"""
@@ -171,7 +172,7 @@ def feed(spark, sf):
     """Documents as feed files of one entry each, written as XML text."""
     entry = F.struct(X.title_prefix("text").alias("title"), F.col("text").alias("summary"))
     xml = F.to_xml(F.struct(F.array(entry).alias("entry")), {"rowTag": "feed"})
-    return documents(spark, sf).select("doc_id", xml.alias("xml"))
+    return texts(spark, sf).select("doc_id", xml.alias("xml"))
 
 
 @query(f"SELECT doc_id, {S.collapse(S.DOC_TITLE)} AS title, {S.collapse('text')} AS summary FROM documents")
@@ -219,7 +220,7 @@ def items_to_records(spark, sf):
         F.col("text").alias("synopsis"),
     )
     payload = F.to_json(F.struct(F.array(F.struct(attributes.alias("attributes"))).alias("data")))
-    landed = documents(spark, sf).select("doc_id", payload.alias("payload"))
+    landed = texts(spark, sf).select("doc_id", payload.alias("payload"))
     items = payloads.nested_titles(payloads.parse_json_items(landed, "payload", payloads.NESTED_ITEM, ["doc_id"]))
     known = table(spark, sf, "benchmark").select(X.alnum_signature("text", 100).alias("sig"))
     return payloads.items_to_records(items, known, "sig", ["doc_id"], "items", target=490, notes=NOTES)

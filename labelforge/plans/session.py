@@ -14,6 +14,8 @@ def local_session(cpus: str | int = 8, app: str = "labelforge") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # Recording the Python call site of every expression costs round trips to the JVM.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import dedup, report, rules
+from ..operators.common import spread
 from ..sources.files import null_tokens as null_out
 from . import sqltext as S
 from .registry import query, table
@@ -35,6 +36,11 @@ def documents(spark, sf):
     return table(spark, sf, "documents")
 
 
+def texts(spark, sf):
+    """Documents over all cores, for queries that work on every word."""
+    return spread(documents(spark, sf), "doc_id")
+
+
 @query(f"""SELECT doc_id, n_chars,
     CASE WHEN lang IN {S.in_list(X.NA_TOKENS + EXTRA_NA)} THEN NULL ELSE lang END AS lang,
     CASE WHEN source IN {S.in_list(X.NA_TOKENS + EXTRA_NA)} THEN NULL ELSE source END AS source
@@ -95,7 +101,7 @@ def _text_query(name, column, expression, source="documents", key="doc_id"):
     """Register one normaliser over every row of a table."""
     @query(f"SELECT {key}, {expression} AS out FROM {source}", name)
     def run(spark, sf):
-        return table(spark, sf, source).select(key, column().alias("out"))
+        return spread(table(spark, sf, source), key).select(key, column().alias("out"))
 
 
 _text_query("strip_ws", lambda: X.strip_ws("text"), S.strip("text"))
@@ -186,7 +192,7 @@ SELECT label, count(*) AS n, sum(length(text))::BIGINT AS chars FROM firsts WHER
 @query(LABEL_ITEMS_SQL)
 def label_items(spark, sf):
     """Assemble, label by tags and then patterns, drop exact copies, count per label."""
-    d = documents(spark, sf)
+    d = texts(spark, sf)
     parts = tags(spark, sf).select((F.col("p_partkey") / 2).alias("half"), "tags").where("half = floor(half) AND half % 3 = 0")
     items = d.join(parts, F.col("doc_id") == F.col("half").cast("bigint"), "left").select(
         "doc_id", "tags", X.assemble_text(["source", "text"]).alias("text")

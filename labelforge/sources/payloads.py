@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..functions.text import (
     SOURCE_NOTES, alnum_signature, assemble_text, collapse_ws, first_nonblank, strip_patterns,
 )
+from ..operators.common import stored
 from ..operators.dedup import keep_first, keep_first_two_keys
 from ..operators.membership import drop_contained
 from ..operators.report import take_first
@@ -81,12 +82,15 @@ def items_to_records(
     item has one of its signatures.  ``target`` takes the first rows in order.
     """
     good = clean_items(items, notes).where(F.length("clean") >= min_len)
-    good = drop_contained(good, ["sig_a", "sig_b"], known, known_sig)
-    good = keep_first_two_keys(good, "sig_a", "sig_b", order)
-    records = good.select(
+    # Decide on narrow rows of signatures; the texts are read again for the kept items only.
+    keys = stored(good.select(*order, "sig_a", "sig_b"), "signatures")
+    fresh = drop_contained(keys, ["sig_a", "sig_b"], known, known_sig)
+    kept = keep_first_two_keys(stored(fresh, "fresh"), "sig_a", "sig_b", order).select(*order)
+    if target is not None:
+        kept = take_first(kept, order, target)
+    return good.join(kept, list(order), "left_semi").select(
         *order, F.concat("shown_title", F.lit(". "), "clean").alias("text"), F.lit(label).alias("label")
     )
-    return take_first(records, order, target) if target is not None else records
 
 
 def entries_to_records(
