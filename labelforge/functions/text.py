@@ -15,6 +15,14 @@ WS = (
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
 
+# The same characters as a string.
+WS_CHARS = "".join(
+    chr(c)
+    for lo, hi in ((0x9, 0xD), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+                   (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000))
+    for c in range(lo, hi + 1)
+)
+
 # Letters a bilingual title key keeps (ASCII letters, digits, Bengali block).
 KEY_CHARS = r"a-z0-9\x{0980}-\x{09FF}"
 
@@ -33,13 +41,17 @@ def _col(c: Column | str) -> Column:
 
 
 def strip_ws(c: Column | str) -> Column:
-    """Remove surrounding white space of any kind; ``trim`` would take spaces only."""
-    return F.regexp_replace(_col(c), rf"^{WS}+|{WS}+\z", "")
+    """Remove surrounding white space of any kind; plain ``trim`` would take spaces only.
+
+    Trimming looks at the ends alone, where a pattern would search the whole text.
+    """
+    return F.btrim(_col(c), F.lit(WS_CHARS))
 
 
 def collapse_ws(c: Column | str) -> Column:
     """Turn each run of white space into one space and strip the ends."""
-    return strip_ws(F.regexp_replace(_col(c), rf"{WS}+", " "))
+    spaces = F.translate(_col(c), WS_CHARS, " " * len(WS_CHARS))
+    return F.btrim(F.regexp_replace(spaces, " {2,}", " "), F.lit(" "))
 
 
 def alnum_signature(c: Column | str, prefix: int | None = None) -> Column:
@@ -50,7 +62,7 @@ def alnum_signature(c: Column | str, prefix: int | None = None) -> Column:
     c = _col(c)
     if prefix is not None:
         c = F.substring(strip_ws(c), 1, prefix)
-    return F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]", "")
+    return F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]+", "")
 
 
 def normalize_title(c: Column | str, style: str = "suffix", drop_words: Sequence[str] = ()) -> Column:
@@ -70,7 +82,7 @@ def normalize_title(c: Column | str, style: str = "suffix", drop_words: Sequence
             c = F.regexp_replace(c, any_of(drop_words), "")
     elif style != "key":
         raise ValueError(f"unknown title style {style!r}")
-    return F.regexp_replace(c, f"[^{KEY_CHARS}]", "")
+    return F.regexp_replace(c, f"[^{KEY_CHARS}]+", "")
 
 
 def fallback_key(title: Column | str, text: Column | str, n: int = 40, drop_words: Sequence[str] = ()) -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import lookup_join, stored
 
 
 def signature_set(
@@ -68,7 +68,7 @@ def contained_signatures(probes: DataFrame, known: DataFrame, sig: str, min_len:
         )
         .select("s.*")
     )
-    cut = tails.join(lengths, "gram").select(
+    cut = lookup_join(tails, lengths, "gram").select(
         F.explode(
             F.transform(
                 F.filter("lens", lambda n: n <= F.length("tail")),

@@ -8,14 +8,14 @@ from ..functions import text as X
 from ..operators import dedup, membership, report
 from . import sqltext as S
 from .registry import query, table
-from .text_queries import documents
+from .text_queries import texts
 
 RANKED = "CAST(substr(source, 4) AS INT)"
 
 
 def ranked(spark, sf):
     """Documents as a union of their sources: rank is the source's number."""
-    return documents(spark, sf).select(
+    return texts(spark, sf).select(
         F.expr("CAST(substr(source, 4) AS INT)").alias("source_rank"), F.col("doc_id").alias("row_id"),
         "text", "lang", "source",
     )
@@ -30,7 +30,7 @@ def dedup_exact_first(spark, sf):
 @query("""SELECT doc_id, title FROM (SELECT doc_id, string_split(text, '. ')[1] AS title FROM documents)
     QUALIFY row_number() OVER (PARTITION BY title ORDER BY doc_id) = 1""")
 def dedup_title_first(spark, sf):
-    d = documents(spark, sf).select("doc_id", X.title_prefix("text").alias("title"))
+    d = texts(spark, sf).select("doc_id", X.title_prefix("text").alias("title"))
     return dedup.keep_first(d, "title", ["doc_id"])
 
 
@@ -56,7 +56,7 @@ KEY30 = S.title_key("substr(text, 1, 30)")
 @query(f"""SELECT doc_id, key FROM (SELECT doc_id, {KEY30} AS key FROM documents) WHERE key <> ''
     QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id) = 1""")
 def dedup_key_nonblank(spark, sf):
-    d = documents(spark, sf).select("doc_id", X.normalize_title(F.substring("text", 1, 30), "key").alias("key"))
+    d = texts(spark, sf).select("doc_id", X.normalize_title(F.substring("text", 1, 30), "key").alias("key"))
     return dedup.keep_first(d, "key", ["doc_id"], drop_blank=True)
 
 
@@ -89,7 +89,7 @@ TWO_KEYS_SQL = TWO_KEYS_SQL.replace(
 def dedup_two_key(spark, sf):
     """Keys are the signatures of the first and second word, so long chains form."""
     words = F.split("text", " ")
-    d = documents(spark, sf).select(
+    d = texts(spark, sf).select(
         "doc_id",
         X.alnum_signature(F.try_element_at(words, F.lit(1))).alias("a"),
         X.alnum_signature(F.try_element_at(words, F.lit(2))).alias("b"),
@@ -111,7 +111,7 @@ def first_category_wins(spark, sf):
 @query("""SELECT count(*) AS rows_before, count(DISTINCT text) AS rows_after,
     count(*) - count(DISTINCT text) AS rows_dropped FROM documents""")
 def dedup_metrics(spark, sf):
-    return dedup.dedup_metrics(documents(spark, sf).select("text"), "text")
+    return dedup.dedup_metrics(texts(spark, sf).select("text"), "text")
 
 
 DOC_SIG = S.alnum(f"substr({S.strip('text')}, 1, 100)")
@@ -133,7 +133,7 @@ def anti_join_titles(spark, sf):
     def title(c):
         return X.normalize_title(X.title_prefix(c), "suffix")
 
-    known = membership.signature_set([documents(spark, sf).select("text")], "text", title, "title", drop_blank=False)
+    known = membership.signature_set([texts(spark, sf).select("text")], "text", title, "title", drop_blank=False)
     new = table(spark, sf, "conversations").select("conv_id", "turn", title(F.col("text")).alias("title"))
     return membership.drop_known(new, known, "title")
 
@@ -158,7 +158,7 @@ hit AS (SELECT p.sig FROM probes p WHERE length(p.sig) > 5 AND EXISTS (SELECT 1
 SELECT conv_id, turn, sig_a, sig_b FROM cand
 WHERE sig_a NOT IN (SELECT sig FROM hit) AND sig_b NOT IN (SELECT sig FROM hit)""")
 def containment_anti_join(spark, sf):
-    known = documents(spark, sf).select(X.alnum_signature("text", 100).alias("sig"))
+    known = texts(spark, sf).select(X.alnum_signature("text", 100).alias("sig"))
     cand = table(spark, sf, "conversations").select(
         "conv_id", "turn",
         X.alnum_signature(F.substring("text", 1, 14)).alias("sig_a"),
@@ -181,7 +181,7 @@ def semi_join_overlap(spark, sf):
 SELECT doc_id FROM p, n WHERE n.n >= 50 UNION ALL
 SELECT doc_id FROM documents, n WHERE n.n < 50 AND n_chars > 2000""")
 def source_failover(spark, sf):
-    d = documents(spark, sf)
+    d = texts(spark, sf)
     return report.failover(
         d.where("n_chars > 20000").select("doc_id"), d.where("n_chars > 2000").select("doc_id"), 50
     )

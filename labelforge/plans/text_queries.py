@@ -55,7 +55,7 @@ def null_tokens(spark, sf):
     {S.strip(f"coalesce({S.strip('source')}, '') || '. ' || coalesce({S.strip('text')}, '')")} AS with_stop
     FROM documents""")
 def assemble_text(spark, sf):
-    return documents(spark, sf).select(
+    return texts(spark, sf).select(
         "doc_id",
         X.assemble_text(["source", "text"]).alias("with_space"),
         X.assemble_text(["source", "text"], ". ").alias("with_stop"),
@@ -64,14 +64,14 @@ def assemble_text(spark, sf):
 
 @query(f"SELECT doc_id, length(text) AS n FROM documents WHERE length({S.strip('text')}) > 0")
 def filter_nonempty(spark, sf):
-    return documents(spark, sf).where(F.length(X.strip_ws("text")) > 0).select(
+    return texts(spark, sf).where(F.length(X.strip_ws("text")) > 0).select(
         "doc_id", F.length("text").cast("bigint").alias("n")
     )
 
 
 @query(f"SELECT doc_id, length({S.collapse('text')}) AS n FROM documents WHERE length({S.collapse('text')}) >= 500")
 def filter_min_length(spark, sf):
-    d = documents(spark, sf).select("doc_id", F.length(X.collapse_ws("text")).cast("bigint").alias("n"))
+    d = texts(spark, sf).select("doc_id", F.length(X.collapse_ws("text")).cast("bigint").alias("n"))
     return d.where("n >= 500")
 
 
@@ -136,7 +136,7 @@ _text_query(
 @query(f"""SELECT doc_id, {S.alnum(f"substr({S.strip('text')}, 1, 100)")} AS sig FROM documents
     WHERE {S.alnum(f"substr({S.strip('text')}, 1, 100)")} <> ''""")
 def prefix_signature(spark, sf):
-    return documents(spark, sf).select("doc_id", X.alnum_signature("text", 100).alias("sig")).where("sig <> ''")
+    return texts(spark, sf).select("doc_id", X.alnum_signature("text", 100).alias("sig")).where("sig <> ''")
 
 
 def tags(spark, sf):
@@ -174,7 +174,7 @@ def tag_table_label(spark, sf):
 
 @query(f"SELECT doc_id, {S.case_patterns('text', TEXT_RULES, 'NULL')} AS label FROM documents")
 def regex_fallback_label(spark, sf):
-    return rules.label_by_patterns(documents(spark, sf), "text", TEXT_RULES).select("doc_id", "label")
+    return rules.label_by_patterns(texts(spark, sf), "text", TEXT_RULES).select("doc_id", "label")
 
 
 LABEL_ITEMS_SQL = f"""
@@ -206,7 +206,7 @@ def label_items(spark, sf):
 
 @query(f"SELECT doc_id, regexp_matches(lower(source || ' ' || text), '{'|'.join(MARKERS)}') AS flag FROM documents")
 def any_term_flag(spark, sf):
-    return documents(spark, sf).select("doc_id", X.any_term(F.concat_ws(" ", "source", "text"), MARKERS).alias("flag"))
+    return texts(spark, sf).select("doc_id", X.any_term(F.concat_ws(" ", "source", "text"), MARKERS).alias("flag"))
 
 
 @query("""SELECT p_partkey, CASE WHEN p_type = 'PROMO' THEN
@@ -255,7 +255,7 @@ SELECT lang, outcome, count(*) AS n FROM numbered
 WHERE upto < 90 OR (upto = 90 AND outcome = 'kept') GROUP BY lang, outcome""")
 def ingest_funnel(spark, sf):
     bad = table(spark, sf, "labels").where("quality = 0").select("doc_id", F.lit(True).alias("bad"))
-    d = documents(spark, sf).select("doc_id", "lang", F.length(X.collapse_ws("text")).alias("n_clean"))
+    d = texts(spark, sf).select("doc_id", "lang", F.length(X.collapse_ws("text")).alias("n_clean"))
     outcome = F.when(F.col("n_clean") < 500, SHORT).when(F.col("bad"), KNOWN).otherwise(KEPT)
     return report.funnel(d.join(bad, "doc_id", "left"), "lang", outcome, until_kept=90, order=["doc_id"])
 
@@ -278,7 +278,7 @@ def cap_per_category(spark, sf):
     FROM (SELECT doc_id, string_split(text, '. ') AS s FROM documents)""")
 def longest_candidate(spark, sf):
     sentences = F.split(F.col("text"), r"\. ")
-    return documents(spark, sf).select("doc_id", report.longest(sentences).alias("longest"))
+    return texts(spark, sf).select("doc_id", report.longest(sentences).alias("longest"))
 
 
 @query("""SELECT source, avg_chars, round(avg_chars - first_value(avg_chars) OVER (ORDER BY source), 6) AS delta
