@@ -196,7 +196,7 @@ def describe(v: Mapping) -> str:
 def run_variants(
     train: DataFrame, test: DataFrame, doc: str, text: str, label: str,
     variants: Sequence[Mapping] = VARIANTS, stop_words: Sequence[str] = (),
-    categories: Sequence[str] = (),
+    categories: Sequence[str] = (), svm_max_iter: int = 100,
 ) -> DataFrame:
     """Fit each variant on one split; one row of metrics per variant.
 
@@ -222,7 +222,7 @@ def run_variants(
         if v["kind"] == "nb":
             fitted = fit_naive_bayes(feats[key], label, v["alpha"])
         elif v["kind"] == "svm":
-            fitted = fit_ovr_svm(feats[key], label, v["C"])
+            fitted = fit_ovr_svm(feats[key], label, v["C"], svm_max_iter)
         else:
             fitted = fit_logreg(feats[key], label, v["C"])
         predicted = score_counts(test_counts, fitted.params, doc).select(doc, "predicted_label")
