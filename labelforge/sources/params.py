@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,12 +33,14 @@ def _in_index_order(params: LinearParams) -> DataFrame:
 
 def model_document(params: LinearParams) -> DataFrame:
     """The one-row model document: vocabulary, idf, coefficients by class, intercepts."""
-    k = len(params.classes)
+    def row(c: int) -> Column:
+        return F.transform("t.coef", lambda per_class: per_class[c])
+
     return _in_index_order(params).select(
         F.array(*map(F.lit, params.classes)).alias("classes"),
         F.map_from_arrays(F.col("t.term"), F.col("t.feature_idx")).alias("vocabulary"),
         F.col("t.idf").alias("idf"),
-        F.array(*[F.transform("t", lambda r, c=c: r["coef"][c]) for c in range(k)]).alias("coef"),
+        F.array(*[row(c) for c in range(len(params.classes))]).alias("coef"),
         F.array(*[F.lit(float(b)) for b in params.intercept]).alias("intercept"),
         F.array(*[F.lit(n) for n in params.ngram_range]).alias("ngram_range"),
         F.lit(params.sublinear_tf).alias("sublinear_tf"),
