@@ -10,6 +10,19 @@ from pyspark.sql import functions as F
 from .common import lookup_join
 
 
+def cap_per_group(df: DataFrame, group: str, order: Sequence[str], k: int) -> DataFrame:
+    """The first ``k`` rows of each group.
+
+    Up to the session's group-limit threshold each task sends at most ``k`` rows of a
+    group.  Beyond it a whole group would meet in one task, so that is refused.
+    """
+    setting = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if k > int(df.sparkSession.conf.get(setting)):
+        raise ValueError(f"raise {setting} to {k} or more, so that tasks send only the first rows")
+    w = Window.partitionBy(group).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+
+
 def distribution(df: DataFrame, col: str, out: str = "n") -> DataFrame:
     """Rows per value without NULL, most frequent first."""
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias(out))
@@ -41,10 +54,9 @@ def funnel(df: DataFrame, source: str, outcome: Column, until_kept: int | None =
     tagged = df.withColumn("outcome", outcome)
     if until_kept is not None:
         rank = F.struct(*[F.col(c) for c in order])
-        w = Window.partitionBy(source).orderBy(*order)
+        kept = tagged.where(F.col("outcome") == "kept").select(source, *order)
         last = (
-            tagged.where(F.col("outcome") == "kept").select(source, *order)
-            .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= until_kept)
+            cap_per_group(kept, source, order, until_kept)
             .groupBy(source)
             .agg(F.max(rank).alias("_stop"), F.count("*").alias("_n"))
             .where(F.col("_n") == until_kept)
@@ -60,12 +72,6 @@ def take_first(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def cap_per_group(df: DataFrame, group: str, order: Sequence[str], k: int) -> DataFrame:
-    """The first ``k`` rows of each group; each task sends at most ``k`` per group."""
-    w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
-
-
 def longest(candidates: Column | str) -> Column:
     """The longest string of an array, the first one on a tie; ``""`` if there is none."""
     c = F.col(candidates) if isinstance(candidates, str) else candidates
