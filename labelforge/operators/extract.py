@@ -1,7 +1,9 @@
 """Links, titles, blocks and records from landed HTML pages.
 
-The native forms run inside the JVM and read flat markup.  :func:`page_parts_exact`
-follows the nesting with the standard library's parser, in Arrow batches of pages.
+The native forms run inside the JVM and read flat markup.  Those that read text expect
+:func:`visible_pages`, so that scripts and comments are cut out once per page.
+:func:`page_parts_exact` follows the nesting with the standard library's parser, in
+Arrow batches of pages.
 """
 
 from __future__ import annotations
@@ -23,6 +25,11 @@ from .rules import split_category
 Selector = tuple  # (tag, attr or None, value or None, contains)
 
 
+def visible_pages(pages: DataFrame, html: str) -> DataFrame:
+    """Replace each page by its markup without scripts, styles, templates and comments."""
+    return pages.withColumn(html, H.visible(html))
+
+
 def page_links(
     pages: DataFrame, html: str, pattern: str, base: str | Column, keep: Sequence[str],
     exclude_tags: Sequence[str] = (),
@@ -47,10 +54,9 @@ def page_link_counts(pages: DataFrame, html: str, keep: Sequence[str], exclude_t
 def page_anchors(pages: DataFrame, html: str, keep: Sequence[str]) -> DataFrame:
     """``(*keep, pos, href, text)``: every link of each page with its text."""
     anchor = r"""(?is)<a\s(?:[^>]*\s)?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
-    markup = H.visible(html)
     found = F.arrays_zip(
-        F.regexp_extract_all(markup, F.lit(anchor), F.lit(1)).alias("href"),
-        F.regexp_extract_all(markup, F.lit(anchor), F.lit(2)).alias("markup"),
+        F.regexp_extract_all(html, F.lit(anchor), F.lit(1)).alias("href"),
+        F.regexp_extract_all(html, F.lit(anchor), F.lit(2)).alias("markup"),
     )
     return pages.select(*keep, F.posexplode(found).alias("pos", "a")).select(
         *keep, "pos", "a.href", H.markup_text("a.markup").alias("text")
@@ -65,21 +71,20 @@ def block_keyword_counts(html: Column | str, selector: Selector, terms: Sequence
 
 def title_of(html: Column | str, site_suffix: str | None = None) -> Column:
     """Text of ``<h1>``, or of ``<title>`` where there is no ``<h1>``, without the site's name."""
-    markup = H.visible(html)
-    h1 = F.try_element_at(H.elements(markup, H.element_pattern("h1")), F.lit(1))
-    title = F.try_element_at(H.elements(markup, H.element_pattern("title")), F.lit(1))
+    h1 = F.try_element_at(H.elements(html, H.element_pattern("h1")), F.lit(1))
+    title = F.try_element_at(H.elements(html, H.element_pattern("title")), F.lit(1))
     text = H.markup_text(F.coalesce(h1, title, F.lit("")))
     return strip_ws(F.regexp_replace(text, site_suffix, "")) if site_suffix else text
 
 
 def page_text(html: Column | str) -> Column:
     """Text of the whole page, each text node stripped."""
-    return H.markup_text(H.visible(html))
+    return H.markup_text(F.coalesce(F.col(html) if isinstance(html, str) else html, F.lit("")))
 
 
 def selector_texts(html: Column | str, selector: Selector) -> Column:
     """Texts of all elements that a ``(tag, attr, value, contains)`` selector matches."""
-    found = H.elements(H.visible(html), H.element_pattern(*selector))
+    found = H.elements(html, H.element_pattern(*selector))
     return F.transform(found, lambda m: H.markup_text(m))
 
 
@@ -138,12 +143,17 @@ def pages_to_records(
 ) -> DataFrame:
     """``(*keep, title, text, label)`` for the pages with a title key and enough text.
 
-    ``split`` is ``(category, marker terms, label with a marker, label without)``.
+    ``body`` is an expression over the visible markup in the ``html`` column.  ``split`` is
+    ``(category, marker terms, label with a marker, label without)``.
     """
-    found = pages.select(
-        *keep, F.col(category).alias("label"), title_of(html, site_suffix).alias("title"), body.alias("body")
-    ).withColumn("body", strip_patterns("body", boilerplate, to_line_end))
-    found = found.where((normalize_title("title", "key") != "") & (F.length("body") >= min_len))
+    # A generator's output is computed once, where filters and later columns would
+    # otherwise each repeat the extraction.
+    parts = F.struct(
+        title_of(html, site_suffix).alias("title"), strip_patterns(body, boilerplate, to_line_end).alias("body")
+    )
+    found = visible_pages(pages, html).select(
+        *keep, F.col(category).alias("label"), F.inline(F.array(parts))
+    ).where((normalize_title("title", "key") != "") & (F.length("body") >= min_len))
     if split is not None:
         target, terms, yes, no = split
         marked = any_term(F.concat_ws(" ", "title", "body"), terms)

@@ -44,29 +44,20 @@ def contained_signatures(probes: DataFrame, known: DataFrame, sig: str, min_len:
     ``min_len``-gram opens a probe.  There it yields one substring for each probe length
     seen with that gram, and whole substrings meet whole probes in an equality join.  The
     work is linear in the known signatures whatever their number per gram, since no pair
-    of a probe and a known signature is ever formed.
+    of a probe and a known signature is ever formed.  With a broadcast gram table the known
+    side is cut where it is read and only the substrings that match a gram move.
     """
     wanted = probes.select(sig).where(F.length(sig) >= min_len).distinct()
     lengths = wanted.groupBy(F.substring(sig, 1, min_len).alias("gram")).agg(
         F.collect_set(F.length(sig)).alias("lens")
     )
     host = F.col("host")
-    tails = (
-        known.select(F.col(sig).alias("host"))
-        .where(F.length("host") >= min_len)
-        .distinct()
-        .select(
-            F.explode(
-                F.transform(
-                    F.sequence(F.lit(1), F.length(host) - (min_len - 1)),
-                    lambda i: F.struct(
-                        F.substring(host, i, F.lit(min_len)).alias("gram"),
-                        F.substring(host, i, F.length(host)).alias("tail"),
-                    ),
-                )
-            ).alias("s")
-        )
-        .select("s.*")
+    starts = known.select(F.col(sig).alias("host")).where(F.length("host") >= min_len).select(
+        "host", F.explode(F.sequence(F.lit(1), F.length(host) - (min_len - 1))).alias("i")
+    )
+    tails = starts.select(
+        F.substring(host, F.col("i"), F.lit(min_len)).alias("gram"),
+        F.substring(host, F.col("i"), F.length(host)).alias("tail"),
     )
     cut = lookup_join(tails, lengths, "gram").select(
         F.explode(

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
@@ -24,9 +25,11 @@ from .split import class_weights, with_class_weight
 
 @dataclass
 class Features:
-    """Training rows as sparse vectors, with the vocabulary they index."""
+    """What a fit needs of the training rows: weights, labels and the vocabulary."""
 
-    rows: DataFrame
+    docs: DataFrame
+    doc: str
+    label: str
     weights: DataFrame
     vocab: DataFrame
     size: int
@@ -34,24 +37,27 @@ class Features:
     ngram_range: tuple[int, int]
     stop_words: list[str]
 
+    @cached_property
+    def rows(self) -> DataFrame:
+        """``(doc, label, features)``, written on first use since solvers read it at every step."""
+        return stored(to_vectors(self.weights, self.docs, self.doc, self.size, [self.label]), "vectors")
+
 
 def build_features(
     train: DataFrame, doc: str, text: str, label: str, size: int = 10_000,
     ngram_range: tuple[int, int] = (1, 2), stop_words: Sequence[str] = (), counts: DataFrame | None = None,
 ) -> Features:
-    """Vocabulary, weights and vectors from the training rows only.
+    """Vocabulary and weights from the training rows only.
 
-    ``counts`` may hold stored term counts of the same rows, with their label.  The fitted tables are
-    written, since every pass of a solver reads them again.
+    ``counts`` may hold stored term counts of the same rows, with their label.
     """
     if counts is None:
         counts = stored(term_counts(train, doc, text, "train", stop_words, ngram_range, [label]), "counts")
-    n_rows = train.count()
+    docs = stored(train.select(doc, label), "labels")
+    n_rows = docs.count()
     vocab = stored(vocabulary(term_stats(counts), n_rows, size), "vocab")
     weights = stored(tfidf(counts, vocab, doc, size, keep=[label]), "weights")
-    n_terms = vocab.count()
-    rows = stored(to_vectors(weights, train, doc, n_terms, keep=[label]), "vectors")
-    return Features(rows, weights, vocab, n_terms, n_rows, ngram_range, list(stop_words))
+    return Features(docs, doc, label, weights, vocab, vocab.count(), n_rows, ngram_range, list(stop_words))
 
 
 @dataclass
@@ -80,7 +86,7 @@ ROWS_PER_TASK = 50_000
 
 def _weighted(feats: Features, label: str, factors: Mapping[str, float] | None) -> DataFrame:
     """Training rows with their class weight, in partitions that suit an iterative solver."""
-    weights = class_weights(feats.rows, label, factors)
+    weights = class_weights(feats.docs, label, factors)
     rows = with_class_weight(feats.rows, label, weights)
     return rows.coalesce(max(1, -(-feats.n_rows // ROWS_PER_TASK)))
 
@@ -143,7 +149,7 @@ def naive_bayes_tables(feats: Features, label: str, alpha: float = 0.1) -> tuple
     zero-filled table has ``classes x terms`` rows.
     """
     everything = Window.partitionBy(F.lit(0))
-    priors = feats.rows.groupBy(label).agg(F.count("*").alias("n_c")).select(
+    priors = feats.docs.groupBy(label).agg(F.count("*").alias("n_c")).select(
         label, F.log(F.col("n_c") / F.sum("n_c").over(everything)).alias("log_prior")
     )
     classes = [r[0] for r in priors.select(label).orderBy(label).collect()]

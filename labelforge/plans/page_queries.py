@@ -30,6 +30,10 @@ def pages(spark, sf):
     return spread(table(spark, sf, "pages"), "page_id")
 
 
+def visible(spark, sf):
+    return extract.visible_pages(pages(spark, sf), "html")
+
+
 HREF = r"""(?i)<a\s(?:[^>]*\s)?href\s*=\s*["']([^"']*)["']"""
 ANCHOR = r"""(?is)<a\s(?:[^>]*\s)?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
 NO_NAV = S.sub("html", r"(?is)<(nav|header|footer)(\s[^>]*)?>.*?</(nav|header|footer)>")
@@ -70,7 +74,7 @@ TEXT_WORDS, HREF_WORDS = ("ing", "lich"), ("tion", "ment")
 @query(f"""WITH {ANCHORS_SQL}, t AS (SELECT page_id, href, {S.markup_text('m')} AS text FROM anchors)
     SELECT page_id, href, text FROM t WHERE regexp_matches(text, 'ing|lich') OR regexp_matches(href, 'tion|ment')""")
 def link_keyword_audit(spark, sf):
-    anchors = extract.page_anchors(pages(spark, sf), "html", ["page_id"])
+    anchors = extract.page_anchors(visible(spark, sf), "html", ["page_id"])
     return keyword_audit(anchors, "text", "href", TEXT_WORDS, HREF_WORDS).select("page_id", "href", "text")
 
 
@@ -78,19 +82,19 @@ def link_keyword_audit(spark, sf):
     FROM (SELECT page_id, {S.element_texts('html', *PARAGRAPH)} AS t FROM pages)""")
 def page_keyword_counts(spark, sf):
     items, matching = extract.block_keyword_counts("html", PARAGRAPH, TEXT_WORDS)
-    return pages(spark, sf).select(
+    return visible(spark, sf).select(
         "page_id", items.cast("bigint").alias("items"), matching.cast("bigint").alias("matching")
     )
 
 
 @query(f"SELECT page_id, {S.strip(S.sub(S.title_of('html'), SUFFIX))} AS title FROM pages")
 def page_titles(spark, sf):
-    return pages(spark, sf).select("page_id", extract.title_of("html", SUFFIX).alias("title"))
+    return visible(spark, sf).select("page_id", extract.title_of("html", SUFFIX).alias("title"))
 
 
 @query(f"SELECT page_id, {S.markup_text(S.visible('html'))} AS text FROM pages")
 def page_text(spark, sf):
-    return pages(spark, sf).select("page_id", extract.page_text("html").alias("text"))
+    return visible(spark, sf).select("page_id", extract.page_text("html").alias("text"))
 
 
 def _first_text(*selector) -> str:
@@ -106,7 +110,7 @@ FALLBACK_SQL = f"""CASE WHEN length({_first_text(*SIDE)}) > 60 THEN {_first_text
 @query(f"SELECT page_id, {FALLBACK_SQL} AS body FROM pages")
 def page_body_fallback(spark, sf):
     body = extract.first_block("html", (SIDE, AD, PARAGRAPH), min_len=60)
-    return pages(spark, sf).select("page_id", body.alias("body"))
+    return visible(spark, sf).select("page_id", body.alias("body"))
 
 
 @query(f"""SELECT page_id, CASE WHEN len(t) = 0 OR list_max(list_transform(t, lambda x: length(x))) = 0
@@ -114,7 +118,7 @@ def page_body_fallback(spark, sf):
         ELSE list_filter(t, lambda x: length(x) = list_max(list_transform(t, lambda y: length(y))))[1] END AS body
     FROM (SELECT page_id, html, {S.element_texts('html', *PARAGRAPH)} AS t FROM pages)""")
 def page_longest_block(spark, sf):
-    return pages(spark, sf).select("page_id", extract.longest_block("html", PARAGRAPH).alias("body"))
+    return visible(spark, sf).select("page_id", extract.longest_block("html", PARAGRAPH).alias("body"))
 
 
 @query(r"""SELECT page_id, CASE WHEN n > 0 THEN n ELSE m END AS blocks FROM (SELECT page_id,
@@ -155,8 +159,7 @@ def pages_to_records(spark, sf):
     WHERE {S.strip(S.markup_text('m'))} <> '' AND href <> ''""")
 def page_cards(spark, sf):
     link = r"""(?is)<a\s(?:[^>]*\s)?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
-    visible = pages(spark, sf).select("page_id", H.visible("html").alias("html"))
-    return extract.page_cards(visible, "html", ["page_id"], [r"(?i)<section[^>]*>", r"(?i)<li[^>]*>"], link)
+    return extract.page_cards(visible(spark, sf), "html", ["page_id"], [r"(?i)<section[^>]*>", r"(?i)<li[^>]*>"], link)
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")

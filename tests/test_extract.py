@@ -19,12 +19,16 @@ def pages(spark):
     return spark.createDataFrame([(1, PAGE), (2, PLAIN), (3, ""), (4, None)], "page_id long, html string")
 
 
+def visible(spark):
+    return extract.visible_pages(pages(spark), "html")
+
+
 def by_id(df, col):
     return {r["page_id"]: r[col] for r in df.collect()}
 
 
 def test_titles(spark):
-    got = by_id(pages(spark).select("page_id", extract.title_of("html", r"\| Site\.example.*").alias("t")), "t")
+    got = by_id(visible(spark).select("page_id", extract.title_of("html", r"\| Site\.example.*").alias("t")), "t")
     assert got == {1: "TheTitle", 2: "Only title", 3: "", 4: ""}
 
 
@@ -48,11 +52,11 @@ def test_exact_parts_follow_the_nesting(spark):
 
 def test_block_fallbacks(spark):
     side, section, box = ("div", "id", "summary", False), ("section", "id", "summary", False), ("div", "class", "summary", True)
-    first = by_id(pages(spark).select("page_id", extract.first_block("html", (side, section, box)).alias("b")), "b")
+    first = by_id(visible(spark).select("page_id", extract.first_block("html", (side, section, box)).alias("b")), "b")
     assert first[2] == "short" and first[3] == ""
-    long = by_id(pages(spark).select("page_id", extract.first_block("html", (side, section, box), 20, or_page=False).alias("b")), "b")
+    long = by_id(visible(spark).select("page_id", extract.first_block("html", (side, section, box), 20, or_page=False).alias("b")), "b")
     assert long[2] == "A block of text that is long enough"
-    best = by_id(pages(spark).select("page_id", extract.longest_block("html", ("p",), 10).alias("b")), "b")
+    best = by_id(visible(spark).select("page_id", extract.longest_block("html", ("p",), 10).alias("b")), "b")
     assert best[2] == "longest one" and best[1] == extract_text(PAGE)[:10]
 
 
@@ -61,7 +65,7 @@ def extract_text(page):
 
 
 def test_page_text(spark):
-    assert by_id(pages(spark).select("page_id", extract.page_text("html").alias("t")), "t")[1] == extract_text(PAGE)
+    assert by_id(visible(spark).select("page_id", extract.page_text("html").alias("t")), "t")[1] == extract_text(PAGE)
 
 
 def test_cards(spark):
