@@ -12,27 +12,21 @@ BROADCAST_ROWS = 100_000
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder path below ``spark.checkpoint.dir``.
+    """A new folder path below ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    The setting names storage that every executor sees.  Only a local master may do
-    without it; a cluster has to name one.
+    That is storage which every executor sees.  Only a local master may do without it,
+    and then gets a folder of its own; a cluster has to name one.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _local_base(spark)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="labelforge-"))
+        base = sc.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _local_base(spark: SparkSession) -> str:
-    base = spark.sparkContext.getCheckpointDir()
-    if base is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="labelforge-"))
-        base = spark.sparkContext.getCheckpointDir()
-    return base
-
-
 def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and return the table read back.
 

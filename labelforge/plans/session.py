@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: str | int = 8, app: str = "labelforge") -> SparkSession:
-    spark = (
+def local_session(cpus: str | int = 8, app: str = "labelforge", conf: dict[str, str] | None = None) -> SparkSession:
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cpus))
@@ -16,7 +16,9 @@ def local_session(cpus: str | int = 8, app: str = "labelforge") -> SparkSession:
         .config("spark.driver.memory", "8g")
         # Recording the Python call site of every expression costs round trips to the JVM.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .getOrCreate()
     )
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

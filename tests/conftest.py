@@ -7,10 +7,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from labelforge.plans.session import local_session
 
-    session = local_session(8, "tests")
+    session = local_session(8, "tests", {"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()
