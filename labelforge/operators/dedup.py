@@ -101,10 +101,7 @@ def keep_first_two_keys(
         )
         n += 1
         kept.write.parquet(f"{work}/kept/round={n}")
-        used = spark.read.parquet(f"{work}/kept/round={n}").select(F.explode("ks").alias("k"))
-        (open_rows.join(used, F.col("a") == F.col("k"), "left_anti")
-            .join(used, F.col("b") == F.col("k"), "left_anti")
-            .write.parquet(f"{work}/open-{n}"))
+        without_used_keys(open_rows, spark.read.parquet(f"{work}/kept/round={n}")).write.parquet(f"{work}/open-{n}")
         open_rows = spark.read.parquet(f"{work}/open-{n}")
 
     if n == 0 and blank_keys == "collide":
@@ -113,6 +110,14 @@ def keep_first_two_keys(
     return df.join(kept.select("o.*"), list(order), "left_semi")
 
 
+def without_used_keys(open_rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """Open rows that share no key with a kept row; hot keys are split by adaptive execution."""
+    used = kept.select(F.explode("ks").alias("k"))
+    for c in ("a", "b"):
+        open_rows = open_rows.join(used.withColumnRenamed("k", c), c, "left_anti")
+    return open_rows
+
+
 def dedup_metrics(df: DataFrame, key: str, before: DataFrame | None = None) -> DataFrame:
     """One row ``rows_before, rows_after, rows_dropped`` for de-duplication on ``key``.
 

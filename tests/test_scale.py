@@ -22,7 +22,7 @@ def settings(spark, **conf):
 
 
 def final_plan(df):
-    df.collect()
+    df.collect()  # adaptive execution fixes the plan while it runs
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -41,6 +41,22 @@ def test_anti_join_splits_a_hot_key(spark):
         assert "skew=true" in final_plan(out)
 
 
+def test_two_key_rounds_split_a_hot_key(spark, tmp_path):
+    """The join of a round: open rows, a third with one key, against the keys used."""
+    rows = spark.range(0, 200_000, 1, 8).select(
+        F.struct("id").alias("o"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("a"),
+        F.sha2(F.col("id").cast("string"), 512).alias("b"),
+    )
+    spark.range(0, 200_000, 7, 4).select(F.array(F.col("id").cast("string")).alias("ks")).write.parquet(f"{tmp_path}/kept")
+    with settings(
+        spark, autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1", shuffle__partitions="8",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="1MB", adaptive__advisoryPartitionSizeInBytes="1MB",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+    ):
+        out = dedup.without_used_keys(rows, spark.read.parquet(f"{tmp_path}/kept"))
+        assert "skew=true" in final_plan(out.agg(F.max("b"), F.count("*").alias("n")))
+
+
 def test_lookup_join_broadcasts_only_what_fits(spark):
     big, small = spark.range(1000).withColumnRenamed("id", "k"), spark.range(50).select(F.col("id").alias("k"), F.lit(1).alias("v"))
     with settings(spark, autoBroadcastJoinThreshold="-1"):
