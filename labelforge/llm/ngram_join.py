@@ -32,7 +32,7 @@ from .base import arrow_map, components, deal, signed, stored
 #: Most frequent shingles kept out of the index; 8 bytes each go to every task.
 LONG = 100_000
 #: Postings of an index bucket and of a search block.
-BUCKET, BLOCK = 2_000_000, 1_000_000
+BUCKET, BLOCK = 2_000_000, 500_000
 #: DivideSkip's weight of a probe against a merge step.
 MU = 0.01
 
@@ -123,12 +123,12 @@ def _postings(k: int, buckets: int, parts: int, frequent: np.ndarray):
             # where it is in the index
             owner, grams = owner[~is_long], grams[~is_long]
             b = W.bucket_of(grams, buckets)
-            order = np.argsort(b, kind="stable")
+            order = np.argsort(b, kind="stable")  # the rows of a bucket stay together
             b, owner, grams = b[order], owner[order], grams[order]
             for i, m in zip(*W.runs(b)):
-                docs, local = np.unique(owner[i : i + m], return_inverse=True)
-                for o, v in zip(out, (int(b[i]), None, W.pack48(grams[i : i + m]),
-                                      local.astype("<u2" if len(docs) < 65536 else "<u4").tobytes(), ids[docs].tobytes(), None)):
+                first, length = W.runs(owner[i : i + m])
+                for o, v in zip(out, (int(b[i]), None, W.pack48(grams[i : i + m]), length.astype("<u2" if length.max() < 65536 else "<u4").tobytes(),
+                                      ids[owner[i : i + m][first]].tobytes(), None)):
                     o.append(v)
         if out[0]:
             yield pa.record_batch([pa.array(x, t) for x, t in zip(out, (pa.int32(), pa.int32(), *[pa.binary()] * 4))],
@@ -149,7 +149,7 @@ def _lists(parts: int):
                 continue
             low, docs = W.unpack48(a), np.frombuffer(c, "<u8")
             tokens.append(low)
-            ids.append(docs[np.frombuffer(b, "<u2" if len(docs) < 65536 else "<u4")])
+            ids.append(np.repeat(docs, np.frombuffer(b, "<u2" if len(b) == 2 * len(docs) else "<u4")))
         if tokens:
             tokens, ids = np.concatenate(tokens), np.concatenate(ids)
             order = np.argsort(tokens)
@@ -368,25 +368,24 @@ def ngram_join(
     keys = stored(able.select("id", F.explode("keys").alias("key")), "keys")
     stars = stored(keys.groupBy("key").agg(F.min("id").alias("star"), F.count(F.lit(1)).alias("c")).where("c > 1").select("key", "star"), "stars")
     families = components(keys.join(stars, "key").select(F.col("id").alias("u"), F.col("star").alias("v")))
-    sized = able.join(families.select(F.col("node").alias("id"), F.col("label").alias("family")), "id")
-    weight = sized.groupBy("family").agg(F.sum(F.length("tokens") / 8).alias("w"))
-    weight = stored(weight.select("family", F.ceil(F.col("w") / block).alias("blocks"), "w"), "weights")
+    named = stored(able.select("id", (F.length("tokens") / 8).alias("w")).join(
+        families.select(F.col("node").alias("id"), F.col("label").alias("family")), "id"), "families")
+    weight = stored(named.groupBy("family").agg(F.sum("w").alias("w")).withColumn("blocks", F.ceil(F.col("w") / block)), "weights")
     groups = max(1, int((weight.where("blocks = 1").agg(F.sum("w")).first()[0] or 0) // block + 1))
-    blocks = stored(
-        sized.join(weight.select("family", "blocks"), "family")
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-        .withColumn("g", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), F.lit(groups))).otherwise(F.xxhash64("family", "block")))
-        .select("g", "family", "block", "blocks", "id", "n", "tokens"), "blocks")
-    labels = stored(blocks.groupBy("g").applyInArrow(_search(percent), "id long, label long"), "labels")
-    big = blocks.where("blocks > 1")
-    if not big.isEmpty():
-        labels = _join_blocks(big, labels, percent)
+    placed = (named.select("id", "family").join(weight.select("family", "blocks"), "family")
+              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+              .withColumn("g", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), F.lit(groups))).otherwise(F.xxhash64("family", "block"))))
+    placed = stored(placed.select("id", "g", "family", "block", "blocks"), "placed")
+    blocks = able.select("id", "n", "tokens").join(placed, "id")
+    labels = stored(blocks.select("g", "id", "n", "tokens").groupBy("g").applyInArrow(_search(percent), "id long, label long"), "labels")
+    if not placed.where("blocks > 1").isEmpty():
+        labels = _join_blocks(blocks.where("blocks > 1").drop("g"), labels, percent)
 
     sets = rows.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("c"))
-    named = sets.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    named = stored(named.select("id", "label", "least", "c"), "sets")
-    least = named.groupBy("label").agg(F.min("least").alias("component_id"), F.sum("c").alias("c")).where("c > 1")
-    member = stored(named.join(least.drop("c"), "label").select("id", "component_id"), "members")
+    known = sets.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    known = stored(known.select("id", "label", "least", "c"), "sets")
+    least = known.groupBy("label").agg(F.min("least").alias("component_id"), F.sum("c").alias("c")).where("c > 1")
+    member = stored(known.join(least.drop("c"), "label").select("id", "component_id"), "members")
     return rows.join(member, "id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
