@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from . import bpe as op4
+from . import exact as op7
+from . import fingerprint as op6
+from . import katz as op9
+from . import lines as op10
 from . import ngram_join as op1
+from . import packing as op3
+from . import quality as op8
+from . import substring as op2
+from . import urls as op5
 from .base import table
 
 QUERIES: dict = {}
@@ -35,3 +47,96 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, c AS component_id FROM s JOIN (SELE
 @query(NGRAM_SQL)
 def op1_ngram_join(spark, sf_dir):
     return op1.ngram_join(table(spark, sf_dir, "documents"))
+
+
+SUBSTRING_SQL = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS p, unnest(list_transform(range(1, len(w) - 33), lambda i: md5(array_to_string(w[i:i + 34], ' ')))) AS h FROM w WHERE len(w) >= 35),
+r AS (SELECT doc_id, p FROM g WHERE h IN (SELECT h FROM g GROUP BY h HAVING count(*) > 1)),
+c AS (SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS p FROM r),
+d AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM c GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+  sha256(coalesce(array_to_string(list_filter(w, lambda x, i: NOT coalesce(list_contains(ps, i), false)), ' '), '')) AS kept_sha256
+FROM w LEFT JOIN d USING (doc_id)"""
+
+
+@query(SUBSTRING_SQL)
+def op2_substring_dedup(spark, sf_dir):
+    out = op2.substring_dedup(table(spark, sf_dir, "documents"))
+    return out.select("payload.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+EXACT_SQL = f"""
+WITH t AS (SELECT doc_id, sha256(coalesce({FOLD}, '')) AS text_sha256 FROM documents),
+g AS (SELECT *, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size FROM t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g"""
+
+
+@query(EXACT_SQL)
+def op7_exact_dedup(spark, sf_dir):
+    """The older half of the id range is history, the younger half arrives."""
+    docs = table(spark, sf_dir, "documents")
+    lo, hi = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    return op7.exact_dedup(docs, F.col("doc_id") <= ((lo or 0) + (hi or 0)) // 2)
+
+
+LINES_SQL = """
+WITH t AS (SELECT doc_id, source, string_split(text, chr(10)) AS l FROM documents),
+c AS (SELECT source, line, count(*) AS c FROM (SELECT source, unnest(list_distinct(l)) AS line FROM t) WHERE trim(line) <> '' GROUP BY ALL),
+b AS (SELECT c.source, list(line) AS cut FROM c JOIN (SELECT source, count(*) AS pages FROM documents GROUP BY 1) p
+  ON c.source IS NOT DISTINCT FROM p.source WHERE c.c >= 5 AND 100 * c.c > 8 * pages GROUP BY 1),
+k AS (SELECT doc_id, l, list_filter(l, lambda x: NOT coalesce(list_contains(cut, x), false)) AS k
+  FROM t LEFT JOIN b ON t.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(len(l) - len(k), 0)::BIGINT AS n_removed,
+  sha256(coalesce(array_to_string(k, chr(10)), '')) AS kept_sha256 FROM k"""
+
+
+@query(LINES_SQL)
+def op10_line_dedup(spark, sf_dir):
+    out = op10.line_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query()
+def op3_packing(spark, sf_dir):
+    return op3.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op4_bpe(spark, sf_dir):
+    out = op4.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), decode=True)
+    return out.select(F.col("key").alias("doc_id"), (F.length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+_HOST = "translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+URL_SQL = f"""
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN url[instr(url, '://') + 3:] ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, {_HOST} AS host, regexp_extract(rest[length(regexp_extract(rest, '^[^/?#]*')) + 1:], '^[^?#]*') AS path FROM u),
+r(verdict, h, t) AS (VALUES {', '.join(str(x) for x in RULES)}),
+m AS (SELECT page_id, h || t AS rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(h || t) DESC, length(h) DESC) AS n
+  FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, t))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN (SELECT * FROM m WHERE n = 1) USING (page_id)"""
+
+
+@query(URL_SQL)
+def op5_url_filter(spark, sf_dir):
+    return op5.url_filter(table(spark, sf_dir, "pages"), RULES)
+
+
+@query()
+def op6_fingerprints(spark, sf_dir):
+    return op6.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_quality(spark, sf_dir):
+    out = op8.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
+@query()
+def op9_katz(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return op9.katz_scores(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2)
