@@ -25,10 +25,11 @@ from .base import deal, stored
 
 U64 = np.uint64
 #: Words whose counts go to every task, contexts that are split, tokens of a bucket, tokens packed at once.
-HEAD, SPLIT, BUCKET, BATCH = 300_000, 20_000, 2_000_000, 2_500_000
+HEAD, SPLIT, BUCKET, BATCH = 300_000, 20_000, 1_500_000, 1_500_000
 #: Counts up to this one are discounted.
 LOW = 5
-END, START = U64(0x51ED270B7F2A9C35), U64(0x2545F4914F6CDD1D)
+END = U64(0x51ED270B7F2A9C35)
+_OTHER = U64(1 << 63)
 _TRAIN = np.uint16(1 << 15)
 _ROWS = 30_000
 
@@ -84,7 +85,7 @@ def discounts(n: list[int]) -> np.ndarray:
 
 
 def _tokens(batch: pa.RecordBatch):
-    """Per slice: first row, training flags, and of each token its row, word and context, ends included."""
+    """Per slice: first row, training flags, and of each token its row, its word and whether it begins a text; ends included."""
     train = batch.column("train").to_numpy(zero_copy_only=False)
     for row, data, offsets in W.text_slices(batch.column("text")):
         n = len(offsets) - 1
@@ -96,10 +97,9 @@ def _tokens(batch: pa.RecordBatch):
         inner = np.ones(len(cur), bool)
         inner[last] = False
         cur[inner], cur[last] = hashes, END
-        prev = np.empty_like(cur)
-        prev[1:] = cur[:-1]
-        prev[last - words] = START
-        yield row, train[row : row + n], np.repeat(np.arange(n), words + 1), cur, prev
+        begin = np.zeros(len(cur), bool)
+        begin[last - words] = True
+        yield row, train[row : row + n], np.repeat(np.arange(n), words + 1), cur, begin
 
 
 def _count_words(buckets: int):
@@ -143,60 +143,89 @@ def _at_least(least: int):
 
 
 class Head:
-    """Counts of the most frequent words, and which contexts are split."""
+    """The most frequent words: their counts, and which of them are split as contexts.
+
+    A word's code is its place here, or its hash with the top bit set; the code after the last place is
+    the start of a text.
+    """
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, split: np.ndarray):
         order = np.argsort(words)
-        self.words, self.counts, self.split = words[order], counts[order], np.sort(split)
+        self.words, self.counts = words[order], counts[order]
+        self.split = np.append(np.isin(self.words, split), True)
 
-    def count(self, words: np.ndarray) -> np.ndarray:
-        """-1 for other words."""
+    def code(self, words: np.ndarray) -> np.ndarray:
         if not len(self.words):
-            return np.full(len(words), -1)
+            return words | _OTHER
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        return np.where(self.words[at] == words, self.counts[at], -1)
+        return np.where(self.words[at] == words, at.astype(U64), words | _OTHER)
 
-    def is_split(self, words: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.split, words), len(self.split) - 1)
-        return self.split[at] == words
+    @property
+    def start(self) -> int:
+        return len(self.words)
+
+    def is_split(self, codes: np.ndarray) -> np.ndarray:
+        near = codes < _OTHER
+        out = np.zeros(len(codes), bool)
+        out[near] = self.split[codes[near].astype(np.int64)]
+        return out
 
     def bucket(self, prev: np.ndarray, cur: np.ndarray, buckets: int) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return W.bucket_of(np.where(self.is_split(prev), W.mix(prev + W.mix(cur)), prev), buckets)
+            return W.bucket_of(W.mix(np.where(self.is_split(prev), prev + W.mix(cur), prev) + U64(1)), buckets)
+
+
+def _narrow(codes: np.ndarray) -> np.ndarray:
+    return codes.astype("<u4") if codes.max(initial=0) < 2**32 else codes
+
+
+def _codes(blob: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(blob, "<u4" if len(blob) == 4 * n else "<u8").astype(U64)
 
 
 def _pack(out: Records, kind: int, name: int, bucket, prev, cur, count, row) -> None:
-    order = np.lexsort((prev, bucket))
-    bucket, prev, cur, row = bucket[order], prev[order], cur[order], row[order]
+    far = prev >= _OTHER
+    key = bucket * 2 + far
+    order = np.lexsort((prev, key))
+    key, prev, cur, row = key[order], prev[order], cur[order], row[order]
     count = count[order] if count is not None else None
-    for i, m in zip(*W.runs(bucket)):
+    for i, m in zip(*W.runs(key)):
         s = slice(i, i + m)
         first, length = W.runs(prev[s])
         kinds, at, idx = np.unique(cur[s], return_index=True, return_inverse=True)
-        out.add(int(bucket[i]), kind, name, prev[s][first], length.astype("<u4"), kinds, count[s][at].astype("<i8") if count is not None else None,
+        out.add(int(key[i]) // 2, kind, name, _narrow(prev[s][first]), length.astype("<u4"), _narrow(kinds), count[s][at].astype("<i8") if count is not None else None,
                 idx.astype("<u2" if len(kinds) <= 65536 else "<u4"), row[s])
 
 
-def _unpack(r: dict):
-    prev = np.repeat(np.frombuffer(r["prev"], "<u8"), np.frombuffer(r["runs"], "<u4"))
-    cur = np.frombuffer(r["cur"], "<u8")
-    idx = np.frombuffer(r["idx"], "<u2" if len(cur) <= 65536 else "<u4")
-    count = np.frombuffer(r["cnt"], "<i8")[idx] if r["cnt"] is not None else None
+def _unpack(r: dict, head: Head | None = None):
+    """Context codes, words, counts and rows; words of ``TAIL`` are hashes, others codes."""
+    runs, m = np.frombuffer(r["runs"], "<u4"), len(r["row"]) // 2
+    prev = np.repeat(_codes(r["prev"], len(runs)), runs)
+    wide = len(r["idx"]) == 4 * m
+    idx = np.frombuffer(r["idx"], "<u4" if wide else "<u2")
+    cur = _codes(r["cur"], int(idx.max()) + 1)
+    count = None
+    if head is not None:
+        count = (np.frombuffer(r["cnt"], "<i8") if r["cnt"] is not None else head.counts[cur.astype(np.int64)])[idx]
     return prev, cur[idx], count, np.frombuffer(r["row"], "<u2")
 
 
 def _deal(buckets: int, head: Head, uni: Unigrams):
     def pack(held: list, name: int):
-        ids, train, owner, cur, prev = (np.concatenate([h[i] for h in held]) for i in range(5))
-        nulls = np.concatenate([h[5] for h in held])
+        ids, train, owner, cur, begin, nulls = (np.concatenate([h[i] for h in held]) for i in range(6))
         rows = len(ids)
-        count = head.count(cur)
-        known = count >= 0
+        code = head.code(cur)
+        prev = np.empty_like(code)
+        prev[1:] = code[:-1]
+        prev[begin] = head.start
+        known = code < _OTHER
+        count = np.zeros(len(code), np.int64)
+        count[known] = head.counts[code[known].astype(np.int64)]
         out = Records()
         row = owner.astype(np.uint16) | np.where(train[owner], _TRAIN, np.uint16(0))
         out.add(name % buckets, META, name, ids, train | (nulls << 1).astype(np.uint8), np.bincount(owner, minlength=rows).astype("<u4"),
                 np.bincount(owner, known & (count > 0), rows).astype("<u4"), np.bincount(owner, np.where(known, uni.base(count), 0.0), rows), None)
-        _pack(out, TOKENS, name, head.bucket(prev[known], cur[known], buckets), prev[known], cur[known], count[known], row[known])
+        _pack(out, TOKENS, name, head.bucket(prev[known], code[known], buckets), prev[known], code[known], None, row[known])
         tail = ~known
         _pack(out, TAIL, name, W.bucket_of(cur[tail], buckets), prev[tail], cur[tail], None, row[tail])
         return out.table().to_batches()
@@ -206,12 +235,12 @@ def _deal(buckets: int, head: Head, uni: Unigrams):
         for batch in batches:
             ids = batch.column("doc_id")
             null, ids = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
-            for row, train, owner, cur, prev in _tokens(batch):
+            for row, train, owner, cur, begin in _tokens(batch):
                 n = len(train)
                 if held and (rows + n > _ROWS or size + len(cur) > BATCH):
                     yield from pack(held, name)
                     name, held, rows, size = name + 1, [], 0, 0
-                held.append((ids[row : row + n], train, owner + rows, cur, prev, null[row : row + n]))
+                held.append((ids[row : row + n], train, owner + rows, cur, begin, null[row : row + n]))
                 rows, size = rows + n, size + len(cur)
         if held:
             yield from pack(held, name)
@@ -234,6 +263,7 @@ def _attach(buckets: int, head: Head, uni: Unigrams):
             owner, back = np.unique(row & ~_TRAIN, return_inverse=True)
             out.add(int(r["bucket"]), BASE, r["slice"], None, None, np.bincount(back, count > 0, len(owner)).astype("<u4"), None,
                     np.bincount(back, uni.base(count), len(owner)), owner.astype("<u2"))
+            cur = cur | _OTHER
             _pack(out, TOKENS, r["slice"], head.bucket(prev, cur, buckets), prev, cur, count, row)
         return out.table()
     return run
@@ -248,11 +278,11 @@ def _rows(t: pa.Table, *kinds: int):
 class Bucket:
     """All tokens of a bucket: pair counts and sums by context."""
 
-    def __init__(self, *tables: pa.Table):
+    def __init__(self, head: Head, *tables: pa.Table):
         self.records, parts = [], []
         for t in tables:
-            for r in _rows(t.select([x for x in _NAMES]), TOKENS):
-                p = _unpack(r)
+            for r in _rows(t.select(_NAMES), TOKENS):
+                p = _unpack(r, head)
                 self.records.append((r["slice"], len(p[0])))
                 parts.append(p)
         empty = (np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.uint16))
@@ -260,7 +290,7 @@ class Bucket:
         self.train = (self.row & _TRAIN) > 0
         self.contexts, self.context = np.unique(prev, return_inverse=True)
         with np.errstate(over="ignore"):
-            _, self.first, self.pair = np.unique(W.mix(prev) * U64(3) + W.mix(cur), return_index=True, return_inverse=True)
+            _, self.first, self.pair = np.unique(W.mix(prev + U64(1)) * U64(3) + W.mix(cur), return_index=True, return_inverse=True)
         self.seen = np.bincount(self.pair, self.train, len(self.first)).astype(np.int64)
 
     def sums(self, uni: Unigrams) -> np.ndarray:
@@ -280,7 +310,7 @@ STATS = "word long, s array<double>"
 def _statistics(head: Head, uni: Unigrams):
     """Counts of counts of pairs under a null word, and the sums of split contexts."""
     def run(tokens: pa.Table, more: pa.Table) -> pa.Table:
-        b = Bucket(tokens, more)
+        b = Bucket(head, tokens, more)
         if not len(b.contexts):
             return pa.table([pa.array([], pa.int64()), pa.array([], pa.list_(pa.float64()))], names=["word", "s"])
         split = head.is_split(b.contexts)
@@ -293,7 +323,7 @@ def _statistics(head: Head, uni: Unigrams):
 REPLY = "slice long, kind int, a binary, b binary, c binary, d binary, e binary"
 
 
-def _score(uni: Unigrams):
+def _score(head: Head, uni: Unigrams):
     def run(tokens: pa.Table, more: pa.Table) -> pa.Table:
         out: list[list] = [[] for _ in range(7)]
         for t in (tokens, more):
@@ -301,7 +331,7 @@ def _score(uni: Unigrams):
                 values = (r["prev"], r["runs"], r["cur"], r["cnt"], r["idx"]) if r["kind"] == META else (r["row"], r["idx"], r["cur"], None, None)
                 for o, v in zip(out, (r["slice"], r["kind"], *values)):
                     o.append(v)
-        b = Bucket(tokens, more)
+        b = Bucket(head, tokens, more)
         if len(b.contexts):
             stats = next(x for x in more.column("stats").to_pylist() if x is not None)
             total = next((x["s"] for x in stats if x["word"] is None), [0.0] * (LOW + 2))
@@ -375,11 +405,12 @@ def katz_scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
         if n > left:
             break
         least, left = c, left - n
-    words = table.mapInArrow(_at_least(least), "word long, c long").collect()
-    hashes, counts = np.array([w for w, _ in words], np.int64).view(U64), np.array([c for _, c in words], np.int64)
+    words = table.mapInArrow(_at_least(least), "word long, c long").toArrow()
+    hashes, counts = (words.column(x).to_numpy().astype(np.int64) for x in ("word", "c"))
+    hashes = hashes.view(U64)
     often = np.argsort(-counts, kind="stable")[:split_words]
     often = often[counts[often] >= bucket // 8]
-    head = Head(hashes, counts, np.append(hashes[often], START))
+    head = Head(hashes, counts, hashes[often])
 
     dealt = deal(rows.mapInArrow(_deal(buckets, head, uni), RECORD), buckets, "bucket")
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"), *[F.lit(b"").alias(x) for x in ("words", "counts")])
@@ -390,6 +421,6 @@ def katz_scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     whole = summed.groupBy("word").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "v"))), lambda x: x["v"]).alias("s"))
     stats = whole.agg(F.collect_list(F.struct("word", "s")).alias("stats")).scalar()
     marked = tail.withColumn("stats", F.when(F.col("kind") == MARK, stats))
-    replies = dealt.groupBy("bucket").cogroup(marked.groupBy("bucket")).applyInArrow(_score(uni), REPLY)
+    replies = dealt.groupBy("bucket").cogroup(marked.groupBy("bucket")).applyInArrow(_score(head, uni), REPLY)
     return replies.groupBy("slice").applyInArrow(_results, RESULT).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(uni.tokens).cast("long").alias("train_tokens"), "base_score", "score")
