@@ -1,7 +1,7 @@
 """Packing token sequences into windows by Karmarkar-Karp multiway differencing.
 
-Texts longer than a window give full windows and a rest.  The rests are dealt at random to groups
-that fill a fixed number of windows.  In a group every rest starts as a partition of its own into
+Texts longer than a window give full windows and a rest, which is cut into short pieces.  These are
+dealt at random to groups that fill a fixed number of windows.  In a group every piece starts as a partition of its own into
 ``k`` windows; the two partitions with the largest imbalance are merged again and again, the
 fullest windows of one with the emptiest of the other, until one is left.  If a window exceeds the
 capacity, the group is packed again with one window more.
@@ -22,29 +22,46 @@ from . import words as W
 from .base import deal, stored
 from .bpe import encoder
 
-#: Windows of a group.
-WINDOWS = 128
+#: Windows of a group, and the longest piece of a rest.
+WINDOWS, PIECE = 256, 1024
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, nr long"
 _ALONE = 1 << 62
 
 
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
-    """Items of each of ``k`` windows."""
-    heap = []
-    for i, size in enumerate(sizes):
-        sums = np.zeros(k, np.int64)
-        sums[0] = size
-        heap.append((-size, i, sums, [[i]] + [[] for _ in range(k - 1)]))
+    """Items of each of ``k`` windows.
+
+    A partition is its non-empty windows ``(sum, nr, items)``, the fullest first; items are a tree of
+    pairs, so that joining two windows costs the same at every size.
+    """
+    heap = [(-size, i, [(size, i, i)]) for i, size in enumerate(sizes)]
     heapq.heapify(heap)
+    nr = len(sizes)
     while len(heap) > 1:
-        _, i, a, left = heapq.heappop(heap)
-        _, _, b, right = heapq.heappop(heap)
-        sums = a + b[::-1]
-        order = np.argsort(-sums, kind="stable")
-        right = right[::-1]
-        sums = sums[order]
-        heapq.heappush(heap, (int(sums[-1] - sums[0]), i, sums, [left[j] + right[j] for j in order.tolist()]))
-    return heap[0][3] if heap else []
+        _, i, a = heapq.heappop(heap)
+        _, _, b = heapq.heappop(heap)
+        meet = len(a) + len(b) - k
+        if meet > 0:  # the emptiest of the fuller partition take the fullest ones that are left of the other
+            whole = a[: len(a) - meet] + b[: len(b) - meet]
+            for x, y in zip(a[len(a) - meet :], reversed(b[len(b) - meet :])):
+                whole.append((x[0] + y[0], nr, (x[2], y[2])))
+                nr += 1
+        else:
+            whole = a + b
+        whole.sort(key=lambda w: (-w[0], w[1]))
+        low = whole[-1][0] if len(whole) == k else 0
+        heapq.heappush(heap, (low - whole[0][0], i, whole))
+    out = []
+    for _, _, tree in heap[0][2] if heap else ():
+        items, todo = [], [tree]
+        while todo:
+            x = todo.pop()
+            if isinstance(x, tuple):
+                todo.extend(x)
+            else:
+                items.append(x)
+        out.append(items)
+    return out
 
 
 def windows(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -57,7 +74,7 @@ def windows(sizes: list[int], capacity: int) -> list[list[int]]:
         k += 1
 
 
-def _pieces(path: str, end: int, capacity: int):
+def _pieces(path: str, end: int, capacity: int, piece: int):
     def run(batches):
         e, tail, part, nr = encoder(path), np.array([end], "<u4").tobytes(), TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -67,8 +84,9 @@ def _pieces(path: str, end: int, capacity: int):
                 for i in range(len(offsets) - 1):
                     ids = e.encode(raw[offsets[i] : offsets[i + 1]]) + tail
                     n = len(ids) // 4
-                    for start in range(0, n, capacity):
-                        cut = ids[4 * start : 4 * (start + capacity)]
+                    full = n - n % capacity
+                    for start in (*range(0, full, capacity), *range(full, n, piece)):
+                        cut = ids[4 * start : 4 * (start + (capacity if start < full else piece))]
                         out.append((keys[row + i], start, len(cut) // 4, zlib.crc32(cut), n, (part << 36) + nr))
                         nr += 1
                 yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*out)],
@@ -95,15 +113,15 @@ def _pack(capacity: int):
 
 
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096, end: int = 2,
-         windows_per_group: int = WINDOWS) -> DataFrame:
+         windows_per_group: int = WINDOWS, piece: int = PIECE) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     A text's ids are followed by ``end``, so null and empty texts are one piece of one token.  A text is
-    cut only at multiples of ``capacity``.  Repeated rows and rows without an id are packed like
+    cut into full windows, and what is left into pieces of at most ``piece``.  Repeated rows and rows without an id are packed like
     others.  An empty table gives no pieces.  Further columns are ignored.
     """
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    pieces = stored(text.mapInArrow(_pieces(path, end, capacity), _PIECES), "pieces")
+    pieces = stored(text.mapInArrow(_pieces(path, end, capacity, min(piece, capacity)), _PIECES), "pieces")
     rests = pieces.where(F.col("length") < capacity)
     groups = max(1, round((rests.agg(F.sum("length")).first()[0] or 0) / (capacity * windows_per_group)))
     cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
