@@ -27,14 +27,17 @@ from tokenizers import Tokenizer
 from . import words as W
 from .base import arrow_map
 
-#: Fragments remembered by a worker, and the longest one worth it.
-REMEMBERED, LONGEST = 300_000, 64
+#: Fragments in the younger half of a worker's memory, and the longest one worth it.
+REMEMBERED, LONGEST = 250_000, 64
 _SPACES = (9, 10, 11, 12, 13, 32)
 #: Characters on which every Unicode version agrees; outside them the library splits and folds.
 _PLAIN = re.compile("[\t\n\r -~À-įıĴ-ɏ]*")
 # The two published pre-tokenizer patterns.
 BYTE_PATTERN = public_tokenizers.PATTERN
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: What the two come to on plain ASCII.
+ASCII_BYTE_PATTERN = BYTE_PATTERN.replace(r"^\s\p{L}\p{N}", r"^\sA-Za-z0-9").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
+ASCII_WORD_PATTERN = WORD_PATTERN.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9")
 
 
 def byte_letters() -> list[str]:
@@ -54,15 +57,18 @@ _BYTE_OF = {x: b for b, x in _LETTERS.items()}
 
 
 class Memory(dict):
-    """Packed ids of fragments, computed when missed; it forgets all when full."""
+    """Packed ids of fragments, computed when missed.  When full, it keeps what it held as the older half."""
 
-    def __init__(self, encode: Callable[[bytes], bytes]):
-        self.encode = encode
+    def __init__(self, encode: Callable):
+        self.encode, self.older = encode, {}
 
-    def __missing__(self, fragment: bytes) -> bytes:
-        ids = self.encode(fragment)
+    def __missing__(self, fragment) -> bytes:
+        ids = self.older.get(fragment)
+        if ids is None:
+            ids = self.encode(fragment)
         if len(fragment) <= LONGEST:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[fragment] = ids
         return ids
@@ -93,7 +99,8 @@ class Encoder:
                 raw = np.frombuffer(tokens[i], np.uint8)
                 self.inside[raw[:-1], raw[1:]] = True
         self.cuts = self._cuts()
-        self.memory = Memory(self._fragment)
+        self.ascii = re.compile(ASCII_BYTE_PATTERN if self.byte_level else ASCII_WORD_PATTERN)
+        self.memory, self.pieces = Memory(self._fragment), Memory(self._piece)
 
     def _cuts(self) -> re.Pattern:
         """Before white space, after a byte that never precedes it inside a token."""
@@ -104,17 +111,18 @@ class Encoder:
         one_of = lambda bs: b"[" + b"".join(b"\\x%02x" % b for b in bs) + b"]"
         return re.compile(b"|".join(b"(?<=" + one_of(b) + b")(?=" + one_of(c) + b")" for b, c in after.items() if b) or b"(?!)")
 
+    def _piece(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() and piece.isalpha() else piece.encode("utf-8").decode("latin-1").translate(_LETTERS)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
+
     def _fragment(self, fragment: bytes) -> bytes:
         text = fragment.decode("utf-8")
-        if _PLAIN.fullmatch(text) and not any(x in text for x in self.marks):
-            if not self.byte_level:
-                text = text.lower()
-            model, ids = self.tokenizer.model, []
-            for piece in self.pattern.findall(text):
-                ids.extend(t.id for t in model.tokenize(piece.encode("utf-8").decode("latin-1").translate(_LETTERS)))
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        if not _PLAIN.fullmatch(text) or any(x in text for x in self.marks):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if not self.byte_level:
+            text = text.lower()
+        pieces = (self.ascii if text.isascii() else self.pattern).findall(text)
+        return b"".join(map(self.pieces.__getitem__, pieces))
 
     def encode(self, text: bytes) -> bytes:
         """Ids of a UTF-8 text as little-endian unsigned 32-bit integers."""
