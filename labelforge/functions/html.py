@@ -1,26 +1,30 @@
 """Fragments of landed HTML as native column expressions.
 
-These read flat markup with regular expressions inside the JVM.  Where the result
-depends on nesting, use the exact mode in :mod:`labelforge.operators.extract`.
+Links and opening tags are read with regular expressions inside the JVM.  Elements, which may
+nest, and character references, of which there are thousands, are read in Arrow batches,
+and only for cells that hold one.
 """
 
 from __future__ import annotations
 
+import html as _html
+import re
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import strip_ws
 
-INVISIBLE = r"(?is)<(script|style|template)[^>]*>.*?</(script|style|template)>|<!--.*?-->"
+INVISIBLE = r"(?is)" + "|".join(rf"<{t}[^>]*>.*?</{t}>" for t in ("script", "style", "template")) + "|<!--.*?-->"
 TAG = r"<[^>]+>"
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
-# The named character references read natively.  "&amp;" comes last.
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
-    ("&amp;", "&"),
-)
+
+def unescape_references(text: str) -> str:
+    return _html.unescape(text)
 
 
 def _col(c: Column | str) -> Column:
@@ -32,33 +36,94 @@ def visible(html: Column | str) -> Column:
     return F.regexp_replace(_col(html), INVISIBLE, "")
 
 
+@F.arrow_udf(T.StringType())
+def _unescape(texts: pa.Array) -> pa.Array:
+    return pa.array([None if t is None else unescape_references(t) for t in texts.to_pylist()], pa.string())
+
+
 def unescape(c: Column | str) -> Column:
+    """Text with its character references decoded, named and numeric ones."""
     c = _col(c)
-    for name, char in ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
+    return F.when(F.contains(c, F.lit("&")), _unescape(c)).otherwise(c)
+
+
+_NODE, _ELEMENT = "\x00", "\x01"
 
 
 def markup_text(markup: Column | str) -> Column:
     """Text nodes, each stripped, joined without a separator."""
-    return F.array_join(
-        F.transform(F.split(_col(markup), TAG), lambda node: strip_ws(unescape(node))), ""
-    )
+    return F.array_join(F.transform(F.split(_decoded(_col(markup)), _NODE), lambda node: strip_ws(node)), "")
 
 
-def element_pattern(tag: str, attr: str | None = None, value: str | None = None, contains: bool = False) -> str:
-    """Regex whose group 1 is the inner markup of a flat element."""
-    if attr is None:
-        opening = rf"<{tag}(?:\s[^>]*)?>"
-    else:
-        quoted = rf'[^"]*{value}[^"]*' if contains else value
-        opening = rf'<{tag}\s(?:[^>]*\s)?{attr}="{quoted}"[^>]*>'
-    return rf"(?is){opening}(.*?)</{tag}>"
+def markup_texts(markups: Column) -> Column:
+    """:func:`markup_text` of every element of an array."""
+    parts = F.split(_decoded(F.array_join(markups, _ELEMENT)), _ELEMENT)
+    texts = F.transform(parts, lambda m: F.array_join(F.transform(F.split(m, _NODE), lambda node: strip_ws(node)), ""))
+    return F.when(F.size(markups) > 0, texts).otherwise(F.array().cast("array<string>"))
+
 
+def _decoded(markup: Column) -> Column:
+    """Tags replaced by a mark that no text holds, then references decoded."""
+    return unescape(F.regexp_replace(markup, rf"(?:{TAG})+", _NODE))
 
-def elements(markup: Column | str, pattern: str) -> Column:
-    """Inner markup of every match, in page order."""
-    return F.regexp_extract_all(_col(markup), F.lit(pattern), F.lit(1))
+
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+
+
+_TAGS = re.compile(r"""<(/?)([a-zA-Z][\w:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
+
+
+def _matches(attributes: str, attr: str | None, value: str | None, how: str) -> bool:
+    if attr is None:
+        return True
+    for m in _ATTRIBUTE.finditer(attributes):
+        if m[1].lower() == attr:
+            got = next((g for g in m.groups()[1:] if g is not None), "")
+            return value in got if how == "contains" else got.startswith(value) if how == "prefix" else got == value
+    return False
+
+
+def balanced(markup: str, tag: str | None, attr: str | None = None, value: str | None = None, how: str = "equals") -> list[str]:
+    """Inner markup of the matching elements in page order.
+
+    An element ends at its own closing tag, or with an element around it that is closed, or with
+    the page.  A closing tag without an open element is passed over.
+    """
+    out: list[str] = []
+    stack: list[tuple[str, int | None, int]] = []
+    for m in _TAGS.finditer(markup):
+        name = m[2].lower()
+        if m[1]:
+            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+            if at is not None:
+                for _, i, start in stack[at:]:
+                    if i is not None:
+                        out[i] = markup[start : m.start()]
+                del stack[at:]
+        elif name not in VOID and not m[3].rstrip().endswith("/"):
+            hit = (tag is None or name == tag) and _matches(m[3], attr, value, how)
+            stack.append((name, len(out) if hit else None, m.end()))
+            if hit:
+                out.append("")
+    for _, i, start in stack:
+        if i is not None:
+            out[i] = markup[start:]
+    return out
+
+
+def selected(markup: Column | str, tag: str | None, attr: str | None = None, value: str | None = None, how: str | bool = "equals") -> Column:
+    """Inner markup of every element that a selector matches, nested ones included.
+
+    ``tag`` may be None for any tag; ``how`` is ``equals``, ``prefix`` or ``contains``.
+    """
+    how = {True: "contains", False: "equals"}.get(how, how)
+    opening = f"(?i)<{tag}[\\s>/]" if tag else f"(?i){attr}"
+    cut = F.arrow_udf(
+        lambda pages: pa.array([None if p is None else balanced(p, tag, attr, value, how) for p in pages.to_pylist()], pa.list_(pa.string())),
+        "array<string>",
+    )
+    page = _col(markup)
+    return F.when(page.rlike(opening), cut(page)).otherwise(F.array().cast("array<string>"))
 
 
 def hrefs(markup: Column | str) -> Column:

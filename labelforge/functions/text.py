@@ -32,9 +32,6 @@ NA_TOKENS = (
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Bracketed source notes; callers add their own house notes.
-SOURCE_NOTES = (r"\(Source: [^\)]+\)", r"\[Source: [^\]]+\]")
-
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c

@@ -1,62 +1,49 @@
-"""Shared folder for written tables, and joins with small counted tables."""
+"""Folders for written stages, and joins with tables that are expected to be small."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 100_000
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder path below ``spark.checkpoint.dir``, or the context's checkpoint folder.
+    """A new folder path on storage that every executor sees.
 
-    That is storage which every executor sees.  Only a local master may do without it,
-    and then gets a folder of its own; a cluster has to name one.
+    It lies below ``spark.checkpoint.dir``, else below the context's checkpoint folder, else
+    below the warehouse.
     """
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not base:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="labelforge-"))
-        base = sc.getCheckpointDir()
+    base = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stages"
+    )
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def forget_at_exit(spark: SparkSession, path: str) -> None:
+    """Have a written folder deleted when the driver ends; results may read it until then."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and return the table read back.
 
-    Lineage ends there, so a lost executor costs a re-read and not a re-run.
+    Lineage ends there, so a lost executor costs a re-read and not a re-run, and the
+    planner knows the table's size in bytes.
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
+    forget_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Repartition a scan that has fewer splits than the session has cores.
-
-    A small table sits in one row group and would be tokenised on one core.  A large one
-    has splits for every core and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
-def lookup_join(
-    big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
     """Join with a table that is expected to be small.
 
-    The table is stored and counted; up to ``max_rows`` it is broadcast.  A larger one
-    is joined by a shuffle, where adaptive execution splits skewed partitions.
+    Adaptive execution measures it, broadcasts it within the session's byte threshold, and
+    otherwise joins by a shuffle with skewed partitions split.
     """
-    small = stored(small, "lookup")
-    if small.count() <= max_rows:
-        small = F.broadcast(small)
     return big.join(small, on, how)

@@ -28,16 +28,35 @@ def keep_first(
 ) -> DataFrame:
     """The first row of each key; NULL is a key like any other.
 
-    ``row_number() = 1`` becomes a group limit that runs before the shuffle as well, so
-    each task sends one row per key and a key that holds a third of the rows stays
-    cheap.  The hash leads the sort, so long texts are compared only within a hash.
+    Winners are found on digests of the keys and the order, one per key and task before
+    the shuffle, and the rows are then taken back by their order.  Neither a sort nor the
+    shuffle of that search carries a text.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if drop_blank:
         for k in keys:
             df = df.where(F.col(k) != "")
-    w = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    return _winners(df, keys, order, F.struct(*[F.col(c) if isinstance(c, str) else c for c in order]))
+
+
+def _digest(key: str) -> Column:
+    return F.coalesce(F.unhex(F.sha2(F.col(key).cast("string"), 256)), F.lit(b""))
+
+
+def _winners(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], rank: Column) -> DataFrame:
+    """Rows with the least ``rank`` of their key; ``order`` tells rows apart."""
+    own = [F.col(c) if isinstance(c, str) else c for c in order]
+    least = (
+        df.select(*[_digest(k).alias(f"_d{i}") for i, k in enumerate(keys)], rank.alias("_r"), F.struct(*own).alias("_o"))
+        .groupBy(*[f"_d{i}" for i in range(len(keys))])
+        .agg(F.min(F.struct("_r", "_o")).alias("_w"))
+        .select(*[F.col("_w._o")[f].alias(f"_o{i}") for i, f in enumerate(_fields(df, own))])
+    )
+    return df.join(least, [c.eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(own)], "left_semi")
+
+
+def _fields(df: DataFrame, columns: Sequence[Column]) -> list[str]:
+    return df.select(F.struct(*columns).alias("s")).schema["s"].dataType.names
 
 
 def keep_longest(
@@ -46,16 +65,16 @@ def keep_longest(
     """The row with the longest text of each key, the earlier one on a tie.
 
     ``first_seen`` is the order tuple of the key's first row, for output in that order.
-    Both come from one aggregate with a partial step before the shuffle.
+    Both come from one aggregate over digests, lengths and orders, with a partial step
+    before the shuffle; the rows are then taken back by their order.
     """
     rank = F.struct(*[F.col(c) for c in order])
     # Least negative length first, then least order: one ascending tuple.
-    best = F.struct(-F.length(text), *[F.col(c) for c in order])
-    picked = df.groupBy(F.xxhash64(key).alias("_h"), key).agg(
-        F.min_by(F.struct(*[F.col(c) for c in df.columns]), best).alias("_row"),
-        F.min(rank).alias(first_seen),
-    )
-    return picked.select("_row.*", first_seen)
+    best = F.struct((-F.length(text)).alias("_l"), *[F.col(c) for c in order])
+    picked = df.groupBy(_digest(key).alias("_d")).agg(F.min(best).alias("_b"), F.min(rank).alias(first_seen))
+    picked = picked.select(first_seen, *[F.col("_b")[c].alias(f"_o{i}") for i, c in enumerate(order)])
+    same = [df[c].eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(order)]
+    return df.join(picked, same).select(*df.columns, first_seen)
 
 
 def keep_first_two_keys(

@@ -21,7 +21,9 @@ def confusion_matrix(df: DataFrame, truth: str, pred: str, labels: Sequence[str]
 
 
 def accuracy(df: DataFrame, truth: str, pred: str) -> DataFrame:
-    return df.agg(F.avg((F.col(truth) == F.col(pred)).cast("double")).alias("accuracy"))
+    """Share of rows whose prediction is right; a missing prediction is wrong."""
+    hit = F.coalesce(F.col(truth) == F.col(pred), F.lit(False))
+    return df.agg(F.avg(hit.cast("double")).alias("accuracy"))
 
 
 def report(df: DataFrame, truth: str, pred: str) -> DataFrame:

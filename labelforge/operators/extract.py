@@ -1,9 +1,8 @@
 """Links, titles, blocks and records from landed HTML pages.
 
-The native forms run inside the JVM and read flat markup.  Those that read text expect
-:func:`visible_pages`, so that scripts and comments are cut out once per page.
-:func:`page_parts_exact` follows the nesting with the standard library's parser, in
-Arrow batches of pages.
+Those that read text expect :func:`visible_pages`, so that scripts and comments are cut out once
+per page.  Elements follow the nesting.  :func:`page_parts_exact` also knows the ancestors of
+each link, from the standard library's parser in Arrow batches of pages.
 """
 
 from __future__ import annotations
@@ -69,11 +68,15 @@ def block_keyword_counts(html: Column | str, selector: Selector, terms: Sequence
     return F.size(texts), F.size(F.filter(texts, lambda t: any_term(t, terms)))
 
 
-def title_of(html: Column | str, site_suffix: str | None = None) -> Column:
-    """Text of ``<h1>``, or of ``<title>`` where there is no ``<h1>``, without the site's name."""
-    h1 = F.try_element_at(H.elements(html, H.element_pattern("h1")), F.lit(1))
-    title = F.try_element_at(H.elements(html, H.element_pattern("title")), F.lit(1))
-    text = H.markup_text(F.coalesce(h1, title, F.lit("")))
+def title_of(html: Column | str, site_suffix: str | None = None, h1_only: bool = False) -> Column:
+    """Text of ``<h1>``, or of ``<title>`` where there is no ``<h1>``, without the site's name.
+
+    With ``h1_only`` a page without ``<h1>`` has an empty title.
+    """
+    picks = [F.try_element_at(H.selected(html, "h1"), F.lit(1))]
+    if not h1_only:
+        picks.append(F.try_element_at(H.selected(html, "title"), F.lit(1)))
+    text = H.markup_text(F.coalesce(*picks, F.lit("")))
     return strip_ws(F.regexp_replace(text, site_suffix, "")) if site_suffix else text
 
 
@@ -83,9 +86,8 @@ def page_text(html: Column | str) -> Column:
 
 
 def selector_texts(html: Column | str, selector: Selector) -> Column:
-    """Texts of all elements that a ``(tag, attr, value, contains)`` selector matches."""
-    found = H.elements(html, H.element_pattern(*selector))
-    return F.transform(found, lambda m: H.markup_text(m))
+    """Texts of all elements that a ``(tag, attr, value, how)`` selector matches."""
+    return H.markup_texts(H.selected(html, *selector))
 
 
 def first_block(html: Column | str, selectors: Sequence[Selector], min_len: int | None = None,
@@ -164,8 +166,6 @@ def pages_to_records(
 class _Parts(HTMLParser):
     """Links with their ancestors' class and id words, and texts of selected elements."""
 
-    VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-
     def __init__(self, selectors: Sequence[Selector]):
         super().__init__(convert_charrefs=True)
         self.selectors = selectors
@@ -183,7 +183,7 @@ class _Parts(HTMLParser):
             if want == tag and (attr is None or (got is not None and (value in got if contains else value == got))):
                 mine.append(len(self.blocks))
                 self.blocks.append((i, []))
-        if tag not in self.VOID:
+        if tag not in H.VOID:
             words = f"{values.get('class', '')} {values.get('id', '')}".lower()
             self.open.append((tag, words, mine))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.tokens import counted, ngrams, tokens
-from .common import BROADCAST_ROWS
+from .common import stored
 
 
 def english_stop_words() -> list[str]:
@@ -75,13 +75,11 @@ def tfidf(
 ) -> DataFrame:
     """``(doc, *keep, feature_idx, term, weight)``: L2-normalised weights.
 
-    The vocabulary is cut to ``size`` rows by construction; within the broadcast bound
-    it is sent to the tasks, beyond it the join shuffles.  The norm is one window over
+    The vocabulary is written, so that the planner knows its bytes and broadcasts it within
+    the session's threshold; beyond it the join shuffles.  The norm is one window over
     a document's own terms, which shuffles on the document id only.
     """
-    vocab = vocab.select("term", "feature_idx", "idf")
-    if size <= BROADCAST_ROWS:
-        vocab = F.broadcast(vocab)
+    vocab = stored(vocab.select("term", "feature_idx", "idf"), "vocab")
     raw = counts.join(vocab, "term").withColumn("raw", term_frequency("n", sublinear) * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(doc)))
     return raw.select(doc, *keep, "feature_idx", "term", (F.col("raw") / norm).alias("weight"))

@@ -21,28 +21,20 @@ def signature_set(
     return (sigs.where(F.col(out) != "") if drop_blank else sigs).distinct()
 
 
-def key_table(known: DataFrame, key: str) -> DataFrame:
-    """The distinct keys, written.
-
-    Adaptive execution splits a hot key of the other side only where both sides come
-    straight from a shuffle; a ``distinct`` inside the join would prevent that.
-    """
-    return stored(known.select(key).distinct(), "keys")
-
-
 def drop_known(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in ``known``.
 
-    Catalyst broadcasts a small key table; otherwise a hot key of ``df`` is split.
+    The keys need not be distinct: without an aggregate inside the join, adaptive execution
+    can split a hot key of ``df``.
     """
-    return df.join(key_table(known, key), key, "left_anti")
+    return df.join(known.select(key), key, "left_anti")
 
 
 def overlap_count(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """One row ``overlap``: how many rows have their key in ``other``; 0 without that column."""
     if key not in other.columns:
         return df.agg(F.lit(0).cast("bigint").alias("overlap"))
-    return df.join(key_table(other, key), key, "left_semi").agg(F.count("*").alias("overlap"))
+    return df.join(other.select(key), key, "left_semi").agg(F.count("*").alias("overlap"))
 
 
 def contained_signatures(probes: DataFrame, known: DataFrame, sig: str, min_len: int = 6) -> DataFrame:

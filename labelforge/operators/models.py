@@ -16,6 +16,7 @@ from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import as_text
 from .common import stored
 from .evaluate import accuracy, averages, category_f1, report
 from .features import term_counts, term_stats, tfidf, to_vectors, vocabulary
@@ -49,8 +50,10 @@ def build_features(
 ) -> Features:
     """Vocabulary and weights from the training rows only.
 
-    ``counts`` may hold stored term counts of the same rows, with their label.
+    A missing label becomes the class ``nan``.  ``counts`` may hold stored term counts of the
+    same rows, with their label.
     """
+    train = train.withColumn(label, as_text(label))
     if counts is None:
         counts = stored(term_counts(train, doc, text, "train", stop_words, ngram_range, [label]), "counts")
     docs = stored(train.select(doc, label), "labels")
@@ -80,15 +83,9 @@ def _linear_params(feats: Features, classes: list[str], coef, intercept) -> Line
     )
 
 
-# A solver runs a job per step, so partitions much smaller than this only add tasks.
-ROWS_PER_TASK = 50_000
-
-
 def _weighted(feats: Features, label: str, factors: Mapping[str, float] | None) -> DataFrame:
-    """Training rows with their class weight, in partitions that suit an iterative solver."""
-    weights = class_weights(feats.docs, label, factors)
-    rows = with_class_weight(feats.rows, label, weights)
-    return rows.coalesce(max(1, -(-feats.n_rows // ROWS_PER_TASK)))
+    """Training rows with their class weight."""
+    return with_class_weight(feats.rows, label, class_weights(feats.docs, label, factors))
 
 
 def fit_logreg(
@@ -115,7 +112,7 @@ def fit_logreg(
 
 
 def fit_ovr_svm(
-    feats: Features, label: str, C: float = 1.0, max_iter: int = 100, tol: float = 1e-4
+    feats: Features, label: str, C: float = 1.0, max_iter: int = 1000, tol: float = 1e-4
 ) -> Fitted:
     """One linear SVM per class against the rest.
 
@@ -180,36 +177,18 @@ def fit_naive_bayes(feats: Features, label: str, alpha: float = 0.1) -> Fitted:
     return Fitted(params)
 
 
-# The compared set-ups: kind, penalty or smoothing, vocabulary size, n-gram range.
-VARIANTS = (
-    {"variant_id": "Var 0 (Baseline)", "kind": "svm", "C": 1.0, "size": 10_000, "ngram_range": (1, 2)},
-    {"variant_id": "Var 1", "kind": "svm", "C": 0.2, "size": 10_000, "ngram_range": (1, 2)},
-    {"variant_id": "Var 2", "kind": "svm", "C": 1.0, "size": 10_000, "ngram_range": (1, 3)},
-    {"variant_id": "Var 3", "kind": "svm", "C": 1.0, "size": 5_000, "ngram_range": (1, 2)},
-    {"variant_id": "Var 4", "kind": "nb", "alpha": 0.1, "size": 10_000, "ngram_range": (1, 2)},
-    {"variant_id": "Var 5", "kind": "logreg", "C": 1.0, "size": 10_000, "ngram_range": (1, 2)},
-)
-
-
-def describe(v: Mapping) -> str:
-    name = {"svm": "LinearSVC", "nb": "MultinomialNB", "logreg": "LogisticRegression"}[v["kind"]]
-    knob = f"alpha={v['alpha']}" if v["kind"] == "nb" else f"C={v['C']}"
-    size = f"{v['size'] // 1000}k" if v["size"] >= 1000 else str(v["size"])
-    lo, hi = v["ngram_range"]
-    return f"{name} ({knob}, {size} feat, {lo}-{hi} ngrams)"
-
-
 def run_variants(
     train: DataFrame, test: DataFrame, doc: str, text: str, label: str,
-    variants: Sequence[Mapping] = VARIANTS, stop_words: Sequence[str] = (),
-    categories: Sequence[str] = (), svm_max_iter: int = 100,
+    variants: Sequence[Mapping], stop_words: Sequence[str] = (), categories: Sequence[str] = (),
 ) -> DataFrame:
     """Fit each variant on one split; one row of metrics per variant.
 
-    Columns: number, id, description, accuracy, macro F1, and F1 per category.  Term
+    A variant names ``variant_id``, ``description``, ``kind`` (``svm``, ``nb`` or ``logreg``),
+    ``size``, ``ngram_range``, and ``C`` or ``alpha``.  Columns: number, id, description, accuracy, macro F1, and F1 per category.  Term
     counts are written once per n-gram range, features once per range and size.
     """
     spark = train.sparkSession
+    train, test = (df.withColumn(label, as_text(label)) for df in (train, test))
     counts: dict = {}
     feats: dict = {}
     result = []
@@ -228,7 +207,7 @@ def run_variants(
         if v["kind"] == "nb":
             fitted = fit_naive_bayes(feats[key], label, v["alpha"])
         elif v["kind"] == "svm":
-            fitted = fit_ovr_svm(feats[key], label, v["C"], svm_max_iter)
+            fitted = fit_ovr_svm(feats[key], label, v["C"], tol=v.get("tol", 1e-4))
         else:
             fitted = fit_logreg(feats[key], label, v["C"])
         predicted = score_counts(test_counts, fitted.params, doc).select(doc, "predicted_label")
@@ -236,7 +215,7 @@ def run_variants(
         rep = report(pairs, label, "predicted_label")
         f1 = {r["label"]: r["f1"] for r in category_f1(rep, list(categories)).collect()} if categories else {}
         result.append(
-            (no, v["variant_id"], describe(v), accuracy(pairs, label, "predicted_label").first()[0],
+            (no, v["variant_id"], v["description"], accuracy(pairs, label, "predicted_label").first()[0],
              averages(rep).first()["macro_f1"], *[f1[c] for c in categories])
         )
     names = ", ".join(f"`{c}_f1` double" for c in categories)

@@ -7,20 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lookup_join
+from .common import lookup_join, stored
 
 
 def cap_per_group(df: DataFrame, group: str, order: Sequence[str], k: int) -> DataFrame:
-    """The first ``k`` rows of each group.
+    """The first ``k`` rows of each group, for every ``k``.
 
-    Up to the session's group-limit threshold each task sends at most ``k`` rows of a
-    group.  Beyond it a whole group would meet in one task, so that is refused.
+    Ranges of (group, order) are dealt to tasks, so a large group spreads over several.  A row's
+    rank is its rank in its range plus the group's rows in the ranges before.  Only groups
+    and orders travel; the rows are taken back by them.
     """
-    setting = "spark.sql.optimizer.windowGroupLimitThreshold"
-    if k > int(df.sparkSession.conf.get(setting)):
-        raise ValueError(f"raise {setting} to {k} or more, so that tasks send only the first rows")
-    w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+    keys = [group, *order]
+    ranged = df.select(*keys).repartitionByRange(*keys).withColumn("_range", F.spark_partition_id())
+    ranged = stored(ranged, "ranges")
+    sizes = ranged.groupBy(group, "_range").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(group).orderBy("_range")) - F.col("_n")
+    open_ranges = sizes.withColumn("_before", before).where(F.col("_before") < k).drop("_n")
+    local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_range", group).orderBy(*order)))
+    at = open_ranges.select(F.col(group).alias("_g"), F.col("_range").alias("_r"), "_before")
+    first = local.join(at, local[group].eqNullSafe(at["_g"]) & (F.col("_range") == F.col("_r")))
+    first = first.where(F.col("_rn") + F.col("_before") <= k).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)])
+    same = [df[c].eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)]
+    return df.join(first, same, "left_semi")
 
 
 def distribution(df: DataFrame, col: str, out: str = "n") -> DataFrame:
@@ -49,7 +57,7 @@ def funnel(df: DataFrame, source: str, outcome: Column, until_kept: int | None =
     """Rows per source and outcome.
 
     With ``until_kept`` a source stops at its N-th ``kept`` row in ``order``: later rows
-    are not counted.  That place is a bounded top-N per source, joined back as one row.
+    are not counted.  That place is the last of the first N, joined back as one row.
     """
     tagged = df.withColumn("outcome", outcome)
     if until_kept is not None:

@@ -43,7 +43,9 @@ def parse_tag_list(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     # Rewrite what a Python list literal allows and lenient JSON does not.
     text = F.regexp_replace(c, r",\s*\]\s*\z", "]")
-    text = F.regexp_replace(text, r"(^\s*\[|,)(\s*)None(?=\s*[,\]])", "$1$2null")
+    # From one match to the next only brackets, commas and whole quoted elements are passed.
+    passed = r"""\G((?:\s*+(?:\[|,|'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+"))*+\s*+)None(?=\s*[,\]])"""
+    text = F.regexp_replace(text, passed, "$1null")
     text = F.regexp_replace(text, r"\\x([0-9A-Fa-f]{2})", r"\\u00$1")
     parsed = F.from_json(
         text, "array<string>",

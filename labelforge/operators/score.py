@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.binding import let
-from .common import BROADCAST_ROWS
+from .common import stored
 from .features import term_counts, term_frequency
 
 
@@ -60,9 +60,7 @@ def score(df: DataFrame, params: LinearParams, doc: str, text: str, tokenizer: s
 
 def score_counts(counts: DataFrame, params: LinearParams, doc: str) -> DataFrame:
     """:func:`score` from term counts, which have a NULL term for documents without any."""
-    terms = params.terms.select("term", "idf", "coef")
-    if params.n_terms <= BROADCAST_ROWS:
-        terms = F.broadcast(terms)
+    terms = stored(params.terms.select("term", "idf", "coef"), "terms")
     weight = term_frequency("n", params.sublinear_tf) * F.col("idf")
     weighted = counts.join(terms, "term", "left").select(
         doc, weight.alias("w"), *[F.col("coef")[i].alias(f"c{i}") for i in range(len(params.classes))]

@@ -50,6 +50,10 @@ def stratified_split(
     themselves are compared with one cut per class and never shuffled.
     """
     digest = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(str(seed))))
+    # A missing label is a class of its own, told apart by a flag so that joins find it.
+    columns, named = df.columns, F.coalesce(F.col(label).cast("string"), F.lit(""))
+    df = df.withColumn("_class", F.concat(F.col(label).isNull().cast("string"), named))
+    label = "_class"
     keyed = df.select(label, F.struct(digest.alias("d"), F.col(id_col)).alias("k"))
     keyed = keyed.withColumn("bucket", F.substring("k.d", 1, BUCKET_DIGITS))
 
@@ -72,7 +76,7 @@ def stratified_split(
     is_test = F.coalesce(mine <= F.col("_cut"), F.lit(False))
     return lookup_join(df, cuts, label, "left").withColumn(
         out, F.when(is_test, "test").otherwise("train")
-    ).select(*df.columns, out)
+    ).select(*columns, out)
 
 
 def class_weights(df: DataFrame, label: str, overrides: Mapping[str, float] | None = None) -> DataFrame:
@@ -87,4 +91,6 @@ def class_weights(df: DataFrame, label: str, overrides: Mapping[str, float] | No
 
 
 def with_class_weight(df: DataFrame, label: str, weights: DataFrame, out: str = "class_weight") -> DataFrame:
-    return lookup_join(df, weights.select(label, F.col("class_weight").alias(out)), label)
+    """Rows with the weight of their class; a missing label is a class like any other."""
+    weights = weights.select(F.col(label).alias("_class"), F.col("class_weight").alias(out))
+    return lookup_join(df, weights, df[label].eqNullSafe(F.col("_class"))).drop("_class")

@@ -12,7 +12,7 @@ from .text_queries import texts
 
 # A short stop list for the checked queries.
 STOP = ("the", "of", "and", "to", "in", "is", "der", "die", "und", "le", "la", "de", "el", "los", "que")
-VOCAB = 2000
+VOCAB = 10_000
 
 
 def _listed(mode: str, stop: bool = False) -> str:

@@ -10,10 +10,14 @@ from .feature_queries import STOP, WEIGHTS_SQL, grams_sql, vocab_sql
 from .registry import query
 from .text_queries import documents, texts
 
-NB_TERMS = 1000
-SCORE_TERMS = 500
-# Steps per SVM in the registered queries; the library default is higher.
-SVM_STEPS = 30
+TERMS = 10_000
+# The grid of the comparison query: kinds, penalties, sizes and ranges.
+GRID = (
+    {"variant_id": "svm", "description": "one-vs-rest SVM", "kind": "svm", "C": 1.0, "size": TERMS, "ngram_range": (1, 2), "tol": 1e-3},
+    {"variant_id": "svm-words", "description": "one-vs-rest SVM, words only", "kind": "svm", "C": 1.0, "size": TERMS, "ngram_range": (1, 1), "tol": 1e-3},
+    {"variant_id": "bayes", "description": "naive Bayes", "kind": "nb", "alpha": 0.1, "size": TERMS, "ngram_range": (1, 2)},
+    {"variant_id": "logistic", "description": "logistic regression", "kind": "logreg", "C": 1.0, "size": TERMS, "ngram_range": (1, 2)},
+)
 CLASSES = ("de", "en", "es", "fr")
 GUESS = (
     ("en", rules.word_edges("the|and|of")),
@@ -107,11 +111,11 @@ def formula_params(spark, sf) -> score.LinearParams:
     d = texts(spark, sf)
     counts = features.term_counts(d, "doc_id", "text", "export", (), (1, 2))
     coef = F.array(*[((c * 31 + F.col("feature_idx") * 17) % 13 - 6) / 10.0 for c in range(len(CLASSES))])
-    terms = features.fit_vocabulary(d, counts, SCORE_TERMS).withColumn("coef", coef)
-    return score.LinearParams(list(CLASSES), [c / 10.0 for c in range(len(CLASSES))], terms, SCORE_TERMS)
+    terms = features.fit_vocabulary(d, counts, TERMS).withColumn("coef", coef)
+    return score.LinearParams(list(CLASSES), [c / 10.0 for c in range(len(CLASSES))], terms, TERMS)
 
 
-SCORE_SQL = f"""WITH {vocab_sql(grams_sql(mode='export'), SCORE_TERMS)}, {WEIGHTS_SQL},
+SCORE_SQL = f"""WITH {vocab_sql(grams_sql(mode='export'), TERMS)}, {WEIGHTS_SQL},
 classes AS (SELECT * FROM (VALUES (0, 'de'), (1, 'en'), (2, 'es'), (3, 'fr')) v(c, name)),
 dots AS (SELECT doc_id, c, sum(weight * ((c * 31 + feature_idx * 17) % 13 - 6) / 10.0::DOUBLE) AS s FROM weights, classes GROUP BY doc_id, c),
 scores AS (SELECT d.doc_id, c, name, coalesce(s, 0) + c / 10.0::DOUBLE AS s FROM documents d CROSS JOIN classes LEFT JOIN dots USING (doc_id, c)),
@@ -147,7 +151,7 @@ def _predicted(test, fitted):
 
 
 NB_SQL = f"""WITH {SPLIT_SQL}, train AS (SELECT * FROM parts WHERE part = 'train'), test AS (SELECT * FROM parts WHERE part = 'test'),
-{vocab_sql(grams_sql('train'), NB_TERMS, 'train')}, {WEIGHTS_SQL},
+{vocab_sql(grams_sql('train'), TERMS, 'train')}, {WEIGHTS_SQL},
 sums AS (SELECT lang, feature_idx, sum(weight) AS w FROM weights JOIN train USING (doc_id) GROUP BY lang, feature_idx),
 filled AS (SELECT l.lang, v.feature_idx, v.term, v.idf, coalesce(w, 0) AS w FROM (SELECT DISTINCT lang FROM train) l
     CROSS JOIN vocab v LEFT JOIN sums USING (lang, feature_idx)),
@@ -167,7 +171,7 @@ GROUP BY doc_id, truth, lang"""
 @query(NB_SQL)
 def train_naive_bayes(spark, sf):
     train, test = split_documents(spark, sf)
-    feats = models.build_features(train, "doc_id", "text", "lang", NB_TERMS, (1, 2), STOP)
+    feats = models.build_features(train, "doc_id", "text", "lang", TERMS, (1, 2), STOP)
     return _predicted(test, models.fit_naive_bayes(feats, "lang"))
 
 
@@ -182,11 +186,11 @@ def train_logreg(spark, sf):
 def train_ovr_svm(spark, sf):
     train, test = split_documents(spark, sf)
     feats = models.build_features(train, "doc_id", "text", "lang", stop_words=STOP)
-    return _predicted(test, models.fit_ovr_svm(feats, "lang", max_iter=SVM_STEPS))
+    return _predicted(test, models.fit_ovr_svm(feats, "lang", tol=1e-3))
 
 
 @query()
 def tune_variants(spark, sf):
     train, test = split_documents(spark, sf)
-    metrics = models.run_variants(train, test, "doc_id", "text", "lang", stop_words=STOP, categories=TRACKED, svm_max_iter=SVM_STEPS)
+    metrics = models.run_variants(train, test, "doc_id", "text", "lang", GRID, STOP, TRACKED)
     return models.summary_table(metrics)

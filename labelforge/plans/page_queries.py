@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 from ..functions import html as H
 from ..functions import text as X
 from ..operators import extract
-from ..operators.common import spread
 from ..operators.rules import keyword_audit
 from ..sources import payloads
 from . import sqltext as S
@@ -27,7 +26,7 @@ SUFFIX = r"\.$"
 
 
 def pages(spark, sf):
-    return spread(table(spark, sf, "pages"), "page_id")
+    return table(spark, sf, "pages")
 
 
 def visible(spark, sf):
@@ -78,8 +77,20 @@ def link_keyword_audit(spark, sf):
     return keyword_audit(anchors, "text", "href", TEXT_WORDS, HREF_WORDS).select("page_id", "href", "text")
 
 
-@query(f"""SELECT page_id, len(t) AS items, len(list_filter(t, lambda x: regexp_matches(lower(x), 'ing|lich'))) AS matching
-    FROM (SELECT page_id, {S.element_texts('html', *PARAGRAPH)} AS t FROM pages)""")
+# Texts of the paragraphs, some of which stay open until the article ends: a paragraph's text is that of
+# the stretches between its tag and the token that brings the depth back.
+TOKEN = S.lit(r"(?i)</?p(?:\s[^>]*)?>|</article>")
+PARAGRAPHS_SQL = f"""v AS (SELECT *, {S.visible('html')} AS v FROM pages),
+tk AS (SELECT *, regexp_extract_all(v, {TOKEN}) AS toks,
+    list_transform(regexp_split_to_array(v, {TOKEN}), lambda s: {S.markup_text('s')}) AS segs FROM v),
+sg AS (SELECT *, list_transform(toks, lambda x: CASE WHEN starts_with(x, '</') THEN -1 ELSE 1 END) AS signs FROM tk),
+pp AS (SELECT *, list_transform(list_filter(range(1, len(toks) + 1), lambda t: signs[t] = 1), lambda t: array_to_string(
+    segs[t + 1:coalesce(list_min(list_filter(range(t + 1, len(toks) + 1),
+        lambda j: toks[j] = '</article>' OR list_sum(signs[t:j]) <= 0)), len(toks) + 1)], '')) AS p FROM sg)"""
+
+
+@query(f"""WITH {PARAGRAPHS_SQL} SELECT page_id, len(p) AS items,
+    len(list_filter(p, lambda x: regexp_matches(lower(x), 'ing|lich'))) AS matching FROM pp""")
 def page_keyword_counts(spark, sf):
     items, matching = extract.block_keyword_counts("html", PARAGRAPH, TEXT_WORDS)
     return visible(spark, sf).select(
@@ -103,20 +114,20 @@ def _first_text(*selector) -> str:
 
 FALLBACK_SQL = f"""CASE WHEN length({_first_text(*SIDE)}) > 60 THEN {_first_text(*SIDE)}
     WHEN length({_first_text(*AD)}) > 60 THEN {_first_text(*AD)}
-    WHEN length({_first_text(*PARAGRAPH)}) > 60 THEN {_first_text(*PARAGRAPH)}
+    WHEN length(p[1]) > 60 THEN p[1]
     ELSE {S.markup_text(S.visible('html'))} END"""
 
 
-@query(f"SELECT page_id, {FALLBACK_SQL} AS body FROM pages")
+@query(f"WITH {PARAGRAPHS_SQL} SELECT page_id, {FALLBACK_SQL} AS body FROM pp")
 def page_body_fallback(spark, sf):
     body = extract.first_block("html", (SIDE, AD, PARAGRAPH), min_len=60)
     return visible(spark, sf).select("page_id", body.alias("body"))
 
 
-@query(f"""SELECT page_id, CASE WHEN len(t) = 0 OR list_max(list_transform(t, lambda x: length(x))) = 0
+@query(f"""WITH {PARAGRAPHS_SQL} SELECT page_id, CASE WHEN len(t) = 0 OR list_max(list_transform(t, lambda x: length(x))) = 0
         THEN substr({S.markup_text(S.visible('html'))}, 1, 500)
         ELSE list_filter(t, lambda x: length(x) = list_max(list_transform(t, lambda y: length(y))))[1] END AS body
-    FROM (SELECT page_id, html, {S.element_texts('html', *PARAGRAPH)} AS t FROM pages)""")
+    FROM (SELECT page_id, html, p AS t FROM pp)""")
 def page_longest_block(spark, sf):
     return visible(spark, sf).select("page_id", extract.longest_block("html", PARAGRAPH).alias("body"))
 
@@ -132,8 +143,9 @@ def page_block_counts(spark, sf):
 CATEGORY = r"/([a-z][a-z])/"
 PHRASES = ("of the", "nicht")
 MARKERS = ("tion", "ment")
-RECORDS_SQL = f"""WITH t AS (SELECT page_id, url, regexp_extract(url, '{CATEGORY}', 1) AS cat,
-    {S.strip(S.sub(S.title_of('html'), SUFFIX))} AS title, {FALLBACK_SQL} AS body FROM pages),
+RECORDS_SQL = f"""WITH {PARAGRAPHS_SQL},
+t AS (SELECT page_id, url, regexp_extract(url, '{CATEGORY}', 1) AS cat,
+    {S.strip(S.sub(S.title_of('html'), SUFFIX))} AS title, {FALLBACK_SQL} AS body FROM pp),
 c AS (SELECT page_id, url, cat, title, {S.collapse(S.sub(S.sub('body', '(?i)of the'), '(?i)nicht'))} AS body FROM t)
 SELECT page_id, url, title, title || '. ' || body AS text,
     CASE WHEN cat = 'en' THEN CASE WHEN regexp_matches(lower(title || ' ' || body), 'tion|ment') THEN 'en-marked' ELSE 'en-plain' END ELSE cat END AS label
@@ -194,7 +206,7 @@ def entries_to_records(spark, sf):
     return payloads.entries_to_records(entries, ["doc_id"], "reference", "feed")
 
 
-WORD1, WORD2 = "string_split(text, ' ')[1]", "string_split(text, ' ')[2]"
+WORD1, WORD2 = "string_split(text, '. ')[1]", "string_split(text, '. ')[2]"
 ENGLISH = f"CASE WHEN doc_id % 4 = 0 THEN '' ELSE {WORD2} END"
 CLEAN = S.collapse(S.sub(S.sub("text", "(?i)" + NOTES[0]), "(?i)" + NOTES[1]))
 ITEMS_SQL = f"""
@@ -214,7 +226,7 @@ keyed AS (SELECT doc_id AS id, a, b FROM fresh),"""
                 "WHERE doc_id IN (SELECT id FROM step WHERE state = 1) ORDER BY doc_id LIMIT 490"))
 def items_to_records(spark, sf):
     """Documents as nested payload items: titles, synopsis, then cleaning and de-duplication."""
-    words = F.split("text", " ")
+    words = F.split("text", "[.] ")
     first, second = F.try_element_at(words, F.lit(1)), F.try_element_at(words, F.lit(2))
     english = F.when(F.col("doc_id") % 4 == 0, "").otherwise(second)
     attributes = F.struct(

@@ -34,7 +34,7 @@ def dedup_title_first(spark, sf):
     return dedup.keep_first(d, "title", ["doc_id"])
 
 
-LONG_KEY = f"""coalesce(nullif({S.title_bilingual("string_split(text, ' ')[1]")}, ''), {S.title_bilingual('substr(text, 1, 40)')})"""
+LONG_KEY = f"""coalesce(nullif({S.title_bilingual(S.DOC_TITLE)}, ''), {S.title_bilingual('substr(text, 1, 40)')})"""
 
 
 @query(f"""WITH k AS (SELECT doc_id AS row_id, {RANKED} AS source_rank, text, {LONG_KEY} AS key FROM documents),
@@ -42,27 +42,26 @@ r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY length(text) DESC,
     first_value(row_id) OVER (PARTITION BY key ORDER BY source_rank, row_id) AS first_row FROM k)
 SELECT key, row_id, source_rank, length(text) AS n, first_row FROM r WHERE rn = 1""")
 def dedup_keep_longest(spark, sf):
-    first_word = F.substring_index("text", " ", 1)
-    d = ranked(spark, sf).select("source_rank", "row_id", "text", X.fallback_key(first_word, "text").alias("key"))
+    d = ranked(spark, sf).select("source_rank", "row_id", "text", X.fallback_key(X.title_prefix("text"), "text").alias("key"))
     return dedup.keep_longest(d, "key", "text").select(
         "key", "row_id", "source_rank", F.length("text").cast("bigint").alias("n"),
         F.col("first_seen.row_id").alias("first_row"),
     )
 
 
-KEY30 = S.title_key("substr(text, 1, 30)")
+KEY = S.title_key(S.DOC_TITLE)
 
 
-@query(f"""SELECT doc_id, key FROM (SELECT doc_id, {KEY30} AS key FROM documents) WHERE key <> ''
+@query(f"""SELECT doc_id, key FROM (SELECT doc_id, {KEY} AS key FROM documents) WHERE key <> ''
     QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id) = 1""")
 def dedup_key_nonblank(spark, sf):
-    d = texts(spark, sf).select("doc_id", X.normalize_title(F.substring("text", 1, 30), "key").alias("key"))
+    d = texts(spark, sf).select("doc_id", X.normalize_title(X.title_prefix("text"), "key").alias("key"))
     return dedup.keep_first(d, "key", ["doc_id"], drop_blank=True)
 
 
 TWO_KEYS_SQL = f"""
 WITH RECURSIVE keyed AS (
-    SELECT doc_id AS id, {S.alnum("string_split(text, ' ')[1]")} AS a, {S.alnum("string_split(text, ' ')[2]")} AS b FROM documents),
+    SELECT doc_id AS id, {S.alnum(S.DOC_TITLE)} AS a, {S.alnum("string_split(text, '. ')[2]")} AS b FROM documents),
 pairs AS (SELECT min(id) AS id, coalesce(a, '') AS a, coalesce(b, '') AS b FROM keyed GROUP BY ALL),
 step AS (
     SELECT 0 AS it, id, a, b, 0 AS state FROM pairs
@@ -87,8 +86,8 @@ TWO_KEYS_SQL = TWO_KEYS_SQL.replace(
 
 @query(TWO_KEYS_SQL)
 def dedup_two_key(spark, sf):
-    """Keys are the signatures of the first and second word, so long chains form."""
-    words = F.split("text", " ")
+    """Keys are the signatures of the first and second sentence."""
+    words = F.split("text", "[.] ")
     d = texts(spark, sf).select(
         "doc_id",
         X.alnum_signature(F.try_element_at(words, F.lit(1))).alias("a"),
@@ -98,12 +97,12 @@ def dedup_two_key(spark, sf):
 
 
 @query(f"""SELECT category, url FROM (
-    SELECT {RANKED} AS category, {S.title_key("substr(text, 1, 12)")} AS url, doc_id FROM documents)
+    SELECT {RANKED} AS category, {KEY} AS url, doc_id FROM documents)
     QUALIFY row_number() OVER (PARTITION BY url ORDER BY category, doc_id) = 1""")
 def first_category_wins(spark, sf):
     d = ranked(spark, sf).select(
         F.col("source_rank").alias("category"), "row_id",
-        X.normalize_title(F.substring("text", 1, 12), "key").alias("url"),
+        X.normalize_title(X.title_prefix("text"), "key").alias("url"),
     )
     return dedup.keep_first(d, "url", ["category", "row_id"]).select("category", "url")
 
@@ -147,12 +146,11 @@ def anti_join_urls(spark, sf):
     return membership.drop_known(pages, seen, "url")
 
 
-LINE_SIG = S.alnum("substr(text, 1, 14)")
-WORD_SIG = S.alnum("string_split(text, ' ')[1]")
+TITLE_SIG, SECOND_SIG = S.alnum(S.DOC_TITLE), S.alnum("string_split(text, '. ')[2]")
 
 
 @query(f"""WITH known AS (SELECT DISTINCT {DOC_SIG} AS sig FROM documents),
-cand AS (SELECT conv_id, turn, {LINE_SIG} AS sig_a, {WORD_SIG} AS sig_b FROM conversations),
+cand AS (SELECT conv_id, turn, {TITLE_SIG} AS sig_a, coalesce({SECOND_SIG}, '') AS sig_b FROM conversations),
 probes AS (SELECT sig_a AS sig FROM cand UNION SELECT sig_b FROM cand),
 hit AS (SELECT p.sig FROM probes p WHERE length(p.sig) > 5 AND EXISTS (SELECT 1 FROM known k WHERE contains(k.sig, p.sig)))
 SELECT conv_id, turn, sig_a, sig_b FROM cand
@@ -161,18 +159,17 @@ def containment_anti_join(spark, sf):
     known = texts(spark, sf).select(X.alnum_signature("text", 100).alias("sig"))
     cand = table(spark, sf, "conversations").select(
         "conv_id", "turn",
-        X.alnum_signature(F.substring("text", 1, 14)).alias("sig_a"),
-        X.alnum_signature(F.substring_index("text", " ", 1)).alias("sig_b"),
+        X.alnum_signature(X.title_prefix("text")).alias("sig_a"),
+        X.alnum_signature(F.try_element_at(F.split("text", "[.] "), F.lit(2))).alias("sig_b"),
     )
     return membership.drop_contained(cand, ["sig_a", "sig_b"], known, "sig").select("conv_id", "turn", "sig_a", "sig_b")
 
 
-@query(f"""SELECT count(*) AS overlap FROM (SELECT {S.title_bilingual("string_split(text, ' ')[1]")} AS title FROM conversations)
-    WHERE title IN (SELECT {S.title_bilingual("string_split(text, ' ')[1]")} FROM documents)""")
+@query(f"""SELECT count(*) AS overlap FROM (SELECT {S.title_bilingual(S.DOC_TITLE)} AS title FROM conversations)
+    WHERE title IN (SELECT {S.title_bilingual(S.DOC_TITLE)} FROM documents)""")
 def semi_join_overlap(spark, sf):
     def keyed(name):
-        first_word = F.substring_index("text", " ", 1)
-        return table(spark, sf, name).select(X.normalize_title(first_word, "bilingual").alias("title"))
+        return table(spark, sf, name).select(X.normalize_title(X.title_prefix("text"), "bilingual").alias("title"))
 
     return membership.overlap_count(keyed("conversations"), keyed("documents"), "title")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators.common import shared_dir
+from ..operators.common import forget_at_exit, shared_dir
 from ..streaming import ingest, progress
 from . import sqltext as S
 from .page_queries import RECORDS_SQL, records
@@ -25,7 +25,19 @@ def stream_ingest(spark, sf):
     return spark.read.parquet(f"{work}/out")
 
 
-URL, TITLE = S.title_key("substr(text, 1, 12)"), S.title_key("substr(text, 1, 8)")
+URL, TITLE = S.alnum(f"substr({S.strip('text')}, 1, 100)"), S.title_key(S.DOC_TITLE)
+LANDINGS = 4
+
+
+def landings(spark, sf, work, *columns):
+    """The documents land in several goes, by ascending id; a stream over what is there after each."""
+    rows = table(spark, sf, "documents").select("doc_id", *columns)
+    lo, hi = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
+    go = F.floor((F.col("doc_id") - lo) * LANDINGS / (hi - lo + 1))
+    for i in range(LANDINGS):
+        rows.where(go == i).write.mode("append").parquet(f"{work}/landed")
+        forget_at_exit(spark, work)
+        yield ingest.landed(spark, f"{work}/landed", rows.schema)
 
 
 @query(f"""WITH k AS (SELECT doc_id, {URL} AS url, {TITLE} AS title FROM documents),
@@ -33,22 +45,17 @@ u AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_i
 SELECT doc_id, url, title FROM u QUALIFY row_number() OVER (PARTITION BY title ORDER BY doc_id) = 1""")
 def stream_dedup(spark, sf):
     work = shared_dir(spark, "stream-dedup")
-    keyed = landed(spark, sf, "documents").select(
-        "doc_id",
-        X.normalize_title(F.substring("text", 1, 12), "key").alias("url"),
-        X.normalize_title(F.substring("text", 1, 8), "key").alias("title"),
-    )
-    ingest.append_first(keyed, ["url", "title"], ["doc_id"], f"{work}/out", f"{work}/progress")
+    url, title = X.alnum_signature("text", 100).alias("url"), X.normalize_title(X.title_prefix("text"), "key").alias("title")
+    for stream in landings(spark, sf, work, url, title):
+        ingest.append_first(stream, ["url", "title"], ["doc_id"], f"{work}/out", f"{work}/progress")
     return spark.read.parquet(f"{work}/out").drop("batch")
 
 
 @query(f"SELECT DISTINCT {URL} AS url FROM documents")
 def stream_dedup_state(spark, sf):
     work = shared_dir(spark, "stream-distinct")
-    keyed = landed(spark, sf, "documents").select(
-        X.normalize_title(F.substring("text", 1, 12), "key").alias("url")
-    )
-    ingest.append_distinct(keyed, ["url"], f"{work}/out", f"{work}/progress")
+    for stream in landings(spark, sf, work, X.alnum_signature("text", 100).alias("url")):
+        ingest.append_distinct(stream.select("url"), ["url"], f"{work}/out", f"{work}/progress")
     return spark.read.parquet(f"{work}/out")
 
 

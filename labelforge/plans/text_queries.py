@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import dedup, report, rules
-from ..operators.common import spread
 from ..sources.files import null_tokens as null_out
 from . import sqltext as S
 from .registry import query, table
@@ -38,7 +37,7 @@ def documents(spark, sf):
 
 def texts(spark, sf):
     """Documents over all cores, for queries that work on every word."""
-    return spread(documents(spark, sf), "doc_id")
+    return documents(spark, sf)
 
 
 @query(f"""SELECT doc_id, n_chars,
@@ -75,10 +74,11 @@ def filter_min_length(spark, sf):
     return d.where("n >= 500")
 
 
-@query("SELECT doc_id, quality FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS NOT NULL")
+@query("SELECT p_partkey, length(text) AS n FROM part LEFT JOIN documents ON p_partkey = doc_id WHERE text IS NOT NULL")
 def drop_null_text(spark, sf):
-    joined = documents(spark, sf).select("doc_id").join(table(spark, sf, "labels"), "doc_id", "left")
-    return joined.na.drop(subset=["quality"]).select("doc_id", "quality")
+    """Parts with the document of their number; those without one have no text."""
+    joined = table(spark, sf, "part").join(texts(spark, sf), F.col("p_partkey") == F.col("doc_id"), "left")
+    return joined.na.drop(subset=["text"]).select("p_partkey", F.length("text").cast("bigint").alias("n"))
 
 
 @query("""SELECT p_partkey, CASE p_type WHEN 'PROMO' THEN 'ECONOMY' ELSE p_type END AS p_type FROM part""")
@@ -101,7 +101,7 @@ def _text_query(name, column, expression, source="documents", key="doc_id"):
     """Register one normaliser over every row of a table."""
     @query(f"SELECT {key}, {expression} AS out FROM {source}", name)
     def run(spark, sf):
-        return spread(table(spark, sf, source), key).select(key, column().alias("out"))
+        return table(spark, sf, source).select(key, column().alias("out"))
 
 
 _text_query("strip_ws", lambda: X.strip_ws("text"), S.strip("text"))
@@ -181,7 +181,7 @@ LABEL_ITEMS_SQL = f"""
 WITH items AS (
     SELECT doc_id, {S.strip("coalesce(source, '') || ' ' || coalesce(" + S.strip('text') + ", '')")} AS text,
         string_split(p_name, ' ') AS tags, p_name
-    FROM documents LEFT JOIN part ON doc_id * 2 = p_partkey AND doc_id % 3 = 0),
+    FROM documents LEFT JOIN part ON doc_id * 2 = p_partkey),
 labelled AS (
     SELECT doc_id, text, coalesce({_case_tags()}, {S.case_patterns('text', TEXT_RULES, "'Miscellaneous'")}) AS label
     FROM items WHERE length(text) > 0),
@@ -193,7 +193,7 @@ SELECT label, count(*) AS n, sum(length(text))::BIGINT AS chars FROM firsts WHER
 def label_items(spark, sf):
     """Assemble, label by tags and then patterns, drop exact copies, count per label."""
     d = texts(spark, sf)
-    parts = tags(spark, sf).select((F.col("p_partkey") / 2).alias("half"), "tags").where("half = floor(half) AND half % 3 = 0")
+    parts = tags(spark, sf).select((F.col("p_partkey") / 2).alias("half"), "tags").where("half = floor(half)")
     items = d.join(parts, F.col("doc_id") == F.col("half").cast("bigint"), "left").select(
         "doc_id", "tags", X.assemble_text(["source", "text"]).alias("text")
     ).where(F.length("text") > 0)

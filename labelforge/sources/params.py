@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.common import stored
+from ..operators.features import english_stop_words
 from ..operators.models import Fitted
 from ..operators.score import LinearParams
 
@@ -21,6 +24,7 @@ MODEL_SCHEMA = (
     .add("intercept", _DOUBLES)
     .add("ngram_range", T.ArrayType(T.IntegerType()))
     .add("sublinear_tf", "boolean")
+    .add("stop_words", T.ArrayType(T.StringType()))
 )
 
 
@@ -44,11 +48,17 @@ def model_document(params: LinearParams) -> DataFrame:
         F.array(*[F.lit(float(b)) for b in params.intercept]).alias("intercept"),
         F.array(*[F.lit(n) for n in params.ngram_range]).alias("ngram_range"),
         F.lit(params.sublinear_tf).alias("sublinear_tf"),
+        F.array(*map(F.lit, params.stop_words)).cast("array<string>").alias("stop_words"),
     )
 
 
-def vocabulary_document(params: LinearParams, max_features: int | None, stop_words: str = "english") -> DataFrame:
-    """The one-row description of the vocabulary, without coefficients."""
+def vocabulary_document(params: LinearParams, max_features: int | None) -> DataFrame:
+    """The one-row description of the vocabulary, without coefficients.
+
+    ``stop_words`` is ``english`` if that list was used, else the list itself.
+    """
+    own = sorted(params.stop_words)
+    stop_words = "english" if own and own == sorted(english_stop_words()) else json.dumps(list(params.stop_words))
     return model_document(params).select(
         "classes", "vocabulary", "idf", F.lit(max_features).cast("int").alias("max_features"),
         "ngram_range", F.lit(stop_words).alias("stop_words"),
@@ -66,7 +76,7 @@ def load_params(spark: SparkSession, path: str) -> LinearParams:
     doc = spark.read.schema(MODEL_SCHEMA).json(path)
     head = doc.select(
         "classes", "intercept", "ngram_range", F.coalesce("sublinear_tf", F.lit(True)).alias("sublinear_tf"),
-        F.size("idf").alias("n"),
+        "stop_words", F.size("idf").alias("n"),
     ).first()
     per_feature = doc.select(
         F.inline(
@@ -82,16 +92,19 @@ def load_params(spark: SparkSession, path: str) -> LinearParams:
     terms = stored(names.join(per_feature, "feature_idx").select("term", "feature_idx", "idf", "coef"), "terms")
     lo, hi = head["ngram_range"] or (1, 2)
     return LinearParams(
-        head["classes"], head["intercept"], terms, head["n"], (lo, hi), head["sublinear_tf"]
+        head["classes"], head["intercept"], terms, head["n"], (lo, hi), head["sublinear_tf"],
+        head["stop_words"] or [],
     )
 
 
 def save_fitted(fitted: Fitted, path: str) -> None:
-    """Write the Spark ML pipeline and the parameters it goes with."""
+    """Write the parameters, which score text on their own, and the Spark ML pipeline if there is one."""
     if fitted.pipeline is not None:
         fitted.pipeline.write().overwrite().save(f"{path}/pipeline")
     export_params(fitted.params, path)
 
 
 def load_fitted(spark: SparkSession, path: str) -> Fitted:
-    return Fitted(load_params(spark, f"{path}/model"), PipelineModel.load(f"{path}/pipeline"))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/pipeline")
+    there = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    return Fitted(load_params(spark, f"{path}/model"), PipelineModel.load(f"{path}/pipeline") if there else None)

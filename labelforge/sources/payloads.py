@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import (
-    SOURCE_NOTES, alnum_signature, assemble_text, collapse_ws, first_nonblank, strip_patterns,
+    alnum_signature, assemble_text, collapse_ws, first_nonblank, strip_patterns,
 )
 from ..operators.common import stored
 from ..operators.dedup import keep_first, keep_first_two_keys
@@ -62,7 +62,7 @@ def parse_xml_entries(
     return df.select(*keep, F.posexplode(entries).alias("item_no", "e")).select(*keep, "item_no", "e.*")
 
 
-def clean_items(items: DataFrame, notes: Sequence[str] = SOURCE_NOTES) -> DataFrame:
+def clean_items(items: DataFrame, notes: Sequence[str] = ()) -> DataFrame:
     """Add the chosen title, both signatures and the synopsis without editorial notes."""
     return items.withColumns({
         "shown_title": first_nonblank("title_english", F.coalesce("title", F.lit(""))),
@@ -74,7 +74,7 @@ def clean_items(items: DataFrame, notes: Sequence[str] = SOURCE_NOTES) -> DataFr
 
 def items_to_records(
     items: DataFrame, known: DataFrame, known_sig: str, order: Sequence[str], label: str,
-    min_len: int = 50, target: int | None = None, notes: Sequence[str] = SOURCE_NOTES,
+    min_len: int = 50, target: int | None = None, notes: Sequence[str] = (),
 ) -> DataFrame:
     """``(*order, text, label)`` for items that are long enough and new.
 

@@ -40,10 +40,14 @@ def append(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out:
 
 
 def append_distinct(stream: DataFrame, keys: Sequence[str], out: str, checkpoint: str) -> None:
-    """Append rows whose key was not seen in any run; the keys live in the state store.
+    """Append rows whose key was not seen in any run; the keys live in a state store on disk.
 
     Which of a batch's equal keys stays is not fixed; see :func:`append_first`.
     """
+    stream.sparkSession.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
     _run(
         stream.dropDuplicates(list(keys)).writeStream.format("parquet").outputMode("append").option("path", out),
         checkpoint,
@@ -55,16 +59,22 @@ def append_first(
 ) -> None:
     """Append the first new row of each key, where every one of ``keys`` must be new.
 
-    Key by key, a batch drops what the table holds from other batches and keeps its own
-    first row.  A batch writes its own folder, so repeating it after a failure replaces
-    its rows.
+    Key by key, a batch drops the rows whose key an earlier batch has seen and keeps its own
+    first row.  A key is seen once a row has come as far as it, whether or not a later key
+    then rejects that row, so any split into batches gives the rows of a single batch.
+    Seen keys are kept as digests beside the checkpoint.  A batch writes folders of its own, so
+    repeating it after a failure replaces its rows.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        before = _other_batches(batch.sparkSession, out, batch_id)
-        for key in keys:
+        spark = batch.sparkSession
+        for i, key in enumerate(keys):
+            seen = f"{checkpoint}-seen/key={i}"
+            digest = F.coalesce(F.unhex(F.sha2(F.col(key).cast("string"), 256)), F.lit(b""))
+            before = _other_batches(spark, seen, batch_id)
             if before is not None:
-                batch = batch.join(before.select(key), key, "left_anti")
+                batch = batch.withColumn("_d", digest).join(before.select("_d"), "_d", "left_anti").drop("_d")
             batch = keep_first(batch, key, order)
+            batch.select(digest.alias("_d")).write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     _run(stream.writeStream.foreachBatch(write), checkpoint)

@@ -129,10 +129,13 @@ def test_prompts_are_scored(spark, fitted_features):
 
 
 def test_variants(docs):
-    variants = [dict(v, size=30) for v in (models.VARIANTS[0], models.VARIANTS[4])]
+    variants = [
+        {"variant_id": "first", "description": "one", "kind": "svm", "C": 1.0, "size": 30, "ngram_range": (1, 2), "tol": 1e-3},
+        {"variant_id": "second", "description": "two", "kind": "nb", "alpha": 0.1, "size": 30, "ngram_range": (1, 2)},
+    ]
     parts = split.stratified_split(docs, "label", "id")
     train, test = (parts.where(f"part = '{p}'").drop("part") for p in ("train", "test"))
-    table = models.run_variants(train, test, "id", "text", "label", variants, ["the"], ["sky", "none"], svm_max_iter=10)
+    table = models.run_variants(train, test, "id", "text", "label", variants, ["the"], ["sky", "none"])
     rows = models.summary_table(table).collect()
     assert [r["variant_id"] for r in rows] == ["Var 0 (Baseline)", "Var 4"]
     assert rows[0]["delta"] == "+0.00%" and rows[0]["acc"].endswith("%")

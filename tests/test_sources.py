@@ -63,7 +63,7 @@ def test_flat_items_to_records(spark):
     parsed = payloads.parse_json_items(items(spark, flat), "payload", payloads.FLAT_ITEM, ["page"])
     assert parsed.count() == 6
     known = spark.createDataFrame([("aknowntitlehere",), ("xshorty",)], "sig string")
-    got = payloads.items_to_records(parsed, known, "sig", ["page", "item_no"], "comic").orderBy("page", "item_no")
+    got = payloads.items_to_records(parsed, known, "sig", ["page", "item_no"], "comic", notes=[r"\(Source: [^)]+\)"]).orderBy("page", "item_no")
     assert [tuple(r) for r in got.collect()] == [
         (0, 0, f"First One. {LONG}", "comic"), (1, 1, f"Fresh. {LONG}", "comic"), (1, 2, f"Late. {LONG}", "comic")
     ]
@@ -142,7 +142,7 @@ def test_params_round_trip(spark, tiny, tmp_path):
     assert doc["vocabulary"] == {"moon": 0, "dark moon": 1, "sun": 2, "tie": 3}
     assert doc["coef"][2] == [0.0, 2.0, 0.0, 0.0] and doc["ngram_range"] == [1, 2] and doc["sublinear_tf"] is True
     vocab = json.loads(next((tmp_path / "export" / "vocabulary").glob("*.json")).read_text())
-    assert vocab["max_features"] == 4 and vocab["stop_words"] == "english" and "coef" not in vocab
+    assert vocab["max_features"] == 4 and vocab["stop_words"] == "[]" and "coef" not in vocab
     loaded = params.load_params(spark, path + "/model")
     df = spark.createDataFrame([(1, "dark moon and sun"), (2, "sun")], "id int, text string")
     a, b = (score(df, p, "id", "text") for p in (tiny, loaded))
