@@ -1,8 +1,7 @@
-"""Shared folder, stored stages and connected components for the operators of this subpackage."""
+"""Arrow batches, dealing and connected components for the operators of this subpackage."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,6 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.common import stored
+
+__all__ = ["arrow_map", "components", "deal", "signed", "stored", "table"]
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -17,21 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, or below the context's checkpoint folder where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder and read back, so lineage ends and sizes are known."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values, np.uint64).view(np.int64))
 
