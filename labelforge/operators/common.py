@@ -43,7 +43,8 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
 def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
     """Join with a table that is expected to be small.
 
-    Adaptive execution measures it, broadcasts it within the session's byte threshold, and
-    otherwise joins by a shuffle with skewed partitions split.
+    It is written, so that its bytes are known when the join is planned: within the session's
+    threshold it is broadcast and ``big`` does not move, beyond it the join shuffles and
+    adaptive execution splits skewed partitions.
     """
-    return big.join(small, on, how)
+    return big.join(stored(small, "lookup"), on, how)

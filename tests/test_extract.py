@@ -94,3 +94,27 @@ def test_block_count(spark):
     df = spark.createDataFrame([('<div class="product x"></div><div class="my-product">',), ('<li class="product">',), ("",)], "html string")
     opens = [extract.opening(t, "class", "product") for t in ("div", "li")]
     assert [r[0] for r in df.select(extract.block_count("html", opens)).collect()] == [2, 1, 0]
+
+
+SOUP = """<h1>Caf&eacute; &#8217;n&#x2019; &copy; &amp;lt;</h1><script>var t = "</style>";leak()</script>
+<div id="summary">one <div>two</div> three</div><div class='side note'>single</div><p id="desc-7">open<p>inner</p></div>
+<section><span data-k=prefix-9>tail</span></section>"""
+
+
+def test_references_and_nesting(spark):
+    df = extract.visible_pages(spark.createDataFrame([(1, SOUP), (2, None), (3, "no markup &lt;")], "page_id long, html string"), "html")
+    def first(*selector):
+        return by_id(df.select("page_id", F.try_element_at(extract.selector_texts("html", selector), F.lit(1)).alias("b")), "b")[1]
+
+    assert by_id(df.select("page_id", extract.title_of("html").alias("t")), "t")[1] == "Café ’n’ © &lt;"
+    assert first("div", "id", "summary", False) == "onetwothree"
+    assert first("div", "class", "note", True) == "single"
+    assert first(None, "data-k", "prefix", "prefix") == "tail"
+    assert first("p", "id", "desc", "prefix") == "openinnertail"
+    text = by_id(df.select("page_id", extract.page_text("html").alias("t")), "t")
+    assert "leak" not in text[1] and text[2] == "" and text[3] == "no markup <"
+
+
+def test_h1_only(spark):
+    got = by_id(visible(spark).select("page_id", extract.title_of("html", h1_only=True).alias("t")), "t")
+    assert got == {1: "TheTitle", 2: "", 3: "", 4: ""}

@@ -154,3 +154,34 @@ def test_report_edge_cases(spark):
     assert avg["macro_f1"] == pytest.approx(1.75 / 5) and avg["weighted_f1"] == pytest.approx((0.75 * 3 + 1) / 7)
     cm = {r["truth"]: (r["a"], r["b"]) for r in evaluate.confusion_matrix(df, "t", "p", ["a", "b"]).collect()}
     assert cm == {"a": (3, 0), "b": (2, 0)}
+
+
+def test_every_kind_scores_text_after_reload_with_its_stop_words(spark, docs, tmp_path):
+    feats = models.build_features(docs, "id", "text", "label", 30, (1, 2), ["near", "and"])
+    for kind, fitted in (
+        ("svm", models.fit_ovr_svm(feats, "label", tol=1e-3)), ("bayes", models.fit_naive_bayes(feats, "label")),
+        ("logistic", models.fit_logreg(feats, "label")),
+    ):
+        params.save_fitted(fitted, str(tmp_path / kind))
+        back = params.load_fitted(spark, str(tmp_path / kind))
+        assert back.params.stop_words == ["near", "and"]
+        old, new = (score(docs, p.params, "id", "text", tokenizer="train") for p in (fitted, back))
+        assert parity(old, new, "id").first()["max_abs_diff"] == 0
+    text = spark.read.text(str(tmp_path / "bayes" / "vocabulary")).first()[0]
+    assert "near" in text and "english" not in text
+
+
+def test_missing_labels_are_a_class(spark, docs):
+    some = docs.withColumn("label", F.when(F.col("id") % 4 > 0, F.col("label")))
+    feats = models.build_features(some, "id", "text", "label", 30)
+    assert split.with_class_weight(feats.docs, "label", split.class_weights(feats.docs, "label")).count() == 120
+    assert "nan" in models.fit_naive_bayes(feats, "label").params.classes
+    weighted = split.with_class_weight(some, "label", split.class_weights(some, "label"))
+    assert weighted.count() == 120
+    parts = split.stratified_split(some, "label", "id").where("part = 'test'")
+    assert parts.count() == 24 and parts.where("label IS NULL").count() == 6
+
+
+def test_missing_predictions_count_as_wrong(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", None)], "truth string, pred string")
+    assert evaluate.accuracy(df, "truth", "pred").first()[0] == 0.5

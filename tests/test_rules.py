@@ -10,6 +10,7 @@ def test_parse_tag_list(spark):
     cases = {
         "['a', 'b']": ["a", "b"], "['a', \"it's\"]": ["a", "it's"], "[]": [], None: [], "word": [], "('a', 'b')": [],
         "{'a': 1}": [], "['a',]": ["a"], "['x\\xa0y']": ["x y"], "[None]": [], "['None', None, 'b']": ["None", "b"],
+        "['War, None, x']": ["War, None, x"], '["a, None", None, "b"]': ["a, None", "b"], "[ None , 'c']": ["c"],
         "['say \"hi\"']": ['say "hi"'], "": [], "['It\\'s']": ["It's"], "['a'": [],
     }
     df = spark.createDataFrame([(k,) for k in cases], "t string")

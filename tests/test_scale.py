@@ -59,7 +59,6 @@ def test_two_key_rounds_split_a_hot_key(spark, tmp_path):
 
 def test_lookup_join_leaves_the_choice_to_the_session(spark):
     big, small = spark.range(1000).withColumnRenamed("id", "k"), spark.range(50).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-    small = common.stored(small)
     assert "BroadcastHashJoin" in final_plan(common.lookup_join(big, small, "k"))
     with settings(spark, autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1"):
         assert "BroadcastHashJoin" not in final_plan(common.lookup_join(big, small, "k"))

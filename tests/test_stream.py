@@ -30,6 +30,18 @@ def test_first_rows_across_restarts(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 2, 6, 8]
 
 
+def test_any_split_into_batches_gives_the_rows_of_one(spark, tmp_path):
+    every = [r for rows in BATCHES.values() for r in rows] + [(10, "u0", "t1"), (11, "v", "t1"), (12, "v", "t12")]
+    got = []
+    for n, size in enumerate((1, 4, len(every))):
+        folder, out, state = (str(tmp_path / f"{x}{n}") for x in ("in", "out", "state"))
+        for i in range(0, len(every), size):
+            land(spark, folder, f"{i:03d}", every[i : i + size])
+            ingest.append_first(stream(spark, folder), ["url", "title"], ["id"], out, state)
+        got.append(sorted(r["id"] for r in spark.read.parquet(out).collect()))
+    assert got[0] == got[1] == got[2] and 12 not in got[0]
+
+
 def test_append_and_distinct_match_batch(spark, tmp_path):
     folder = str(tmp_path / "in")
     for name in ("a", "b"):
