@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -61,7 +62,9 @@ def test_fingerprints(spark):
     rng = random.Random(8)
     table += [(1000 + 3 * i, "\n".join(f"line {rng.randrange(400)}" for _ in range(rng.randrange(0, 120))), "s") for i in range(40)]
     table.sort(key=lambda r: r[0])
-    paras = lambda t: {x for x in t.split("\n") if x.strip(" ")}
+    def paras(t):
+        parts = t.split("\n") + (re.split(r"\n|(?<=[.!?,;]) +", t) if len(t) < 2000 else [])
+        return {x for x in parts if x.strip(" ")}
 
     def near(a, b):
         a, b = paras(a), paras(b)
