@@ -175,11 +175,30 @@ def train_naive_bayes(spark, sf):
     return _predicted(test, models.fit_naive_bayes(feats, "lang"))
 
 
-@query()
+# At the optimum the intercepts, which carry no penalty, make each class's weighted sum of predicted
+# probabilities equal its weighted number of rows.
+@query(f"""WITH {SPLIT_SQL}, train AS (SELECT * FROM parts WHERE part = 'train'),
+w AS (SELECT lang, count(*) AS n_train, sum(count(*)) OVER () / count(*) OVER () * CASE lang WHEN 'fr' THEN 0.7::DOUBLE ELSE 1.0 END AS weighted
+    FROM train GROUP BY lang),
+t AS (SELECT lang, count(*) AS support FROM parts WHERE part = 'test' GROUP BY lang)
+SELECT lang, n_train, support, round(weighted, 4) AS weighted, 1.0::DOUBLE AS fitted, support AS scored FROM w JOIN t USING (lang)""")
 def train_logreg(spark, sf):
+    """Per class: rows, weight, the fitted share of that weight, and held-out rows with a prediction."""
     train, test = split_documents(spark, sf)
     feats = models.build_features(train, "doc_id", "text", "lang", stop_words=STOP)
-    return _predicted(test, models.fit_logreg(feats, "lang", factors={"fr": 0.7}))
+    fitted = models.fit_logreg(feats, "lang", factors={"fr": 0.7}, tol=1e-6)
+    weights = split.class_weights(train, "lang", {"fr": 0.7})
+    rows = split.with_class_weight(train.select("doc_id", "lang"), "lang", weights)
+    on_train = score.score(train, fitted.params, "doc_id", "text", tokenizer="train").join(rows, "doc_id")
+    sums = on_train.agg(*[F.sum(F.col("class_weight") * F.col("probs")[i]).alias(c) for i, c in enumerate(fitted.params.classes)])
+    sums = sums.select(F.explode(F.create_map(*[x for c in sums.columns for x in (F.lit(c), F.col(c))])).alias("lang", "s"))
+    held = _predicted(test, fitted).groupBy(F.col("truth").alias("lang")).agg(
+        F.count("*").alias("support"), F.count("predicted_label").alias("scored"))
+    weighted = F.col("n_c") * F.col("class_weight")
+    return weights.join(sums, "lang").join(held, "lang").select(
+        "lang", F.col("n_c").alias("n_train"), "support", F.round(weighted, 4).alias("weighted"),
+        F.round(F.col("s") / weighted, 2).alias("fitted"), "scored",
+    )
 
 
 @query()
