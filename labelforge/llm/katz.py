@@ -33,9 +33,9 @@ _OTHER = U64(1 << 63)
 _TRAIN = np.uint16(1 << 15)
 _ROWS = 30_000
 
-RECORD = "bucket int, kind int, slice long, prev binary, runs binary, cur binary, cnt binary, idx binary, row binary"
-_KINDS = (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 6)
-_NAMES = ["bucket", "kind", "slice", "prev", "runs", "cur", "cnt", "idx", "row"]
+RECORD = "bucket int, kind int, slice long, prev binary, runs binary, cur binary, cnt binary, idx binary, row binary, slices binary, nth binary"
+_KINDS = (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 8)
+_NAMES = ["bucket", "kind", "slice", "prev", "runs", "cur", "cnt", "idx", "row", "slices", "nth"]
 TOKENS, TAIL, META, BASE, MARK = range(5)
 
 
@@ -44,7 +44,7 @@ class Records:
         self.columns: list[list] = [[] for _ in _NAMES]
 
     def add(self, *values) -> None:
-        for o, v in zip(self.columns, values):
+        for o, v in zip(self.columns, (*values, None, None)):
             o.append(v if v is None or isinstance(v, int) else v.tobytes())
 
     def table(self) -> pa.Table:
@@ -183,18 +183,32 @@ def _codes(blob: bytes, n: int) -> np.ndarray:
     return np.frombuffer(blob, "<u4" if len(blob) == 4 * n else "<u8").astype(U64)
 
 
-def _pack(out: Records, kind: int, name: int, bucket, prev, cur, count, row) -> None:
+def _pack(out: Records, kind: int, name: int | None, bucket, prev, cur, count, row, slices=None, nth=None) -> None:
+    """A record for each bucket.  Rows are of the slice ``name``, or of ``slices[nth]``."""
     far = prev >= _OTHER
     key = bucket * 2 + far
     order = np.lexsort((prev, key))
     key, prev, cur, row = key[order], prev[order], cur[order], row[order]
     count = count[order] if count is not None else None
+    nth = nth[order] if nth is not None else None
     for i, m in zip(*W.runs(key)):
         s = slice(i, i + m)
         first, length = W.runs(prev[s])
         kinds, at, idx = np.unique(cur[s], return_index=True, return_inverse=True)
         out.add(int(key[i]) // 2, kind, name, _narrow(prev[s][first]), length.astype("<u4"), _narrow(kinds), count[s][at].astype("<i8") if count is not None else None,
-                idx.astype("<u2" if len(kinds) <= 65536 else "<u4"), row[s])
+                idx.astype("<u2" if len(kinds) <= 65536 else "<u4"), row[s], *_slices(slices, nth, s))
+
+
+def _slices(slices: np.ndarray | None, nth: np.ndarray | None, s: slice) -> tuple:
+    if slices is None:
+        return ()
+    used, back = np.unique(nth[s], return_inverse=True)
+    return slices[used], back.astype("<u4")
+
+
+def _slice_of(r: dict, n: int) -> np.ndarray:
+    """The slice of each of the ``n`` entries of a record."""
+    return np.full(n, r["slice"], np.int64) if r["slices"] is None else np.frombuffer(r["slices"], "<i8")[np.frombuffer(r["nth"], "<u4")]
 
 
 def _unpack(r: dict, head: Head | None = None):
@@ -254,17 +268,23 @@ def _attach(buckets: int, head: Head, uni: Unigrams):
         number = np.frombuffer(b"".join(counts.column("counts").to_pylist()), "<i8")
         out = Records()
         out.add(counts.column("bucket")[0].as_py(), MARK, 0, None, None, None, None, None, None)  # every bucket has one
+        parts, slices = [], []
         for r in _rows(tokens, TAIL):
             prev, cur, _, row = _unpack(r)
+            parts.append((prev, cur, row, np.full(len(row), len(slices))))
+            slices.append(r["slice"])
+        if parts:  # all slices together, so that what goes on is a record for each bucket
+            prev, cur, row, nth = (np.concatenate([p[i] for p in parts]) for i in range(4))
+            slices = np.array(slices, np.int64)
             count = np.zeros(len(cur), np.int64)
             if len(known):
                 at = np.minimum(np.searchsorted(known, cur), len(known) - 1)
                 count = np.where(known[at] == cur, number[at], 0)
-            owner, back = np.unique(row & ~_TRAIN, return_inverse=True)
-            out.add(int(r["bucket"]), BASE, r["slice"], None, None, np.bincount(back, count > 0, len(owner)).astype("<u4"), None,
-                    np.bincount(back, uni.base(count), len(owner)), owner.astype("<u2"))
+            owner, back = np.unique(nth * (1 << 16) + (row & ~_TRAIN), return_inverse=True)
+            out.add(counts.column("bucket")[0].as_py(), BASE, 0, None, None, np.bincount(back, count > 0, len(owner)).astype("<u4"), None,
+                    np.bincount(back, uni.base(count), len(owner)), (owner & 0xFFFF).astype("<u2"), slices, (owner >> 16).astype("<u4"))
             cur = cur | _OTHER
-            _pack(out, TOKENS, r["slice"], head.bucket(prev, cur, buckets), prev, cur, count, row)
+            _pack(out, TOKENS, 0, head.bucket(prev, cur, buckets), prev, cur, count, row, slices, nth)
         return out.table()
     return run
 
@@ -279,14 +299,13 @@ class Bucket:
     """All tokens of a bucket: pair counts and sums by context."""
 
     def __init__(self, head: Head, *tables: pa.Table):
-        self.records, parts = [], []
+        parts = []
         for t in tables:
             for r in _rows(t.select(_NAMES), TOKENS):
                 p = _unpack(r, head)
-                self.records.append((r["slice"], len(p[0])))
-                parts.append(p)
-        empty = (np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.uint16))
-        prev, cur, self.count, self.row = (np.concatenate([p[i] for p in parts]) if parts else empty[i] for i in range(4))
+                parts.append((*p, _slice_of(r, len(p[0]))))
+        empty = (np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.uint16), np.zeros(0, np.int64))
+        prev, cur, self.count, self.row, self.slice = (np.concatenate([p[i] for p in parts]) if parts else empty[i] for i in range(5))
         self.train = (self.row & _TRAIN) > 0
         self.contexts, self.context = np.unique(prev, return_inverse=True)
         with np.errstate(over="ignore"):
@@ -326,11 +345,20 @@ REPLY = "slice long, kind int, a binary, b binary, c binary, d binary, e binary"
 def _score(head: Head, uni: Unigrams):
     def run(tokens: pa.Table, more: pa.Table) -> pa.Table:
         out: list[list] = [[] for _ in range(7)]
+        def reply(*values):
+            for o, v in zip(out, values):
+                o.append(v)
+
         for t in (tokens, more):
             for r in _rows(t.select(_NAMES), META, BASE):
-                values = (r["prev"], r["runs"], r["cur"], r["cnt"], r["idx"]) if r["kind"] == META else (r["row"], r["idx"], r["cur"], None, None)
-                for o, v in zip(out, (r["slice"], r["kind"], *values)):
-                    o.append(v)
+                if r["kind"] == META:
+                    reply(r["slice"], META, r["prev"], r["runs"], r["cur"], r["cnt"], r["idx"])
+                    continue
+                row, base, known = np.frombuffer(r["row"], "<u2"), np.frombuffer(r["idx"], "<f8"), np.frombuffer(r["cur"], "<u4")
+                names = _slice_of(r, len(row))  # sorted by slice
+                for i, m in zip(*W.runs(names)):
+                    s = slice(i, i + m)
+                    reply(int(names[i]), BASE, row[s].tobytes(), base[s].tobytes(), known[s].tobytes(), None, None)
         b = Bucket(head, tokens, more)
         if len(b.contexts):
             stats = next(x for x in more.column("stats").to_pylist() if x is not None)
@@ -351,12 +379,12 @@ def _score(head: Head, uni: Unigrams):
             alpha = left / np.maximum(1 - sums[:, -1], 1e-300)
             r = b.seen[b.pair]
             p = np.where(r > 0, scale[b.context] * d[np.minimum(r, LOW + 1)] * r / np.maximum(c[b.context], 1), alpha[b.context] * uni.p(b.count))
-            logs, at = np.log10(p), 0
-            for name, n in b.records:
-                owner, back = np.unique(b.row[at : at + n] & ~_TRAIN, return_inverse=True)
-                for o, v in zip(out, (name, TOKENS, owner.astype("<u2").tobytes(), np.bincount(back, logs[at : at + n], len(owner)).tobytes(), None, None, None)):
-                    o.append(v)
-                at += n
+            names, which = np.unique(b.slice, return_inverse=True)
+            owner, back = np.unique(which * (1 << 16) + (b.row & ~_TRAIN), return_inverse=True)
+            sums = np.bincount(back, np.log10(p), len(owner))
+            for i, m in zip(*W.runs(owner >> 16)):
+                s = slice(i, i + m)
+                reply(int(names[owner[i] >> 16]), TOKENS, (owner[s] & 0xFFFF).astype("<u2").tobytes(), sums[s].tobytes(), None, None, None)
         kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 5)
         return pa.table([pa.array(x, t) for x, t in zip(out, kinds)], names=["slice", "kind", "a", "b", "c", "d", "e"])
     return run
@@ -376,8 +404,8 @@ def _results(group: pa.Table) -> pa.Table:
             score[np.frombuffer(r["a"], "<u2")] += np.frombuffer(r["b"], "<f8")
         elif r["kind"] == BASE:
             at = np.frombuffer(r["a"], "<u2")
-            base[at] += np.frombuffer(r["b"], "<f8")
-            known[at] += np.frombuffer(r["c"], "<u4")
+            np.add.at(base, at, np.frombuffer(r["b"], "<f8"))  # a row may come twice
+            np.add.at(known, at, np.frombuffer(r["c"], "<u4"))
     return pa.table([pa.array(ids, pa.int64(), mask=(flags & 2) > 0), pa.array((flags & 1) == 0), pa.array(n.astype(np.int64)), pa.array(known),
                      pa.array(base), pa.array(score)], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
