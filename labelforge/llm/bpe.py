@@ -28,7 +28,7 @@ from . import words as W
 from .base import arrow_map
 
 #: Fragments in the younger half of a worker's memory, and the longest one worth it.
-REMEMBERED, LONGEST = 250_000, 64
+REMEMBERED, LONGEST = 400_000, 64
 _SPACES = (9, 10, 11, 12, 13, 32)
 #: Characters on which every Unicode version agrees; outside them the library splits and folds.
 _PLAIN = re.compile("[\t\n\r -~À-įıĴ-ɏ]*")
