@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from labelforge.plans.registry import QUERIES, SQL
 from labelforge.plans.check import compare, connect
 
 SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -13,7 +14,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_equals_sql(spark, con, name):
     problem = compare(spark, con, entry.queries()[name], entry.oracle_sql()[name], SF)
     if problem == "no rows on either side":  # some results need larger tables
@@ -21,9 +22,13 @@ def test_equals_sql(spark, con, name):
     assert problem is None
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_rows_only(spark, name):
-    assert entry.queries()[name](spark, SF).count() > 0
+    assert QUERIES[name](spark, SF).count() > 0
+
+
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
