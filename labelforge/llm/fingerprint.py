@@ -1,7 +1,7 @@
 """Document fingerprints as invertible Bloom lookup sketches, with built-in functions only.
 
-A text's distinct paragraph digests (non-blank lines; in short texts their sentences and clauses too) are hashed into three tables of cells; a cell
-keeps a count, the xor of its digests and the xor of their checksums.  Cells of two versions
+A text's distinct paragraph digests (non-blank lines, and their sentences and clauses) are hashed into
+three tables of cells; a cell keeps a count, the xor of its digests and the xor of their checksums.  Cells of two versions
 subtract, and peeling recovers the digests that differ: a cell with one digest gives it up, which may
 leave others with one.  What cannot be peeled is tried again with larger sketches.
 
@@ -23,8 +23,6 @@ from .base import stored
 CELLS, GROWTH, PASSES = 16, 8, 9
 #: Rows that share a range of ids, and ranges with exact bounds.
 RANGE_ROWS, BOUNDS = 500, 256
-#: Shorter texts, which have few lines, are also cut after sentence marks and commas.
-SHORT = 2000
 _LEAST = -(2**63)
 
 
@@ -63,9 +61,8 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, range_rows: int = RAN
 
 
 def paragraphs(text: Column) -> Column:
-    """Distinct digests of the non-blank lines, and in a text of fewer than ``SHORT`` characters of its sentences too."""
-    lines = F.split(text, "\n")
-    parts = F.when(F.char_length(text) < SHORT, F.concat(lines, F.split(text, r"\n|(?<=[.!?,;]) +"))).otherwise(lines)
+    """Distinct digests of the non-blank lines and of their sentences and clauses, by one rule for texts of every length."""
+    parts = F.concat(F.split(text, "\n"), F.split(text, r"\n|(?<=[.!?,;]) +"))
     return F.array_distinct(F.transform(F.filter(parts, lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x)))
 
 

@@ -85,6 +85,27 @@ def test_fingerprints(spark):
         assert all(len(x) == 1 for x in by_text.values())
 
 
+def test_fingerprints_cut_versions_of_every_length_alike(spark):
+    """Edits that lead from 2,000 characters or more to fewer, and long texts without line breaks."""
+    def prose(start, n):
+        return " ".join(f"Sentence {i} says this, and clause {i} says that." for i in range(start, start + n))
+
+    table = [(1, "\n".join(prose(i, 3) for i in range(0, 48, 3)), "s"), (2, prose(100, 4), "s"), (3, prose(200, 60), "s"), (4, prose(300, 60), "s")]
+
+    def paras(t):
+        return {x for x in t.split("\n") + re.split(r"\n|(?<=[.!?,;]) +", t) if x.strip(" ")}
+
+    want = {}
+    for j, (i, t, _) in enumerate(table):
+        after = table[(j + 1) % len(table)][1]
+        edited = t[: len(t) - len(t) // 2] + after[: len(t) // 2]
+        want[i] = [len(paras(t) & paras(x)) / len(paras(t) | paras(x)) for x in (edited, after)]
+    assert len(table[0][1]) >= 2000 > len(table[0][1]) - len(table[0][1]) // 2 + len(table[1][1])
+    got = {r.doc_id: [r.near_edited, r.near_next] for r in fingerprint.fingerprints(frame(spark, table)).collect()}
+    assert got == {i: pytest.approx(x) for i, x in want.items()}
+    assert all(got[i][0] > 0.3 for i in (1, 3, 4))
+
+
 def test_fingerprints_of_little(spark):
     assert fingerprint.fingerprints(frame(spark, [])).count() == 0
     got = fingerprint.fingerprints(frame(spark, [(None, "ab", None)])).collect()
