@@ -26,8 +26,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their source; none is dropped."""
-    out = lines.line_dedup(docs)
+    """Documents without the boilerplate lines of their source; none is dropped.  Copies count as one page, as they are still there."""
+    out = lines.line_dedup(docs, distinct=True)
     return _with_text(out, docs.columns, F.col("text"), F.col("n_removed") > 0)
 
 

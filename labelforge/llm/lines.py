@@ -18,19 +18,24 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def line_dedup(docs: DataFrame, site_col: str = "source", text_col: str = "text", percent: int = 8, min_pages: int = 5) -> DataFrame:
+def line_dedup(docs: DataFrame, site_col: str = "source", text_col: str = "text", percent: int = 8, min_pages: int = 5,
+               distinct: bool = False) -> DataFrame:
     """``docs`` without the boilerplate lines, and ``n_lines`` and ``n_removed``.
 
     A line goes if it is on ``min_pages`` pages or more and on more than ``percent`` in a hundred of
     the site's pages, compared as it stands.  Each row is a page; a line counts once a page.  Blank
     lines stay and never count.  Rows without a site form one site.  A null text stays null and has no
-    lines; an empty text is one blank line.  Repeated rows are pages of their own.  Columns of the
-    input named ``n_lines`` or ``n_removed`` are replaced.
+    lines; an empty text is one blank line.  Repeated rows are pages of their own, or with ``distinct``
+    rows of a site with equal text are one page, so that many copies of a page do not make its lines
+    boilerplate.  Columns of the input named ``n_lines`` or ``n_removed`` are replaced.
     """
     marks = F.transform(F.filter(_lines(F.col(text_col)), lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x))
-    seen = docs.select(F.col(site_col).alias("site"), F.explode(F.array_distinct(marks)).alias("line"))
+    found = docs.select(F.col(site_col).alias("site"), F.xxhash64(text_col).alias("page"), F.array_distinct(marks).alias("marks"))
+    if distinct:
+        found = stored(found.dropDuplicates(["site", "page"]), "pages")
+    seen = found.select("site", F.explode("marks").alias("line"))
     often = seen.groupBy("site", "line").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= min_pages)
-    pages = docs.groupBy(F.col(site_col).alias("host")).agg(F.count(F.lit(1)).alias("pages"))
+    pages = found.groupBy(F.col("site").alias("host")).agg(F.count(F.lit(1)).alias("pages"))
     cut = often.join(pages, often["site"].eqNullSafe(pages["host"])).where(100 * F.col("c") > percent * F.col("pages"))
     lists = stored(cut.groupBy("site").agg(F.collect_set("line").alias("lines")), "boilerplate")
 

@@ -57,6 +57,17 @@ def test_lines(spark):
     assert lines.line_dedup(frame(spark, [])).count() == 0
 
 
+def test_copies_of_a_page_are_one_page(spark):
+    table = [(i, "own head\nown body", "a") for i in range(30)] + [(30 + i, f"menu\nbody {i}", "a") for i in range(60)]
+    table += [(90 + i, t, s) for i, (t, s) in enumerate([(None, "a"), (None, "a"), ("", "a"), ("", "a"), ("x", None), ("x", None)])]
+    out = {r.doc_id: r for r in lines.line_dedup(frame(spark, table), distinct=True).collect()}
+    assert len(out) == len(table) and all(out[i].text == "own head\nown body" for i in range(30))
+    assert all((out[30 + i].text, out[30 + i].n_removed) == (f"body {i}", 1) for i in range(60))
+    assert [out[90 + i].text for i in range(6)] == [t for _, t, _ in table[90:]]
+    out = {r.doc_id: r for r in lines.line_dedup(frame(spark, table)).collect()}
+    assert out[0].text == "" and out[0].n_removed == 2  # each row a page
+
+
 def test_fingerprints(spark):
     table = [r for r in rows() if r[0] is not None][:-1]
     rng = random.Random(8)

@@ -43,6 +43,15 @@ def test_near_duplicates_stage(spark):
     assert {r.doc_id for r in kept.collect()} - {None} == want
 
 
+def test_one_of_many_copies_comes_through(spark):
+    """A third of a source's rows are copies of one text: the stages of lines and near duplicates leave one of them, whole."""
+    text = "\n".join(f"the copied page has line {i} of its own" for i in range(6))
+    table = [(i, text, "a") for i in range(20)] + [(20 + i, "menu\n" + " ".join(f"w{i}x{j}" for j in range(20)), "a") for i in range(40)]
+    out = corpus_pipeline.drop_lines(spark, frame(spark, table), SF)
+    out = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(out.collect(), out.schema), SF).collect()
+    assert {r.doc_id: r.text for r in out} == {0: text} | {i: t.removeprefix("menu\n") for i, t, _ in table[20:]}
+
+
 def test_substring_stage(spark):
     table = rows()
     got = {r.doc_id: r.text for r in corpus_pipeline.drop_substrings(spark, frame(spark, table), SF).collect()}
