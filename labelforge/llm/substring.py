@@ -4,7 +4,8 @@ Blocks of ``b = (window + 1) // 2`` words at every ``b``-th position of each tex
 every rolling window of ``b`` words probes the index.  A run of ``window`` words that occurs twice
 holds a whole indexed block of its twin, so both places are hit.  Hits are then extended: each
 window of ``window`` words around a hit is looked up by its own hash, and those that start at two
-places or more cover exactly the maximal repeats of that length.
+places or more cover exactly the maximal repeats of that length.  Anchors are told apart by 48 bits
+and their bucket, which can only add hits; the extensions, which decide, by all 64 bits.
 
 Hashes are dealt to buckets, so nothing is gathered by text or passage: a bucket holds a fixed
 number of hashes, whatever share of the texts has the same passage, and answers with positions.
@@ -38,8 +39,8 @@ def _unpack_sorted(packed: bytes, n: int) -> np.ndarray:
     return np.cumsum(np.frombuffer(packed, "<u2" if len(packed) == 2 * n else "<u4"), dtype=np.int64)
 
 
-def _emit(rows: np.ndarray, before: np.ndarray, hashes: np.ndarray, at: np.ndarray, flag: np.ndarray, buckets: int):
-    """One record per bucket with the slice's hashes, and one with the slice's rows."""
+def _emit(rows: np.ndarray, before: np.ndarray, hashes: np.ndarray, at: np.ndarray, flag: np.ndarray, buckets: int, wide: bool = False):
+    """One record per bucket with the slice's hashes, ``wide`` ones whole, and one with the slice's rows."""
     with np.errstate(over="ignore"):
         name = int(W.mix(np.sum(W.mix(rows.view(np.uint64) + np.arange(len(rows), dtype=np.uint64)), keepdims=True)).view(np.int64)[0])
     out = [[name % buckets], [name], [None], [None], [None], [rows.tobytes()], [before.astype("<u4").tobytes()]]
@@ -48,13 +49,13 @@ def _emit(rows: np.ndarray, before: np.ndarray, hashes: np.ndarray, at: np.ndarr
     b, hashes, at, flag = b[order], hashes[order], at[order], flag[order]
     for i, m in zip(*W.runs(b)):
         s = slice(i, i + m)
-        for o, v in zip(out, (int(b[i]), name, W.pack48(hashes[s]), _pack_sorted(at[s]), np.packbits(flag[s]).tobytes(), None, None)):
+        for o, v in zip(out, (int(b[i]), name, hashes[s].astype("<u8").tobytes() if wide else W.pack48(hashes[s]), _pack_sorted(at[s]), np.packbits(flag[s]).tobytes(), None, None)):
             o.append(v)
     kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 5)
     return pa.record_batch([pa.array(x, t) for x, t in zip(out, kinds)], names=["bucket", "slice", "hash", "at", "flag", "rows", "before"])
 
 
-def _answer(judge: Callable[[np.ndarray, np.ndarray], np.ndarray]):
+def _answer(judge: Callable[[np.ndarray, np.ndarray], np.ndarray], wide: bool = False):
     """Bucket: positions of the hashes that ``judge(hashes, flags)`` marks; rows pass through."""
     def run(group: pa.Table) -> pa.Table:
         out: list[list] = [[] for _ in range(4)]
@@ -64,7 +65,7 @@ def _answer(judge: Callable[[np.ndarray, np.ndarray], np.ndarray]):
                 for o, v in zip(out, (name, None, rows, before)):
                     o.append(v)
                 continue
-            h = W.unpack48(h)
+            h = np.frombuffer(h, "<u8") if wide else W.unpack48(h)
             names.append(name)
             hashes.append(h)
             ats.append(at)
@@ -99,8 +100,8 @@ def _by_row(group: pa.Table) -> pa.Table:
                     names=["row", "runs"])
 
 
-def _ask(postings: DataFrame, buckets: int, judge) -> DataFrame:
-    answers = deal(postings, buckets, "bucket").groupBy("bucket").applyInArrow(_answer(judge), _REPLY)
+def _ask(postings: DataFrame, buckets: int, judge, wide: bool = False) -> DataFrame:
+    answers = deal(postings, buckets, "bucket").groupBy("bucket").applyInArrow(_answer(judge, wide), _REPLY)
     runs = answers.groupBy("slice").applyInArrow(_by_row, "row long, runs binary")
     return runs.groupBy("row").agg(F.first("runs").alias("runs"))  # rows with the same id and text have the same runs
 
@@ -152,7 +153,7 @@ def _extensions(window: int, block: int, buckets: int, text: str):
             hashes, at = W.windows(W.word_hashes(data, starts, ends, fold=False), before, window)
             near = _spread(runs[row : row + n], before, 0, window - block)[at]
             hashes, at = hashes[near], at[near]
-            yield _emit(rows[row : row + n], before, hashes, at, np.zeros(len(at), bool), buckets)
+            yield _emit(rows[row : row + n], before, hashes, at, np.zeros(len(at), bool), buckets, wide=True)
     return run
 
 
@@ -192,7 +193,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = max(1, -(-size // (_BYTES_PER_WORD * bucket)))
     hits = stored(_ask(arrow_map(text, _anchors(block, buckets), _POSTING), buckets, _is_hit), "hits")
     near = all_docs.join(hits, "row").select("row", "payload", "runs")
-    repeats = _ask(arrow_map(near, _extensions(window, block, buckets, text_col), _POSTING), buckets, _is_repeat)
+    repeats = _ask(arrow_map(near, _extensions(window, block, buckets, text_col), _POSTING), buckets, _is_repeat, wide=True)
     found = all_docs.join(repeats, "row", "left")
     return (found.withColumn("r", _cut(window)(F.col("payload").getField(text_col), "runs"))
             .select("payload", "r.n_words", "r.n_removed", "r.kept"))

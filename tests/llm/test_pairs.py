@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,3 +133,22 @@ def test_perfect_hash_is_minimal_and_refuses_others():
     at = exact.lookup(bits, sizes, others)
     by_slot = digests[np.argsort(slot)]
     assert not (by_slot[at[at >= 0]] == others[at >= 0]).all(1).any()
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_extensions_compare_whole_hashes(wide):
+    """Two windows of a bucket that differ above the lower 48 bits only: no repeat, while anchors may take them for one."""
+    hashes = np.array([5, 5 + 2**50, 9, 9], np.uint64)
+    batch = substring._emit(np.array([7]), np.array([0, 4]), hashes, np.arange(4), np.zeros(4, bool), 1, wide)
+    out = substring._answer(substring._is_repeat, wide)(pa.Table.from_batches([batch]))
+    at = [np.frombuffer(x, "<u4").tolist() for x in out.column("at").to_pylist() if x is not None]
+    assert at == [[2, 3] if wide else [0, 1, 2, 3]]
+
+
+def test_extensions_are_asked_with_whole_hashes(monkeypatch):
+    monkeypatch.setattr(substring.W, "windows", lambda hashes, before, k: (np.array([5, 5 + 2**50], np.uint64), np.arange(2)))
+    payload = pa.StructArray.from_arrays([pa.array([" ".join("abcdef")])], names=["text"])
+    runs = pa.array([np.array([[0, 3]], "<u4").tobytes()], pa.binary())
+    batch = pa.RecordBatch.from_arrays([pa.array([7], pa.int64()), payload, runs], names=["row", "payload", "runs"])
+    out = [x for b in substring._extensions(5, 3, 1, "text")(batch) for x in b.column("hash").to_pylist() if x is not None]
+    assert [len(x) for x in out] == [16]
