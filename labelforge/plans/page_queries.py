@@ -64,6 +64,25 @@ def page_links_no_nav(spark, sf):
     return counts.select("page_id", *[F.col(c).cast("bigint").alias(c) for c in ("n_links", "n_outside")])
 
 
+WORDS = ("promo", "menu")
+
+
+@query(f"""WITH h AS (SELECT page_id, regexp_extract_all(html, {S.lit(HREF)}, 1) AS h FROM pages WHERE page_id % 4 <> 0),
+    l AS (SELECT page_id, unnest(h) AS link, generate_subscripts(h, 1) AS i FROM h),
+    f AS (SELECT page_id, link, min(i) AS i FROM l WHERE NOT regexp_matches(link, '^/[a-mA-M]') GROUP BY ALL)
+    SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS pos, link FROM f""")
+def page_links_outside_words(spark, sf):
+    """Links that no element with an excluded class or id word is around.
+
+    The pages have no such element around a link, so some list items get a class, with an element left
+    open inside, and the navigation of every fourth page an id.
+    """
+    item = F.regexp_replace("html", '<li>(<a href="/[a-mA-M])', '<li class="Promo box"><span>$1')
+    nav = F.when(F.col("page_id") % 4 == 0, F.replace(item, F.lit("<nav>"), F.lit('<nav id="Side-Menu">'))).otherwise(item)
+    parts = extract.page_parts_exact(pages(spark, sf).select("page_id", nav.alias("html")), "page_id", "html", exclude_words=WORDS)
+    return parts.where("kind = 'link'").select("page_id", F.col("pos").cast("bigint").alias("pos"), F.col("value").alias("link"))
+
+
 ANCHORS_SQL = f"""anchors AS (SELECT page_id, unnest(h) AS href, unnest(m) AS m FROM (
     SELECT page_id, regexp_extract_all({S.visible('html')}, {S.lit(ANCHOR)}, 1) AS h,
         regexp_extract_all({S.visible('html')}, {S.lit(ANCHOR)}, 2) AS m FROM pages))"""

@@ -33,3 +33,12 @@ def test_all_are_registered():
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_words_around_links_exclude_only_some(spark, con):
+    kept = QUERIES["page_links_outside_words"](spark, SF).groupBy("page_id").count().collect()
+    every = QUERIES["page_links"](spark, SF).groupBy("page_id").count().collect()
+    kept, every = ({r[0]: r[1] for r in x} for x in (kept, every))
+    assert 0 < len(kept) < len(every) and not any(i % 4 == 0 for i in kept)
+    assert any(kept[i] < every[i] for i in kept)
+    assert 0 < con.execute(f"SELECT count(*) FROM ({SQL['page_links_outside_words']})").fetchone()[0] == sum(kept.values())
