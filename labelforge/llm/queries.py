@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from . import bpe as op4
+from . import conversations as op12
 from . import exact as op7
 from . import fingerprint as op6
 from . import katz as op9
@@ -140,3 +141,55 @@ def op8_quality(spark, sf_dir):
 def op9_katz(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return op9.katz_scores(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2)
+
+
+#: CRC-32 in SQL: the table of byte steps, and the digest of a list of bytes.
+CRC_TABLE = """bits(i, k, c) AS (SELECT i, 0, i FROM range(256) r(i) UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8)"""
+
+
+def crc_sql(values: str) -> str:
+    return f"xor(list_reduce({values}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295)"
+
+
+CONVERSATION_SQL = rf"""
+WITH RECURSIVE {CRC_TABLE},
+k AS (SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+d AS (SELECT conv_id, turn, {crc_sql("list_transform(string_split(key, ''), lambda x: unicode(x)::BIGINT)")} % 20 AS d, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text FROM k, tab),
+a AS (SELECT conv_id, turn, CASE d WHEN 4 THEN 'user' ELSE role END AS role,
+  CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE d WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM d WHERE d <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+  rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body, role[1] AS ini FROM a),
+f AS (SELECT *, CASE WHEN body = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '-' END AS fault,
+  lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair FROM o),
+pat(st, ini, nx) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+ins AS (SELECT st AS p, 0 AS n, st FROM range(4) r(st) UNION ALL SELECT p, n + 1, nx FROM ins JOIN pat USING (st) WHERE ini <> 's' AND n < 2),
+op(st, nx, c, op, role, ini) AS (SELECT st, st, 2, 'D', '', NULL FROM range(4) r(st) UNION ALL SELECT st, nx, 0, 'K', '', ini FROM pat
+  UNION ALL SELECT st, nx, 1, 'R', CASE ini WHEN 'u' THEN 'user' ELSE 'assistant' END, NULL FROM pat WHERE ini <> 's'),
+dp AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, 0::BIGINT AS st, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS rep FROM f
+  UNION ALL
+  SELECT conv_id, i, st, b.cost, b.audit, b.rep FROM (
+    SELECT dp.conv_id, f.i, op.nx::BIGINT AS st, min({{'cost': (dp.cost + 5 * ins.n + op.c + CASE WHEN op.op <> 'D' AND f.fault = 't' THEN 5 ELSE 0 END)::BIGINT,
+      'audit': dp.audit || repeat('I', ins.n) || op.op,
+      'rep': dp.rep || list_transform(range(ins.n), lambda j: CASE WHEN (ins.p = 2) = (j = 0) THEN 'assistant:' ELSE 'user:' END)
+        || CASE op.op WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [f.role || ':' || f.text] ELSE [op.role || ':' || f.text] END}}) AS b
+    FROM dp JOIN f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.i = dp.i + 1 JOIN ins ON ins.p = dp.st
+    JOIN op ON op.st = ins.st AND (op.op = 'D' OR f.fault IN ('-', 't')) AND (op.ini IS NULL OR op.ini = f.ini)
+    GROUP BY dp.conv_id, f.i, op.nx)),
+n AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+  count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY 1),
+z AS (SELECT dp.conv_id, min({{'cost': cost + 5 * ins.n, 'audit': audit || repeat('I', ins.n), 'rep': rep || CASE ins.n WHEN 0 THEN []
+    WHEN 1 THEN ['assistant:'] ELSE ['user:', 'assistant:'] END}}) AS b
+  FROM dp JOIN n ON n.conv_id IS NOT DISTINCT FROM dp.conv_id AND dp.i = n.n JOIN ins ON ins.p = dp.st AND ins.st IN (0, 3) GROUP BY 1)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(b.cost, 0)::BIGINT AS cost, coalesce(b.audit, '') AS audit,
+  sha256(coalesce(array_to_string(b.rep, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
+@query(CONVERSATION_SQL)
+def op12_conversations(spark, sf_dir):
+    rows = op12.damaged(table(spark, sf_dir, "conversations"))
+    return op12.joined(op12.repair(rows, dropped=F.col("dropped"))).withColumnRenamed("conv", "conv_id")
