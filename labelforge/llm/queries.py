@@ -14,6 +14,7 @@ from . import lines as op10
 from . import ngram_join as op1
 from . import packing as op3
 from . import quality as op8
+from . import spelling as op13
 from . import substring as op2
 from . import urls as op5
 from .base import table
@@ -193,3 +194,30 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN n ON n.conv_id IS
 def op12_conversations(spark, sf_dir):
     rows = op12.damaged(table(spark, sf_dir, "conversations"))
     return op12.joined(op12.repair(rows, dropped=F.col("dropped"))).withColumnRenamed("conv", "conv_id")
+
+
+SPELLING_SQL = rf"""
+WITH RECURSIVE {CRC_TABLE},
+r AS (SELECT doc_id, unnest(regexp_extract_all({FOLD}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS w FROM documents),
+g AS (SELECT doc_id, w, count(*) AS n FROM r GROUP BY ALL),
+p AS (SELECT *, coalesce(doc_id::VARCHAR, '') || ':' || w AS key FROM g),
+h AS (SELECT w, n, {crc_sql("flatten(list_transform(string_split(key, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195::BIGINT, unicode(x)::BIGINT - 64] END))")} AS h FROM p, tab),
+v AS (SELECT CASE WHEN h % 199 = 0 THEN left(w, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM v WHERE length(word) >= 6 GROUP BY 1 HAVING sum(n) >= 5),
+k AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+d AS (SELECT DISTINCT word, n, left(word, i - 1) || substr(word, i + 1) AS cut FROM k),
+s AS (SELECT word, n, i, left(word, i - 1) || '*' || substr(word, i + 1) AS wild FROM k),
+e AS (SELECT a.word, b.word AS other, b.n AS m FROM s a JOIN s b USING (wild, i) WHERE a.word <> b.word
+  UNION SELECT d.word, w.word, w.n FROM d JOIN w ON d.cut = w.word UNION SELECT w.word, d.word, d.n FROM d JOIN w ON d.cut = w.word),
+b AS (SELECT word, count(*) AS n_near, min({{'rest': -m, 'form': other}}) AS best FROM e GROUP BY 1),
+f AS (SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -best.rest >= 5 * n THEN best.form END AS form,
+  CASE WHEN -best.rest >= 5 * n THEN -best.rest END AS form_n FROM w LEFT JOIN b USING (word)),
+c AS (SELECT word, word AS at FROM f UNION ALL SELECT c.word, f.form FROM c JOIN f ON f.word = c.at WHERE f.form IS NOT NULL),
+z AS (SELECT c.word, c.at AS root FROM c JOIN f ON f.word = c.at WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN z USING (word)"""
+
+
+@query(SPELLING_SQL)
+def op13_spelling(spark, sf_dir):
+    words = op13.word_counts(table(spark, sf_dir, "documents")).where("n >= 5")
+    return op13.spelling_groups(op13.stored(words, "words"))

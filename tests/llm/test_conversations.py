@@ -86,7 +86,7 @@ def test_long_conversations_in_blocks_and_batches(spark):
     assert len(pieces) > 10 and pieces[-1].blocks == len(pieces) and all(p.blocks is None for p in pieces[:-1])
     text = "\n".join(p.repaired for p in pieces if p.repaired)
     assert hashlib.sha256(text.encode()).hexdigest() == one[1].repaired_sha256 and "".join(p.audit for p in pieces) == one[1].audit
-    assert one[7].cost == 50 and one[8].cost == 5
+    assert one[7].cost == 50 and one[8].cost == 2
 
 
 def test_dropped_rows_only_name_their_conversation(spark):
