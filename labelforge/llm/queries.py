@@ -10,6 +10,7 @@ from . import conversations as op12
 from . import exact as op7
 from . import fingerprint as op6
 from . import katz as op9
+from . import language as op11
 from . import lines as op10
 from . import ngram_join as op1
 from . import packing as op3
@@ -144,6 +145,11 @@ def op9_katz(spark, sf_dir):
     return op9.katz_scores(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2)
 
 
+@query()
+def op11_language(spark, sf_dir):
+    return op11.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 #: CRC-32 in SQL: the table of byte steps, and the digest of a list of bytes.
 CRC_TABLE = """bits(i, k, c) AS (SELECT i, 0, i FROM range(256) r(i) UNION ALL
   SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
