@@ -84,6 +84,13 @@ def discounts(n: list[int]) -> np.ndarray:
     return d
 
 
+def _short(batches):
+    """Batches of rows whose numbers fit beside a flag, whatever the session's batch size."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(i, _ROWS)
+
+
 def _tokens(batch: pa.RecordBatch):
     """Per slice: first row, training flags, and of each token its row, its word and whether it begins a text; ends included."""
     train = batch.column("train").to_numpy(zero_copy_only=False)
@@ -246,7 +253,7 @@ def _deal(buckets: int, head: Head, uni: Unigrams):
 
     def run(batches):
         name, held, rows, size = TaskContext.get().partitionId() << 32, [], 0, 0
-        for batch in batches:
+        for batch in _short(batches):
             ids = batch.column("doc_id")
             null, ids = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
             for row, train, owner, cur, begin in _tokens(batch):

@@ -152,6 +152,21 @@ def test_katz_scores(spark, options):
     assert sorted(((*r[:5], round(r[5], 6), round(r[6], 6)) for r in got), key=str) == sorted(want, key=str)
 
 
+def test_katz_scores_do_not_depend_on_the_batch(spark):
+    """A batch with more rows than a slice can number is cut."""
+    table = spark.range(70_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), (F.col("id") % 5).cast("string")).alias("text"))
+    table = table.coalesce(1).cache()
+    got = []
+    for n in (1_000, 10_000, 100_000):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)
+        try:
+            rows = katz.katz_scores(table, F.col("doc_id") % 7 != 2).collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        got.append(sorted((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 9), round(r.score, 9)) for r in rows))
+    assert got[0] == got[1] == got[2] and len(got[0]) == 70_000
+
+
 def test_katz_is_normalised():
     rng = random.Random(4)
     table = [(i, " ".join(rng.choices([f"t{j}" for j in range(40)], [1 / (j + 1) for j in range(40)], k=50)), "s") for i in range(40)]
