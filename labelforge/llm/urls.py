@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .base import stored
 from .exact import LOWER, UPPER
 from .words import mix
 
@@ -69,7 +70,7 @@ def build(universe: DataFrame, listed: list[str]) -> Cascade:
     rows = spark.createDataFrame([(x,) for x in sorted(set(listed))], "key string")
     own = rows.select(*_hashes(F.col("key"))).collect()
     own = np.array([tuple(r) for r in own], np.int64).reshape(-1, 2).view(np.uint64)
-    others = universe.join(rows, "key", "left_anti")
+    others = stored(universe.join(rows, "key", "left_anti"), "keys")  # read twice
     n = max(1, others.count())
     first = Bloom(own, min(0.5, math.sqrt(0.5) * max(1, len(own)) / n), 0)
     passes = F.arrow_udf(lambda a, b: pa.array(first.has(_pairs(a, b))), "boolean")
@@ -94,14 +95,18 @@ def parts(url: Column) -> tuple[Column, Column]:
     return F.translate(host, UPPER, LOWER), path
 
 
-def candidates(host: Column, path: Column, lengths: list[int]) -> Column:
-    """Keys that a rule for this host and path can have, the longest first, then the longer host."""
-    labels = F.split(host, "[.]", -1)
-    names = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def candidates(host: Column, path: Column, lengths: list[int], labels: int) -> Column:
+    """Keys that a rule for this host and path can have, the longest first, then the longer host.
+
+    ``labels`` is the most that a rule's host has: longer suffixes of a host fit no rule, however many it has.
+    """
+    last = F.when(F.substring_index(host, ".", -labels) != "", F.split(F.substring_index(host, ".", -labels), "[.]", -1))
+    names = F.transform(F.sequence(F.lit(1), F.size(last)), lambda i: F.array_join(F.slice(last, i, F.size(last)), "."))
     keys = F.flatten(F.transform(names, lambda h: F.transform(
         F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: F.length(path) >= n),
         lambda n: F.struct((F.length(h) + n).alias("length"), F.length(h).alias("host"), F.concat(h, F.substring(path, F.lit(1), n)).alias("key")))))
-    return F.transform(F.sort_array(F.filter(keys, lambda k: k["host"] > 0), asc=False), lambda k: k["key"])
+    found = F.transform(F.sort_array(F.filter(keys, lambda k: k["host"] > 0), asc=False), lambda k: k["key"])
+    return F.coalesce(found, F.array().cast("array<string>"))
 
 
 def url_filter(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
@@ -115,7 +120,8 @@ def url_filter(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str
     verdicts = {host + path: verdict for verdict, host, path in rules}
     host, path = parts(F.col("url"))
     split = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")).select("page_id", host.alias("host"), path.alias("path"))
-    keyed = split.withColumn("keys", candidates(F.col("host"), F.col("path"), sorted({len(p) for _, _, p in rules})))
+    most = max((h.count(".") + 1 for _, h, _ in rules), default=1)
+    keyed = split.withColumn("keys", candidates(F.col("host"), F.col("path"), sorted({len(p) for _, _, p in rules}), most))
     cascade = build(keyed.select(F.explode("keys").alias("key")).distinct(), list(verdicts))
 
     def first_listed(a: pa.Array, b: pa.Array) -> pa.Array:
