@@ -178,14 +178,18 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """
     known = docs.where(F.col(lang_col).isNotNull() & (F.octet_length(text_col).between(1, longest))).where(~held_out(F.col(id_col)))
     known = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("digest"))
-    frequent = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
-    langs = sorted(r.lang for r in frequent.collect())
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("digest").alias("kinds"))
+    frequent = sorted((r.lang, r.kinds) for r in sizes.orderBy(F.desc("n"), "lang").limit(languages).collect())
+    langs = [lang for lang, _ in frequent]
     if not langs:
         return train([], [], order)
     quota = max(1, sample // len(langs))
-    # The first rows of a language are cut to the quota in every task, before they meet.
+    # Digests are spread evenly, so the first of a language lie below a bound that only some times the quota reach.
+    bounds = [(lang, min(2**63 - 1, 8 * (quota + 50) * 2**64 // max(1, kinds) - 2**63)) for lang, kinds in frequent]
+    bounds = known.sparkSession.createDataFrame(bounds, "lang string, bound long")
     nth = F.expr("row_number() OVER (PARTITION BY lang ORDER BY digest)")
-    first = known.select("lang", "digest").where(F.col("lang").isin(langs)).withColumn("nth", nth).where(F.col("nth") <= quota)
+    low = known.select("lang", "digest").join(F.broadcast(bounds), "lang").where("digest <= bound").groupBy("lang", "digest").agg(F.lit(1).alias("one"))
+    first = low.withColumn("nth", nth).where(F.col("nth") <= quota)
     last = stored(first.groupBy("lang").agg(F.max("digest").alias("last")), "languages")
     chosen = known.join(F.broadcast(last), "lang").where("digest <= last").groupBy("lang", "digest").agg(F.first("text").alias("text"))
     counts = chosen.select("lang", "text").mapInArrow(_counted(order), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
