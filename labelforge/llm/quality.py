@@ -2,7 +2,7 @@
 
 Trusted positives and unlabelled rows are sampled up to a stated number.  A first net tells
 positives from unlabelled rows; the least ratio of the unlabelled to the positive tail of its scores
-on rows kept aside estimates the class prior.  A second net minimises the non-negative unbiased
+on rows that it has not seen estimates the class prior.  A second net minimises the non-negative unbiased
 risk ``prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))``; negatives are never used.
 Features are shares of bytes, words and repeats over the whole text, counted in numpy.
 """
@@ -15,9 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .base import tidy
 
 #: Rows of each kind that are sampled for training, and the steps of the two nets.
 SAMPLE, STEPS, HIDDEN = 20_000, 600, 24
+#: Parts of the training rows, each scored by a net of the others.
+FOLDS = 3
 FEATURES = 24
 
 
@@ -36,7 +39,7 @@ _MARKS = [_class(x) for x in (".", ",", "!?", "|", "#$%&*@^~", "<>{}[]\\/=+_", "
 def features(column: pa.Array) -> np.ndarray:
     """One row of ``FEATURES`` numbers per text; null and empty texts give zeros."""
     out = np.zeros((len(column), FEATURES), np.float64)
-    for row, data, offsets in W.text_slices(column):
+    for row, data, offsets in W.text_slices(column, 500_000):
         n = len(offsets) - 1
         def share(mask, offsets=offsets):
             total = np.concatenate([[0], np.cumsum(mask)])
@@ -80,6 +83,7 @@ def features(column: pa.Array) -> np.ndarray:
             *[share(m[data]) / w for m in _MARKS], by_row(shouted) / w, by_row(bare) / w,
             by_row(np.isin(ending, list(b".!?"))) / w, kinds / np.maximum(w, 1) ** 0.8, by_row(size <= 3) / w, (words == 0).astype(float),
         ], 1)
+    tidy()
     return out
 
 
@@ -129,21 +133,29 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     return float(np.clip(best, 0.01, 0.99))
 
 
+def _set_aside(positive: np.ndarray, unlabelled: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of all rows by nets that tell positives from unlabelled rows, none of which has seen the row itself.
+
+    A fold without positives or unlabelled rows to learn from learns from all there are.
+    """
+    out = [np.zeros(len(positive)), np.zeros(len(unlabelled))]
+    folds = [np.arange(len(x)) % FOLDS for x in (positive, unlabelled)]
+    for fold in range(FOLDS):
+        p, u = (x[f != fold] if (f != fold).any() else x for x, f in zip((positive, unlabelled), folds))
+        x, y = np.concatenate([p, u]), np.concatenate([np.ones(len(p)), np.zeros(len(u))])
+        net, weight = Net(x), np.where(y == 1, 0.5 / len(p), 0.5 / len(u))
+        for _ in range(steps):
+            net.step(x, lambda z, weight=weight, y=y: weight * (_sigmoid(z) - y))
+        for o, rows, f in zip(out, (positive, unlabelled), folds):
+            o[f == fold] = net.margin(rows[f == fold])
+    return out[0], out[1]
+
+
 def train(positive: np.ndarray, unlabelled: np.ndarray, steps: int = STEPS) -> tuple[Net, float]:
     """The net of least non-negative risk, and the estimated prior."""
     both = np.concatenate([positive, unlabelled])
     n, m = len(positive), len(unlabelled)
-    aside_p, aside_u = np.arange(n) % 3 == 0, np.arange(m) % 3 == 0
-    if n >= 30 and m >= 30:
-        first = Net(both)
-        x = np.concatenate([positive[~aside_p], unlabelled[~aside_u]])
-        y = np.concatenate([np.ones((~aside_p).sum()), np.zeros((~aside_u).sum())])
-        weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
-        for _ in range(steps // 2):
-            first.step(x, lambda z: weight * (_sigmoid(z) - y))
-        prior = class_prior(first.margin(positive[aside_p]), first.margin(unlabelled[aside_u]))
-    else:
-        prior = 0.5
+    prior = class_prior(*_set_aside(positive, unlabelled, steps // 2))
     net = Net(both)
     is_p = np.concatenate([np.ones(n, bool), np.zeros(m, bool)])
 

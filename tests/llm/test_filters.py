@@ -36,6 +36,14 @@ def test_urls(spark):
     assert urls.url_filter(pages.limit(0), RULES).count() == 0
 
 
+def test_urls_of_very_many_labels_and_segments(spark):
+    """Only suffixes as long as a listed host are looked at, so the work grows with the url."""
+    long = [f"http://{'a.' * 100_000}www.example.com/en/x", f"http://{'.' * 100_000}net/es/", "http://" + "x" * 200_000, f"http://b.net{'/fr' * 50_000}", f"http://{'net.' * 1000}"]
+    pages = spark.createDataFrame(list(enumerate(long)), "page_id long, url string")
+    got = {r.page_id: r.rule for r in urls.url_filter(pages, RULES).collect()}
+    assert got == {0: "www.example.com/en/", 1: "net/es/", 2: None, 3: "net/fr/", 4: None}
+
+
 def test_cascade_is_exact_over_the_universe(spark):
     universe = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key"))
     listed = [f"k{i}" for i in range(0, 20_000, 97)] + ["absent"]
@@ -71,11 +79,11 @@ def test_copies_of_a_page_are_one_page(spark):
 def test_fingerprints(spark):
     table = [r for r in rows() if r[0] is not None][:-1]
     rng = random.Random(8)
+    table += [(900 + i, "\n".join(f"Line {j}, of text {i % 2}. It is long; is it? " * 3 for j in range(900 + 40 * i)), "s") for i in range(3)]
     table += [(1000 + 3 * i, "\n".join(f"line {rng.randrange(400)}" for _ in range(rng.randrange(0, 120))), "s") for i in range(40)]
     table.sort(key=lambda r: r[0])
     def paras(t):
-        parts = t.split("\n") + (re.split(r"\n|(?<=[.!?,;]) +", t) if len(t) < 2000 else [])
-        return {x for x in parts if x.strip(" ")}
+        return {x for x in t.split("\n") + re.split(r"\n|(?<=[.!?,;]) +", t) if x.strip(" ")}
 
     def near(a, b):
         a, b = paras(a), paras(b)
@@ -155,6 +163,53 @@ def test_features_ignore_the_batch():
     assert one.shape[1] == quality.FEATURES
 
 
+@pytest.mark.parametrize("planted", [0.2, 0.5, 0.85])
+@pytest.mark.parametrize("n, slack", [(10, 0.35), (100, 0.2), (1000, 0.08), (5000, 0.06)])
+def test_planted_priors(planted, n, slack):
+    """One rule for every number of rows; what few rows can tell is less."""
+    found = []
+    for seed in range(3 if n < 1000 else 1):
+        rng = np.random.default_rng(seed)
+        inside = rng.random(n) < planted
+        unlabelled = np.where(inside[:, None], rng.normal(2, 1, (n, 2)), rng.normal(-2, 1, (n, 2)))
+        found.append(quality.train(rng.normal(2, 1, (n, 2)), unlabelled, steps=200)[1])
+    assert abs(np.mean(found) - planted) < slack, found
+
+
+@pytest.mark.parametrize("n, m", [(1, 1), (1, 50), (2, 3), (50, 1), (3, 3)])
+def test_few_rows_have_an_estimate(n, m):
+    rng = np.random.default_rng(1)
+    net, prior = quality.train(rng.normal(1, 1, (n, 2)), rng.normal(0, 1, (m, 2)), steps=50)
+    assert 0.01 <= prior <= 0.99 and np.isfinite(net.margin(rng.normal(0, 1, (9, 2)))).all()
+
+
+def plain_risk(net, positive, unlabelled, prior):
+    """The risk and its slope by one weight, from sums over single rows."""
+    loss = lambda z: float(np.log1p(np.exp(-z)))
+    p, u = net.margin(positive).tolist(), net.margin(unlabelled).tolist()
+    wrong = sum(loss(-z) for z in u) / len(u) - prior * sum(loss(-z) for z in p) / len(p)
+    return prior * sum(loss(z) for z in p) / len(p) + max(0.0, wrong)
+
+
+def test_training_lowers_the_plain_risk():
+    """The net's risk, computed row by row, is near the least that small changes of its weights reach."""
+    rng = np.random.default_rng(4)
+    positive = rng.normal(1, 1, (400, 2))
+    unlabelled = np.concatenate([rng.normal(1, 1, (300, 2)), rng.normal(-1.5, 1, (200, 2))])
+    net, prior = quality.train(positive, unlabelled)
+    assert abs(prior - 0.6) < 0.15
+    at = plain_risk(net, positive, unlabelled, prior)
+    start = plain_risk(quality.Net(np.concatenate([positive, unlabelled])), positive, unlabelled, prior)
+    assert at < 0.7 * start
+    for part in net.p:
+        for i in range(min(3, part.size)):
+            old = part.flat[i]
+            for step in (-0.2, 0.2):
+                part.flat[i] = old + step
+                assert plain_risk(net, positive, unlabelled, prior) > at - 0.01
+            part.flat[i] = old
+
+
 def test_class_prior():
     rng = np.random.default_rng(1)
     pos, neg = rng.normal(1, 1, (4000, 2)), rng.normal(-2, 1, (1200, 2))
