@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.common import stored
 
-__all__ = ["arrow_map", "components", "deal", "signed", "stored", "table"]
+__all__ = ["arrow_map", "components", "deal", "signed", "stored", "table", "tidy"]
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -23,11 +24,21 @@ def signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values, np.uint64).view(np.int64))
 
 
+def tidy() -> None:
+    """Give freed memory back to the system, where it can be told to: workers live on between stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with one call per batch."""
     def run(batches: Batches) -> Batches:
         for batch in batches:
             yield from fn(batch)
+        tidy()
     return df.mapInArrow(run, schema)
 
 

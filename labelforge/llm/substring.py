@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .base import arrow_map, deal, stored
+from .base import arrow_map, deal, stored, tidy
 
 #: Hashes of a bucket.
 BUCKET = 2_000_000
@@ -78,6 +78,8 @@ def _answer(judge: Callable[[np.ndarray, np.ndarray], np.ndarray], wide: bool =
                 if mine.any():
                     for o, v in zip(out, (name, _unpack_sorted(at, len(h))[mine].astype("<u4").tobytes(), None, None)):
                         o.append(v)
+        del names, hashes, ats, flags
+        tidy()
         return pa.table([pa.array(x, t) for x, t in zip(out, (pa.int64(), *[pa.binary()] * 3))], names=["slice", "at", "rows", "before"])
     return run
 

@@ -27,19 +27,22 @@ _WORD_BASE = 0xC2B2AE3D27D4EB4F
 
 
 class _Powers:
-    """``base**i`` and ``base**-i`` modulo 2**64, grown on demand."""
+    """``base**i`` and ``base**-i`` modulo 2**64; tables beyond a slice are not kept, as workers live on."""
 
     def __init__(self, base: int):
         self.base, self.inverse = base, pow(base, -1, 2**64)
         self.up = self.down = np.ones(1, U64)
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        while len(self.up) <= n:
-            k = len(self.up)
+        up, down = self.up, self.down
+        while len(up) <= n:
+            k = min(len(up), n + 1 - len(up)) if n > SLICE_BYTES else len(up)
             with np.errstate(over="ignore"):
-                self.up = np.concatenate([self.up, self.up * U64(pow(self.base, k, 2**64))])
-                self.down = np.concatenate([self.down, self.down * U64(pow(self.inverse, k, 2**64))])
-        return self.up, self.down
+                up = np.concatenate([up, up[:k] * U64(pow(self.base, len(up), 2**64))])
+                down = np.concatenate([down, down[:k] * U64(pow(self.inverse, len(down), 2**64))])
+        if n <= SLICE_BYTES:
+            self.up, self.down = up[: SLICE_BYTES + 1], down[: SLICE_BYTES + 1]
+        return up, down
 
 
 _BYTES, _WORDS = _Powers(_BYTE_BASE), _Powers(_WORD_BASE)

@@ -60,12 +60,38 @@ def test_substring_stage(spark):
             assert got[i] == kept
 
 
-@pytest.mark.parametrize("stage", range(4))
+@pytest.mark.parametrize("stage", range(5))
 def test_stages_take_odd_rows(spark, stage):
     f = corpus_pipeline.STAGES[stage][1]
-    assert f(spark, frame(spark, rows()), SF).columns == frame(spark, []).columns
+    out = f(spark, frame(spark, rows()), SF)
+    if stage < 4:
+        assert out.columns == frame(spark, []).columns
+    else:
+        assert out.select("doc_id").distinct().count() == len({i for i, _, _ in rows()})
     assert f(spark, frame(spark, []), SF).count() == 0
 
 
+def test_run_is_its_stages_one_after_another(spark):
+    """Each stage's plain model on what the one before kept; the packing holds every token of the rest once."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from labelforge.llm import lines, quality
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    kept = quality.classify(docs, labels).where("predicted = 1").select(docs.columns)
+    table = [(r.doc_id, r.text, r.source) for r in lines.line_dedup(kept, distinct=True).collect()]  # held against SQL and cases of its own
+    stay = {i for i, _, c in components(table) if i == c}
+    table = [r for r in table if r[0] in stay]
+    cut = {i: kept for i, _, gone, kept in without_repeats(table) if gone}
+    texts = {i: cut.get(i, t) for i, t, _ in table}
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = {i: len(library.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in texts.items()}
+    got = corpus_pipeline.run(spark, SF).collect()
+    assert {r.doc_id: r.doc_tokens for r in got} == want
+    assert sum(r.length for r in got) == sum(want.values()) and len({(r.sequence_id, r.offset) for r in got}) == len(got)
+
+
 def test_defaults_are_the_contract():
     assert ngram_join.ngram_join.__defaults__[2:4] == (5, 75) and substring.substring_dedup.__defaults__[2] == 35
