@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.common import stored
 
-__all__ = ["arrow_map", "components", "deal", "signed", "stored", "table", "tidy"]
+__all__ = ["arrow_map", "components", "deal", "signed", "stored", "table", "tidied", "tidy"]
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -33,6 +33,15 @@ def tidy() -> None:
         pass
 
 
+def tidied(fn: Callable) -> Callable:
+    """``fn`` of a group, with freed memory given back after each."""
+    def run(*groups: pa.Table) -> pa.Table:
+        out = fn(*groups)
+        tidy()
+        return out
+    return run
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with one call per batch."""
     def run(batches: Batches) -> Batches:

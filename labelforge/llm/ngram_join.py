@@ -27,12 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .base import arrow_map, components, deal, signed, stored
+from .base import arrow_map, components, deal, signed, stored, tidied
 
 #: Most frequent shingles kept out of the index; 8 bytes each go to every task.
 LONG = 100_000
 #: Postings of an index bucket and of a search block.
-BUCKET, BLOCK = 2_000_000, 500_000
+BUCKET, BLOCK = 1_000_000, 500_000
 #: DivideSkip's weight of a probe against a merge step.
 MU = 0.01
 
@@ -101,8 +101,8 @@ POSTINGS = "bucket int, part int, a binary, b binary, c binary, d binary"
 
 def _postings(k: int, buckets: int, parts: int, frequent: np.ndarray):
     def run(batch):
-        out: list[list] = [[] for _ in range(6)]
         for _, size, ids, owner, grams in _sets(batch, k):
+            out: list[list] = [[] for _ in range(6)]
             keep = _firsts(ids, size)
             mine = keep[owner]
             owner, grams = owner[mine], grams[mine]
@@ -130,9 +130,9 @@ def _postings(k: int, buckets: int, parts: int, frequent: np.ndarray):
                 for o, v in zip(out, (int(b[i]), None, W.pack48(grams[i : i + m]), length.astype("<u2" if length.max() < 65536 else "<u4").tobytes(),
                                       ids[owner[i : i + m][first]].tobytes(), None)):
                     o.append(v)
-        if out[0]:
-            yield pa.record_batch([pa.array(x, t) for x, t in zip(out, (pa.int32(), pa.int32(), *[pa.binary()] * 4))],
-                                  names=["bucket", "part", "a", "b", "c", "d"])
+            if out[0]:
+                yield pa.record_batch([pa.array(x, t) for x, t in zip(out, (pa.int32(), pa.int32(), *[pa.binary()] * 4))],
+                                      names=["bucket", "part", "a", "b", "c", "d"])
     return run
 
 
@@ -332,7 +332,7 @@ def _join_blocks(big: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
         cols = ["family", "block", "id", "n", "tokens", "label"]
         both = (rows.select(*cols).withColumn("asks", F.lit(False))
                 .unionByName(copies.select(*cols).withColumn("asks", F.lit(True))))
-        joined = stored(both.groupBy("family", "block").applyInArrow(_across(percent), "u long, v long").distinct(), "joined")
+        joined = stored(both.groupBy("family", "block").applyInArrow(tidied(_across(percent)), "u long, v long").distinct(), "joined")
         lower = components(joined).withColumnRenamed("label", "lower").withColumnRenamed("node", "label")
         labels = stored(labels.join(lower, "label", "left").select("id", F.coalesce("lower", "label").alias("label")), "labels")
     return labels
@@ -360,9 +360,9 @@ def ngram_join(
     buckets = parts = max(1, -(-total // bucket))
 
     postings = deal(arrow_map(text, _postings(words, buckets, parts, frequent), POSTINGS), buckets, "bucket")
-    shared = postings.groupBy("bucket").applyInArrow(_lists(parts), "part int, a binary, b binary, c binary, d binary")
+    shared = postings.groupBy("bucket").applyInArrow(tidied(_lists(parts)), "part int, a binary, b binary, c binary, d binary")
     able = stored(
-        deal(shared, parts, "part").groupBy("part").applyInArrow(_candidates(percent), "id long, n long, keys array<long>, tokens binary"),
+        deal(shared, parts, "part").groupBy("part").applyInArrow(tidied(_candidates(percent)), "id long, n long, keys array<long>, tokens binary"),
         "able")
 
     keys = stored(able.select("id", F.explode("keys").alias("key")), "keys")
@@ -377,7 +377,7 @@ def ngram_join(
               .withColumn("g", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), F.lit(groups))).otherwise(F.xxhash64("family", "block"))))
     placed = stored(placed.select("id", "g", "family", "block", "blocks"), "placed")
     blocks = able.select("id", "n", "tokens").join(placed, "id")
-    labels = stored(blocks.select("g", "id", "n", "tokens").groupBy("g").applyInArrow(_search(percent), "id long, label long"), "labels")
+    labels = stored(blocks.select("g", "id", "n", "tokens").groupBy("g").applyInArrow(tidied(_search(percent)), "id long, label long"), "labels")
     if not placed.where("blocks > 1").isEmpty():
         labels = _join_blocks(blocks.where("blocks > 1").drop("g"), labels, percent)
 

@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .base import arrow_map, deal, stored, tidy
+from .base import arrow_map, deal, stored, tidied
 
 #: Hashes of a bucket.
-BUCKET = 2_000_000
+BUCKET = 1_000_000
 _BYTES_PER_WORD = 6
 _POSTING = "bucket int, slice long, hash binary, at binary, flag binary, rows binary, before binary"
 _REPLY = "slice long, at binary, rows binary, before binary"
@@ -78,8 +78,6 @@ def _answer(judge: Callable[[np.ndarray, np.ndarray], np.ndarray], wide: bool =
                 if mine.any():
                     for o, v in zip(out, (name, _unpack_sorted(at, len(h))[mine].astype("<u4").tobytes(), None, None)):
                         o.append(v)
-        del names, hashes, ats, flags
-        tidy()
         return pa.table([pa.array(x, t) for x, t in zip(out, (pa.int64(), *[pa.binary()] * 3))], names=["slice", "at", "rows", "before"])
     return run
 
@@ -103,7 +101,7 @@ def _by_row(group: pa.Table) -> pa.Table:
 
 
 def _ask(postings: DataFrame, buckets: int, judge, wide: bool = False) -> DataFrame:
-    answers = deal(postings, buckets, "bucket").groupBy("bucket").applyInArrow(_answer(judge, wide), _REPLY)
+    answers = deal(postings, buckets, "bucket").groupBy("bucket").applyInArrow(tidied(_answer(judge, wide)), _REPLY)
     runs = answers.groupBy("slice").applyInArrow(_by_row, "row long, runs binary")
     return runs.groupBy("row").agg(F.first("runs").alias("runs"))  # rows with the same id and text have the same runs
 
