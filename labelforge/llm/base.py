@@ -35,8 +35,8 @@ def tidy() -> None:
 
 def tidied(fn: Callable) -> Callable:
     """``fn`` of a group, with freed memory given back after each."""
-    def run(*groups: pa.Table) -> pa.Table:
-        out = fn(*groups)
+    def run(group: pa.Table) -> pa.Table:
+        out = fn(group)
         tidy()
         return out
     return run
