@@ -28,8 +28,8 @@ from tokenizers import Tokenizer
 from . import words as W
 from .base import arrow_map
 
-#: Fragments in the younger half of a worker's memory, of bytes and of words, and the longest one worth it.
-REMEMBERED, LONGEST = (400_000, 250_000), 64
+#: Fragments in the younger half of a worker's memory, and the longest one worth it.
+REMEMBERED, LONGEST = 400_000, 64
 _SPACES = (9, 10, 11, 12, 13, 32)
 #: Marks that end words and belong to no pattern of their own.
 _TAIL = b".,;:!?"
@@ -62,15 +62,15 @@ _BYTE_OF = {x: b for b, x in _LETTERS.items()}
 class Memory(dict):
     """Packed ids of fragments, computed when missed.  When full, it keeps what it held as the older half."""
 
-    def __init__(self, encode: Callable, size: int):
-        self.encode, self.older, self.size = encode, {}, size
+    def __init__(self, encode: Callable):
+        self.encode, self.older = encode, {}
 
     def __missing__(self, fragment) -> bytes:
         ids = self.older.get(fragment)
         if ids is None:
             ids = self.encode(fragment)
         if len(fragment) <= LONGEST:
-            if len(self) >= self.size:
+            if len(self) >= REMEMBERED:
                 self.older = dict(self)
                 self.clear()
             self[fragment] = ids
@@ -103,8 +103,7 @@ class Encoder:
                 self.inside[raw[:-1], raw[1:]] = True
         self.cuts = self._cuts()
         self.ascii = re.compile(ASCII_BYTE_PATTERN if self.byte_level else ASCII_WORD_PATTERN)
-        size = REMEMBERED[0 if self.byte_level else 1]
-        self.memory, self.pieces = Memory(self._fragment, size), Memory(self._piece, size)
+        self.memory, self.pieces = Memory(self._fragment), Memory(self._piece)
 
     def _cuts(self) -> re.Pattern:
         """Before white space, after a byte that never precedes it inside a token."""
@@ -121,9 +120,11 @@ class Encoder:
 
     def _fragment(self, fragment: bytes) -> bytes:
         if not self.byte_level:
+            if fragment.isalpha():  # ASCII letters
+                return array("I", [t.id for t in self.tokenizer.model.tokenize(fragment.lower().decode())]).tobytes()
             word = fragment.rstrip(_TAIL)
-            if word.isalpha():  # ASCII letters, and perhaps one run of marks after them
-                return self.memory[word] + self.pieces[fragment[len(word) :].decode()] if len(word) < len(fragment) else self._piece(word.lower().decode())
+            if word.isalpha():  # and one run of marks after them
+                return self.memory[word] + self.pieces[fragment[len(word) :].decode()]
         text = fragment.decode("utf-8")
         if not _PLAIN.fullmatch(text) or any(x in text for x in self.marks):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
