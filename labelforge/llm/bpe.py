@@ -138,6 +138,12 @@ class Encoder:
         fragments = self.cuts.split(text) if self.byte_level else text.split()
         return b"".join(map(self.memory.__getitem__, fragments))
 
+    def forget(self) -> None:
+        """Empty the memory: workers live on after a task, and several may have served it."""
+        for memory in (self.memory, self.pieces):
+            memory.clear()
+            memory.older = {}
+
     def decode(self, ids: bytes, step: int = 1_000_000) -> bytes:
         out, ids = [], np.frombuffer(ids, "<u4")
         for i in range(0, len(ids), step):

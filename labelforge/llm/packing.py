@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .base import deal, stored
+from .base import deal, stored, tidied, tidy
 from .bpe import encoder
 
 #: Windows of a group, and the longest piece of a rest.
@@ -91,6 +91,8 @@ def _pieces(path: str, end: int, capacity: int, piece: int):
                         nr += 1
                 yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*out)],
                                       names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "nr"])
+        e.forget()
+        tidy()
     return run
 
 
@@ -126,6 +128,6 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     groups = max(1, round((rests.agg(F.sum("length")).first()[0] or 0) / (capacity * windows_per_group)))
     cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     packed = deal(rests.withColumn("g", F.pmod(F.xxhash64("nr"), F.lit(groups))), groups, "g").groupBy("g").applyInArrow(
-        _pack(capacity), _PIECES.replace("nr long", "sequence_id long, offset long"))
+        tidied(_pack(capacity)), _PIECES.replace("nr long", "sequence_id long, offset long"))
     full = pieces.where(F.col("length") == capacity).select(*cols, (F.col("nr") + _ALONE).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return packed.unionByName(full)
