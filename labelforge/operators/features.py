@@ -85,21 +85,22 @@ def tfidf(
     return raw.select(doc, *keep, "feature_idx", "term", (F.col("raw") / norm).alias("weight"))
 
 
+def to_sparse(weights: DataFrame, docs: DataFrame, doc: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``(doc, *keep, indices, values)``: the weights of each row of ``docs`` by feature index, empty if it has no term."""
+    rows = weights.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("feature_idx", "weight"))).alias("fw"))
+    return docs.select(doc, *keep).join(rows, doc, "left").select(
+        doc, *keep, F.coalesce("fw.feature_idx", F.array().cast("array<int>")).alias("indices"),
+        F.coalesce("fw.weight", F.array().cast("array<double>")).alias("values"))
+
+
 def to_vectors(weights: DataFrame, docs: DataFrame, doc: str, size: int, keep: Sequence[str] = ()) -> DataFrame:
     """``(doc, *keep, features)``: one sparse vector per row of ``docs``, zero if it has no term.
 
     A document has at most ``size`` features.  The vector is built inside the JVM from
     the four fields that a vector column is stored as.
     """
-    rows = weights.groupBy(doc).agg(
-        F.array_sort(F.collect_list(F.struct("feature_idx", "weight"))).alias("fw")
-    )
-    fields = F.struct(
-        F.lit(0).alias("type"),
-        F.lit(size).alias("size"),
-        F.coalesce(F.col("fw.feature_idx"), F.array().cast("array<int>")).alias("indices"),
-        F.coalesce(F.col("fw.weight"), F.array().cast("array<double>")).alias("values"),
-    )
+    sparse = to_sparse(weights, docs, doc, keep)
+    fields = F.struct(F.lit(0).alias("type"), F.lit(size).alias("size"), "indices", "values")
     schema = T.StructType([T.StructField("v", VectorUDT())])
     vector = F.from_json(F.to_json(F.struct(fields.alias("v"))), schema)["v"]
-    return docs.select(doc, *keep).join(rows, doc, "left").select(doc, *keep, vector.alias("features"))
+    return sparse.select(doc, *keep, vector.alias("features"))

@@ -1,4 +1,4 @@
-"""Linear classifiers on TF-IDF rows: logistic regression, linear SVM, naive Bayes.
+"""Linear classifiers on TF-IDF rows: logistic regression, linear SVM with the squared hinge, naive Bayes.
 
 Every fit gives the same :class:`~labelforge.operators.score.LinearParams`, so one scorer
 predicts for all of them, and the parameters export in one format.
@@ -10,16 +10,18 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
+import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import as_text
+from . import linear
 from .common import stored
 from .evaluate import accuracy, averages, category_f1, report
-from .features import term_counts, term_stats, tfidf, to_vectors, vocabulary
+from .features import term_counts, term_stats, tfidf, to_sparse, to_vectors, vocabulary
 from .score import LinearParams, score_counts
 from .split import class_weights, with_class_weight
 
@@ -43,6 +45,20 @@ class Features:
         """``(doc, label, features)``, written on first use since solvers read it at every step."""
         return stored(to_vectors(self.weights, self.docs, self.doc, self.size, [self.label]), "vectors")
 
+    @cached_property
+    def classes(self) -> list[str]:
+        return sorted(r[0] for r in self.docs.select(self.label).distinct().collect())
+
+    @cached_property
+    def blocks(self) -> DataFrame:
+        """The same rows packed for :mod:`~labelforge.operators.linear`."""
+        return linear.pack(to_sparse(self.weights, self.docs, self.doc, [self.label]), self.label, self.classes)
+
+    def weights_of(self, factors: Mapping[str, float] | None = None) -> tuple[float, ...]:
+        """Balanced class weights times ``factors``, in the order of ``classes``."""
+        found = {r[self.label]: r["class_weight"] for r in class_weights(self.docs, self.label, factors).collect()}
+        return tuple(float(found[c]) for c in self.classes)
+
 
 def build_features(
     train: DataFrame, doc: str, text: str, label: str, size: int = 10_000,
@@ -74,7 +90,7 @@ class Fitted:
 def _linear_params(feats: Features, classes: list[str], coef, intercept) -> LinearParams:
     """Attach a ``classes x terms`` coefficient matrix, which a solver returned to the driver."""
     spark = feats.vocab.sparkSession
-    columns = [(i, [float(row[i]) for row in coef]) for i in range(feats.size)]
+    columns = [(i, [float(x) for x in c]) for i, c in enumerate(zip(*coef))]
     table = spark.createDataFrame(columns, "feature_idx int, coef array<double>")
     terms = stored(feats.vocab.select("term", "feature_idx", "idf").join(table, "feature_idx"), "terms")
     return LinearParams(
@@ -111,32 +127,80 @@ def fit_logreg(
     return Fitted(params, PipelineModel([lr, back]))
 
 
-def fit_ovr_svm(
-    feats: Features, label: str, C: float = 1.0, max_iter: int = 1000, tol: float = 1e-4
-) -> Fitted:
-    """One linear SVM per class against the rest.
+@dataclass
+class Spec:
+    """A linear model of a path: ``kind`` is ``svm`` (squared hinge, one class against the rest) or ``logreg``."""
+
+    kind: str
+    C: float = 1.0
+    factors: Mapping[str, float] | None = None
 
-    A class's own rows carry its balanced weight and the others weight 1.  Spark's loss
-    is the hinge, and a step of its solver is a pass over all rows.
+
+@dataclass
+class PathFit(Fitted):
+    """With the solution of each class, or of all classes together."""
+
+    solutions: Sequence[linear.Solution] = ()
+
+
+def fit_path(feats: Features, label: str, specs: Sequence[Spec], tol: float = 1e-3, max_passes: int = 1000) -> list[PathFit]:
+    """Several models of the same rows; every pass over the rows serves all that are not yet fitted.
+
+    The objective is ``|w|^2 / 2 + C * sum of weight * loss``, solved until no entry of its gradient exceeds ``tol``.
+    For an SVM a class's own rows carry its balanced weight and the others weight 1; the loss is the
+    squared hinge and the intercept is penalised.  For logistic regression rows carry their
+    class's weight and intercepts are free.
     """
-    rows = _weighted(feats, label, None).persist()
-    classes = [r[0] for r in rows.select(label).distinct().orderBy(label).collect()]
-    coef, intercept = [], []
-    for c in classes:
-        one = rows.select(
-            "features",
-            (F.col(label) == c).cast("double").alias("y"),
-            F.when(F.col(label) == c, F.col("class_weight")).otherwise(1.0).alias("w"),
-        )
-        total = one.agg(F.sum("w")).first()[0]
-        m = LinearSVC(
-            featuresCol="features", labelCol="y", weightCol="w", standardization=False,
-            regParam=1.0 / (C * total), maxIter=max_iter, tol=tol,
-        ).fit(one)
-        coef.append(m.coefficients.toArray())
-        intercept.append(m.intercept)
-    rows.unpersist()
-    return Fitted(_linear_params(feats, classes, coef, intercept))
+    problems, owner = [], []
+    for i, spec in enumerate(specs):
+        weights = feats.weights_of(spec.factors)
+        targets = range(len(feats.classes)) if spec.kind == "svm" else [None]
+        problems += [linear.Problem(weights, spec.C, t) for t in targets]
+        owner += [i] * len(targets)
+    solved = linear.path(feats.blocks, feats.size, problems, tol, max_passes)
+    out = []
+    for i in range(len(specs)):
+        mine = [x for x, o in zip(solved, owner) if o == i]
+        coef = np.concatenate([x.coef for x in mine]) if mine else np.zeros((0, feats.size + 1))
+        out.append(PathFit(_linear_params(feats, feats.classes, coef[:, :-1].tolist(), coef[:, -1].tolist()), solutions=mine))
+    return out
+
+
+def fit_ovr_svm(feats: Features, label: str, C: float = 1.0, max_iter: int = 1000, tol: float = 1e-3) -> PathFit:
+    """One linear SVM per class against the rest, all classes in each pass; see :func:`fit_path`."""
+    return fit_path(feats, label, [Spec("svm", C)], tol, max_iter)[0]
+
+
+def hinge_slopes(feats: Features, label: str, params: LinearParams, C: float = 1.0, flat: float = 1e-3) -> DataFrame:
+    """Per class the SVM objective, the squared norm and ``n_flat``, how many slopes are ``flat`` or less.
+
+    Computed from exported parameters and the long table of weights, apart from the solver: at the optimum every
+    term and the intercept count as flat.
+    """
+    k = len(params.classes)
+    each = range(k)
+    coef = params.terms.select("feature_idx", *[F.col("coef")[i].alias(f"w{i}") for i in each])
+    dots = feats.weights.join(coef, "feature_idx").groupBy(feats.doc).agg(*[F.sum(F.col("weight") * F.col(f"w{i}")).alias(f"s{i}") for i in each])
+    rows = with_class_weight(feats.docs, label, class_weights(feats.docs, label)).join(dots, feats.doc, "left")
+
+    def parts(i: int):
+        own = F.col(label) == params.classes[i]
+        weight, sign = F.when(own, F.col("class_weight")).otherwise(1.0) * C, F.when(own, 1.0).otherwise(-1.0)
+        short = F.greatest(1 - sign * (F.coalesce(f"s{i}", F.lit(0.0)) + params.intercept[i]), F.lit(0.0))
+        return (-2 * weight * sign * short).alias(f"r{i}"), (weight * short * short).alias(f"l{i}")
+
+    slopes = stored(rows.select(feats.doc, *[x for i in each for x in parts(i)]), "slopes")
+    by_term = feats.weights.join(slopes, feats.doc).groupBy("feature_idx").agg(*[F.sum(F.col("weight") * F.col(f"r{i}")).alias(f"g{i}") for i in each])
+    by_term = coef.join(by_term, "feature_idx", "left")
+    steep = lambda i: F.abs(F.coalesce(f"g{i}", F.lit(0.0)) + F.col(f"w{i}")) <= flat
+    terms = by_term.agg(*[F.sum(F.col(f"w{i}") * F.col(f"w{i}")).alias(f"q{i}") for i in each], *[F.sum(steep(i).cast("long")).alias(f"n{i}") for i in each])
+    sums = slopes.agg(*[F.sum(f"l{i}").alias(f"l{i}") for i in each], *[F.sum(f"r{i}").alias(f"r{i}") for i in each])
+    b = params.intercept
+    per_class = F.inline(F.array(*[F.struct(
+        F.lit(c).alias(label), (F.col(f"l{i}") + (F.col(f"q{i}") + b[i] ** 2) / 2).alias("objective"), (F.col(f"q{i}") + b[i] ** 2).alias("squared_norm"),
+        (F.col(f"n{i}") + (F.abs(F.col(f"r{i}") + b[i]) <= flat).cast("long")).alias("n_flat")) for i, c in enumerate(params.classes)]))
+    counts = feats.docs.groupBy(label).agg(F.count("*").alias("n_c"))
+    return terms.crossJoin(sums).select(per_class).join(counts, label)
 
 
 def naive_bayes_tables(feats: Features, label: str, alpha: float = 0.1) -> tuple[DataFrame, DataFrame]:
@@ -177,6 +241,14 @@ def fit_naive_bayes(feats: Features, label: str, alpha: float = 0.1) -> Fitted:
     return Fitted(params)
 
 
+def _fit_group(feats: Features, label: str, variants: Sequence[Mapping], key: tuple, paths: dict) -> dict:
+    """Fit all linear variants of one range and size together, into ``paths`` by variant number."""
+    same = [i for i, v in enumerate(variants) if v["kind"] != "nb" and (v["ngram_range"], v["size"]) == key]
+    tol = min(variants[i].get("tol", 1e-3) for i in same)
+    paths.update(zip(same, fit_path(feats, label, [Spec(variants[i]["kind"], variants[i]["C"]) for i in same], tol)))
+    return paths
+
+
 def run_variants(
     train: DataFrame, test: DataFrame, doc: str, text: str, label: str,
     variants: Sequence[Mapping], stop_words: Sequence[str] = (), categories: Sequence[str] = (),
@@ -185,12 +257,14 @@ def run_variants(
 
     A variant names ``variant_id``, ``description``, ``kind`` (``svm``, ``nb`` or ``logreg``),
     ``size``, ``ngram_range``, and ``C`` or ``alpha``.  Columns: number, id, description, accuracy, macro F1, and F1 per category.  Term
-    counts are written once per n-gram range, features once per range and size.
+    counts are written once per n-gram range, features once per range and size; linear variants of the same
+    features share the passes of one path.
     """
     spark = train.sparkSession
     train, test = (df.withColumn(label, as_text(label)) for df in (train, test))
     counts: dict = {}
     feats: dict = {}
+    paths: dict = {}
     result = []
     for no, v in enumerate(variants):
         rng, key = v["ngram_range"], (v["ngram_range"], v["size"])
@@ -206,10 +280,8 @@ def run_variants(
             )
         if v["kind"] == "nb":
             fitted = fit_naive_bayes(feats[key], label, v["alpha"])
-        elif v["kind"] == "svm":
-            fitted = fit_ovr_svm(feats[key], label, v["C"], tol=v.get("tol", 1e-4))
         else:
-            fitted = fit_logreg(feats[key], label, v["C"])
+            fitted = paths[no] if no in paths else _fit_group(feats[key], label, variants, key, paths)[no]
         predicted = score_counts(test_counts, fitted.params, doc).select(doc, "predicted_label")
         pairs = stored(test.select(doc, label).join(predicted, doc), "pairs")
         rep = report(pairs, label, "predicted_label")

@@ -11,10 +11,12 @@ from .registry import query
 from .text_queries import documents, texts
 
 TERMS = 10_000
-# The grid of the comparison query: kinds, penalties, sizes and ranges.
+# The grid of the comparison query: kinds, penalties, sizes and ranges.  Linear variants of the same features share their passes.
 GRID = (
-    {"variant_id": "svm", "description": "one-vs-rest SVM", "kind": "svm", "C": 1.0, "size": TERMS, "ngram_range": (1, 2), "tol": 1e-3},
-    {"variant_id": "svm-words", "description": "one-vs-rest SVM, words only", "kind": "svm", "C": 1.0, "size": TERMS, "ngram_range": (1, 1), "tol": 1e-3},
+    {"variant_id": "svm", "description": "one-vs-rest SVM", "kind": "svm", "C": 1.0, "size": TERMS, "ngram_range": (1, 2)},
+    {"variant_id": "svm-strict", "description": "one-vs-rest SVM, strong penalty", "kind": "svm", "C": 0.25, "size": TERMS, "ngram_range": (1, 2)},
+    {"variant_id": "svm-phrases", "description": "one-vs-rest SVM, up to three words", "kind": "svm", "C": 1.0, "size": TERMS, "ngram_range": (1, 3)},
+    {"variant_id": "svm-small", "description": "one-vs-rest SVM, fewer terms", "kind": "svm", "C": 1.0, "size": TERMS // 4, "ngram_range": (1, 2)},
     {"variant_id": "bayes", "description": "naive Bayes", "kind": "nb", "alpha": 0.1, "size": TERMS, "ngram_range": (1, 2)},
     {"variant_id": "logistic", "description": "logistic regression", "kind": "logreg", "C": 1.0, "size": TERMS, "ngram_range": (1, 2)},
 )
@@ -143,10 +145,10 @@ def split_documents(spark, sf):
     return whole.where("part = 'train'").drop("part"), whole.where("part = 'test'").drop("part")
 
 
-def _predicted(test, fitted):
+def _predicted(test, fitted, places=4):
     predicted = score.score(test, fitted.params, "doc_id", "text", tokenizer="train")
     return test.select("doc_id", F.col("lang").alias("truth")).join(predicted, "doc_id").select(
-        "doc_id", "truth", "predicted_label", F.round("confidence", 4).alias("confidence")
+        "doc_id", "truth", "predicted_label", F.round("confidence", places).alias("confidence")
     )
 
 
@@ -175,37 +177,84 @@ def train_naive_bayes(spark, sf):
     return _predicted(test, models.fit_naive_bayes(feats, "lang"))
 
 
-# At the optimum the intercepts, which carry no penalty, make each class's weighted sum of predicted
-# probabilities equal its weighted number of rows.
-@query(f"""WITH {SPLIT_SQL}, train AS (SELECT * FROM parts WHERE part = 'train'),
-w AS (SELECT lang, count(*) AS n_train, sum(count(*)) OVER () / count(*) OVER () * CASE lang WHEN 'fr' THEN 0.7::DOUBLE ELSE 1.0 END AS weighted
-    FROM train GROUP BY lang),
-t AS (SELECT lang, count(*) AS support FROM parts WHERE part = 'test' GROUP BY lang)
-SELECT lang, n_train, support, round(weighted, 4) AS weighted, 1.0::DOUBLE AS fitted, support AS scored FROM w JOIN t USING (lang)""")
-def train_logreg(spark, sf):
-    """Per class: rows, weight, the fitted share of that weight, and held-out rows with a prediction."""
+def _classes(text: str, sep: str = ", ") -> str:
+    return sep.join(text.format(i=i) for i in range(len(CLASSES)))
+
+
+def linear_sql(slope: str, penalised: str, weight: str, terms: int, low: str, high: str, rounds: int = 1600) -> str:
+    """Tables that find the optimum of a linear model by themselves: accelerated gradient steps over all classes.
+
+    ``slope`` is the derivative of a row's loss by the margin ``m{i}`` of class ``i``, where ``k`` is its class and
+    ``w`` its weight.  ``low`` and ``high`` bound the curvature along terms and intercepts, by the number of rows
+    ``n``.  ``best`` holds the coefficients ``w{i}`` by feature, the intercepts at -1.
+    """
+    step = f"(CASE WHEN s.f < 0 THEN 1 / ({high}) ELSE 1 / ({low}) END)"
+    momentum = f"(sqrt({low}) - 1) / (sqrt({low}) + 1)"
+    return f"""WITH RECURSIVE {SPLIT_SQL}, train AS (SELECT * FROM parts WHERE part = 'train'), test AS (SELECT * FROM parts WHERE part = 'test'),
+{vocab_sql(grams_sql('train'), terms, 'train')}, {WEIGHTS_SQL},
+kw AS (SELECT lang, count(*) AS n_train, sum(count(*)) OVER () / (count(*) OVER () * count(*)) * {weight} AS w FROM train GROUP BY lang),
+lab AS MATERIALIZED (SELECT doc_id, list_position({list(CLASSES)}, lang) - 1 AS k, w FROM train JOIN kw USING (lang)),
+size AS (SELECT count(*)::DOUBLE AS n FROM lab),
+x AS MATERIALIZED (SELECT doc_id, feature_idx::INT AS f, weight AS v FROM weights UNION ALL SELECT doc_id, -1, 1.0 FROM lab),
+state AS (SELECT 0 AS round, f, {_classes('0::DOUBLE AS w{i}, 0::DOUBLE AS y{i}')} FROM (SELECT feature_idx::INT AS f FROM vocab UNION ALL SELECT -1)
+  UNION ALL SELECT round, f, {_classes(f'nw{{i}}, nw{{i}} + {momentum} * (nw{{i}} - w{{i}})')} FROM (
+    SELECT s.round + 1 AS round, s.f, n, {_classes('s.w{i}')}, {_classes(f's.y{{i}} - {step} * ({penalised} + g.g{{i}}) AS nw{{i}}')}
+    FROM state s JOIN (SELECT x.f, {_classes('sum(x.v * r.s{i}) AS g{i}')} FROM x JOIN (
+      SELECT doc_id, {_classes(slope + ' AS s{i}')} FROM (
+        SELECT x.doc_id, {_classes('sum(x.v * t.y{i}) AS m{i}')} FROM x JOIN state t USING (f) GROUP BY x.doc_id) JOIN lab USING (doc_id)) r
+      USING (doc_id) GROUP BY x.f) g USING (f), size WHERE s.round < {rounds})),
+best AS (SELECT f, {_classes('w{i}')} FROM state WHERE round = {rounds})"""
+
+
+PREDICTED_SQL = f""",
+tt AS (SELECT doc_id, term, (1.0::DOUBLE + ln(count(*)::DOUBLE)) AS tf FROM ({grams_sql('test')}) GROUP BY doc_id, term),
+tw AS (SELECT doc_id, feature_idx, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)) AS v FROM tt JOIN vocab USING (term)),
+tm AS (SELECT doc_id, {_classes('sum(v * w{i}) AS m{i}')} FROM tw JOIN best ON best.f = tw.feature_idx GROUP BY doc_id),
+margins AS (SELECT t.doc_id, lang AS truth, [{_classes('coalesce(m{i}, 0) + b.w{i}')}] AS m FROM test t LEFT JOIN tm USING (doc_id), (SELECT * FROM best WHERE f = -1) b)
+SELECT doc_id, truth, {list(CLASSES)}[list_position(m, list_max(m))] AS predicted_label,
+  round(1 / list_sum(list_transform(m, lambda z: exp(z - list_max(m)))), 3) AS confidence FROM margins"""
+
+#: Multinomial logistic loss with free intercepts, and the squared hinge of one class against the rest.
+LOGISTIC_SQL = linear_sql("w * exp(m{i}) / (" + _classes("exp(m{i})", " + ") + ") - CASE WHEN k = {i} THEN w ELSE 0 END",
+                          "CASE WHEN s.f < 0 THEN 0 ELSE s.y{i} END", "CASE lang WHEN 'fr' THEN 0.7::DOUBLE ELSE 1.0 END", TERMS, "1 + n / 8", "n / 2")
+HINGE_SQL = linear_sql("-2 * CASE WHEN k = {i} THEN w * greatest(1 - m{i}, 0) ELSE -greatest(1 + m{i}, 0) END", "s.y{i}", "1", TERMS, "1 + n / 2", "10 * n")
+
+
+def _confident(predicted):
+    return predicted.withColumn("confidence", F.round("confidence", 3))
+
+
+def _train_features(spark, sf):
     train, test = split_documents(spark, sf)
-    feats = models.build_features(train, "doc_id", "text", "lang", stop_words=STOP)
-    fitted = models.fit_logreg(feats, "lang", factors={"fr": 0.7}, tol=1e-6)
-    weights = split.class_weights(train, "lang", {"fr": 0.7})
-    rows = split.with_class_weight(train.select("doc_id", "lang"), "lang", weights)
-    on_train = score.score(train, fitted.params, "doc_id", "text", tokenizer="train").join(rows, "doc_id")
-    sums = on_train.agg(*[F.sum(F.col("class_weight") * F.col("probs")[i]).alias(c) for i, c in enumerate(fitted.params.classes)])
-    sums = sums.select(F.explode(F.create_map(*[x for c in sums.columns for x in (F.lit(c), F.col(c))])).alias("lang", "s"))
-    held = _predicted(test, fitted).groupBy(F.col("truth").alias("lang")).agg(
-        F.count("*").alias("support"), F.count("predicted_label").alias("scored"))
-    weighted = F.col("n_c") * F.col("class_weight")
-    return weights.join(sums, "lang").join(held, "lang").select(
-        "lang", F.col("n_c").alias("n_train"), "support", F.round(weighted, 4).alias("weighted"),
-        F.round(F.col("s") / weighted, 2).alias("fitted"), "scored",
-    )
+    return models.build_features(train, "doc_id", "text", "lang", TERMS, stop_words=STOP), test
 
 
-@query()
+@query(LOGISTIC_SQL + PREDICTED_SQL)
+def train_logreg(spark, sf):
+    """Held-out predictions; the SQL finds the same optimum by steps of its own."""
+    feats, test = _train_features(spark, sf)
+    fitted = models.fit_path(feats, "lang", [models.Spec("logreg", factors={"fr": 0.7})], tol=1e-5)[0]
+    return _confident(_predicted(test, fitted, 6))
+
+
+@query(HINGE_SQL + PREDICTED_SQL)
 def train_ovr_svm(spark, sf):
-    train, test = split_documents(spark, sf)
-    feats = models.build_features(train, "doc_id", "text", "lang", stop_words=STOP)
-    return _predicted(test, models.fit_ovr_svm(feats, "lang", tol=1e-3))
+    feats, test = _train_features(spark, sf)
+    return _confident(_predicted(test, models.fit_ovr_svm(feats, "lang", tol=1e-5), 6))
+
+
+# Objective and squared norm at the optimum, and how many slopes of the objective vanish there: one for each term and the intercept.
+@query(HINGE_SQL + f""", cast_out AS (SELECT unnest({list(CLASSES)}) AS lang, unnest(range({len(CLASSES)})) AS i),
+rows AS (SELECT lab.k, lab.w, {_classes('m{i}')} FROM lab JOIN (SELECT doc_id, {_classes('sum(v * w{i}) AS m{i}')} FROM x JOIN best USING (f) GROUP BY doc_id) USING (doc_id)),
+loss AS (SELECT [{_classes('sum(CASE WHEN k = {i} THEN w * greatest(1 - m{i}, 0) ** 2 ELSE greatest(1 + m{i}, 0) ** 2 END)')}] AS l FROM rows),
+norm AS (SELECT [{_classes('sum(w{i} * w{i})')}] AS q, count(*) AS n FROM best)
+SELECT lang, n_train, round(q[i + 1] / 2 + l[i + 1], 4) AS objective, round(q[i + 1], 4) AS squared_norm, n AS n_flat FROM cast_out JOIN kw USING (lang), loss, norm""")
+def svm_objective(spark, sf):
+    """Objective, norm and slopes of each class, from its exported coefficients and the long table of weights."""
+    feats, _ = _train_features(spark, sf)
+    fitted = models.fit_ovr_svm(feats, "lang", tol=1e-5)
+    return models.hinge_slopes(feats, "lang", fitted.params).select(
+        "lang", F.col("n_c").alias("n_train"), F.round("objective", 4).alias("objective"), F.round("squared_norm", 4).alias("squared_norm"), "n_flat")
 
 
 @query()

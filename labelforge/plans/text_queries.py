@@ -24,7 +24,7 @@ TEXT_RULES = (
     ("french", rules.word_edges("le|les|des")),
 )
 EXTRA_NA = ("src3", "fr")
-NOTES = (r"\[[a-z ]*\]", r"\(source: [^\)]+\)")
+NOTES = (r"\([0-9]+\)", r"\*[^*\n]+\*")
 PHRASES = ("of the", "de la", "in der")
 TAIL_PHRASES = ("and the", "en el")
 MARKERS = ("tion", "ung", "ment")

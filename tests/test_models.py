@@ -137,7 +137,7 @@ def test_variants(docs):
     train, test = (parts.where(f"part = '{p}'").drop("part") for p in ("train", "test"))
     table = models.run_variants(train, test, "id", "text", "label", variants, ["the"], ["sky", "none"])
     rows = models.summary_table(table).collect()
-    assert [r["variant_id"] for r in rows] == ["Var 0 (Baseline)", "Var 4"]
+    assert [r["variant_id"] for r in rows] == ["first", "second"]
     assert rows[0]["delta"] == "+0.00%" and rows[0]["acc"].endswith("%")
     assert rows[0]["none_f1"] == 0.0 and rows[0]["sky_f1"] > 0.8
 

@@ -78,7 +78,7 @@ def test_caps_per_group_of_any_size(spark, k):
 @pytest.mark.parametrize("fn", [lambda d: dedup.keep_first(d, "key"), lambda d: dedup.keep_longest(d, "key", "key")])
 def test_winners_are_found_without_texts(spark, fn):
     """No sort and no shuffle under the winners' aggregate carries the text."""
-    df = spark.range(100).select(F.lit(0).alias("source_rank"), F.col("id").alias("row_id"), F.repeat(F.lit("k"), 50).alias("key"))
+    df = spark.range(100).select(F.lit(0).alias("source_rank"), F.col("id").alias("row_id"), F.repeat(F.col("id").cast("string"), 50).alias("key"))
     plan = fn(df)._jdf.queryExecution().executedPlan().toString()
     assert "sha2" in plan and "partial_min" in plan
 

@@ -72,8 +72,8 @@ def test_fallback_key_uses_text_for_blank_titles(spark):
 
 def test_patterns_and_prefixes(spark):
     got = rows(
-        spark, ["Good book. [source: Ann] More (Source: Bob)", "Keep this. Buy NOW at our shop\nnext line", None],
-        X.strip_patterns("t", [r"\(Source: [^)]+\)", r"\[Source: [^\]]+\]"]), X.strip_patterns("t", ["buy now"], to_line_end=True), X.title_prefix("t"),
+        spark, ["Good book. (743) More *by hand*", "Keep this. Buy NOW at our shop\nnext line", None],
+        X.strip_patterns("t", [r"\([0-9]+\)", r"\*[A-Z ]+\*"]), X.strip_patterns("t", ["buy now"], to_line_end=True), X.title_prefix("t"),
     )
     assert got[0][0] == "Good book. More"
     assert got[1][1] == "Keep this. next line"
