@@ -9,12 +9,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import stored
 
 ORDER = ("source_rank", "row_id")
+#: Open rows of the two-key pass that one task takes; about 100 bytes each.
+BATCH = 1_000_000
 
 
 def union_sources(named: Mapping[str, DataFrame], rank: str = "source_rank") -> DataFrame:
@@ -78,55 +81,93 @@ def keep_longest(
 
 
 def keep_first_two_keys(
-    df: DataFrame, a: str, b: str, order: Sequence[str] = ORDER, blank_keys: str = "collide"
+    df: DataFrame, a: str, b: str, order: Sequence[str] = ORDER, blank_keys: str = "collide", batch: int = BATCH,
 ) -> DataFrame:
     """Greedy pass in order: a row stays if no earlier kept row used either of its keys.
 
-    Rounds on a narrow table replace the pass.  In each round a row that is the earliest
-    open row on both of its keys stays, and all rows that share a key with it go.  Rows
-    with the same pair of keys collapse first, so copies never travel.  The open rows
-    and the kept ones are written after each round; rounds go on until none is open.
+    Rounds on a narrow table replace the pass; it holds digests of the keys, so texts never travel, and rows with the
+    same pair of keys collapse first.  In a round a row waits for the open rows before it that share a key.  One that
+    waits for none stays, one that waits for a single other stays if that goes; such chains are followed to their
+    beginning by doubling, so that their length costs its logarithm in rounds.  Rows that share a key with a kept
+    one go.  As soon as ``batch`` rows or fewer are open they are passed over in order by one task, whose memory
+    that bounds.  Open rows and decisions are written after each round; rounds go on until none is open.
     With ``blank_keys='ignore'`` a blank key collides with nothing.
     """
     if blank_keys not in ("collide", "ignore"):
         raise ValueError(f"unknown blank_keys {blank_keys!r}")
-    spark = df.sparkSession
-    work = shared_dir(spark, "two-key")
-    blank = F.lit("") if blank_keys == "collide" else F.lit(None).cast("string")
 
-    def clean(c: str) -> Column:
-        return F.when(F.coalesce(F.col(c), F.lit("")) == "", blank).otherwise(F.col(c))
+    def key(c: str) -> Column:
+        text = F.coalesce(F.col(c).cast("string"), F.lit(""))
+        digest = F.unhex(F.substring(F.sha2(text, 256), 1, 32))
+        return digest if blank_keys == "collide" else F.when(text != "", digest)
 
     rank = F.struct(*[F.col(c) for c in order])
-    rows = df.select(rank.alias("o"), clean(a).alias("a"), clean(b).alias("b"))
+    rows = df.select(rank.alias("o"), key(a).alias("a"), key(b).alias("b"))
     keyless = F.col("a").isNull() & F.col("b").isNull()
-    if blank_keys == "ignore":
-        rows.where(keyless).select("o").write.parquet(f"{work}/kept/round=0")
-        rows = rows.where(~keyless)
-    rows.groupBy("a", "b").agg(F.min("o").alias("o")).write.parquet(f"{work}/open-0")
-
-    n = 0
-    open_rows = spark.read.parquet(f"{work}/open-0")
-    while not open_rows.isEmpty():
-        keys = F.array_distinct(F.array_compact(F.array("a", "b")))
-        first_on_key = (
-            open_rows.select(F.struct("o", F.size(keys).alias("n")).alias("r"), F.explode(keys).alias("k"))
-            .groupBy("k").agg(F.min("r").alias("r"))
-        )
-        kept = (
-            first_on_key.groupBy("r").agg(F.collect_list("k").alias("ks"))
-            .where(F.size("ks") == F.col("r.n"))
-            .select("r.o", "ks")
-        )
-        n += 1
-        kept.write.parquet(f"{work}/kept/round={n}")
-        without_used_keys(open_rows, spark.read.parquet(f"{work}/kept/round={n}")).write.parquet(f"{work}/open-{n}")
-        open_rows = spark.read.parquet(f"{work}/open-{n}")
-
-    if n == 0 and blank_keys == "collide":
-        return df.limit(0)
-    kept = spark.read.schema(df.select(rank.alias("o")).schema).parquet(f"{work}/kept")
-    return df.join(kept.select("o.*"), list(order), "left_semi")
+    kept = [rows.where(keyless).select("o")] if blank_keys == "ignore" else []
+    # Digests of a row are put in order, as both columns share one set of keys.
+    pair = F.array_sort(F.array_distinct(F.array_compact(F.array("a", "b"))))
+    pairs = rows.where(~keyless).groupBy(pair.alias("ks")).agg(F.min("o").alias("o"))
+    open_rows = stored(pairs.select("o", F.get("ks", F.lit(0)).alias("a"), F.get("ks", F.lit(1)).alias("b")), "open")
+    while True:
+        n = open_rows.count()
+        if n <= batch:
+            kept.append(_pass_over(open_rows))
+            break
+        stays = stored(_chains(open_rows), "kept")
+        kept.append(stays.select("o"))
+        open_rows = stored(without_used_keys(open_rows, stays).select("o", "a", "b"), "open")
+    return df.join(stored(reduce(DataFrame.unionByName, kept), "kept").select("o.*"), list(order), "left_semi")
+
+
+def _pass_over(open_rows: DataFrame) -> DataFrame:
+    """The greedy pass itself over a bounded number of rows, sorted by order in one partition."""
+    schema = open_rows.select("o").schema
+
+    def run(batches):
+        used: set = set()
+        for batch in batches:
+            stay = []
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+                free = a not in used and b not in used
+                if free:
+                    used.update((a, a if b is None else b))
+                stay.append(free)
+            yield pa.RecordBatch.from_arrays([batch.column("o")], names=["o"]).filter(pa.array(stay, pa.bool_()))
+
+    return open_rows.coalesce(1).sortWithinPartitions("o").mapInArrow(run, schema)
+
+
+def _chains(open_rows: DataFrame) -> DataFrame:
+    """Open rows that are known to stay: those at the beginning of a chain and every other one along it.
+
+    Only the first two rows of a key are looked at, so a key's rows never meet in a group.
+    """
+    open_rows = open_rows.select("o", F.array_compact(F.array("a", "b")).alias("ks"))
+    by_key = stored(open_rows.select("o", F.explode("ks").alias("k")), "keys")
+    first = by_key.groupBy("k").agg(F.min("o").alias("first"))
+    later = by_key.join(first, "k").where(F.col("o") > F.col("first"))
+    ends = stored(first.join(later.groupBy("k").agg(F.min("o").alias("second")), "k", "left"), "ends")
+    led = (
+        ends.select(F.col("first").alias("o"), F.lit(None).cast(open_rows.schema["o"].dataType).alias("p"), F.lit(1).alias("n"))
+        .unionByName(ends.where("second IS NOT NULL").select(F.col("second").alias("o"), F.col("first").alias("p"), F.lit(1).alias("n")))
+        .groupBy("o").agg(F.sum("n").alias("n"), F.collect_set("p").alias("ps"))
+    )
+    # First or second on all of its keys, behind one row at most.
+    step = stored(open_rows.join(led, "o").where((F.col("n") == F.size("ks")) & (F.size("ps") <= 1))
+                  .select("o", F.get("ps", F.lit(0)).alias("p"), (F.size("ps") == 1).alias("odd"), (F.size("ps") == 0).alias("done")), "chains")
+    while True:
+        ahead = step.select(F.col("o").alias("p"), F.col("p").alias("p2"), F.col("odd").alias("odd2"), F.col("done").alias("done2"))
+        both = step.where("NOT done").join(ahead, "p", "left")
+        # Behind a row that itself waits for several, nothing is known yet.
+        known = both.where("done2 IS NOT NULL").select(
+            "o", F.coalesce("p2", "p").alias("p"), F.when(F.col("p2").isNull(), F.col("odd")).otherwise(F.col("odd") != F.col("odd2")).alias("odd"),
+            F.col("done2").alias("done"), F.lit(True).alias("new"))
+        step = stored(step.where("done").select("o", "p", "odd", "done", F.lit(False).alias("new")).unionByName(known), "chains")
+        if step.where("new AND NOT done").isEmpty():
+            break
+        step = step.drop("new")
+    return step.where("done AND NOT odd").select("o").join(open_rows, "o")
 
 
 def without_used_keys(open_rows: DataFrame, kept: DataFrame) -> DataFrame:

@@ -50,14 +50,15 @@ def greedy(rows, ignore_blank=False):
 
 @pytest.mark.parametrize("blank_keys", ["collide", "ignore"])
 @pytest.mark.parametrize("seed,n,alphabet", [(1, 200, 60), (2, 200, 300), (3, 300, 8)])
-def test_two_keys_equal_the_sequential_pass(spark, seed, n, alphabet, blank_keys):
+@pytest.mark.parametrize("batch", [1_000_000, 40, 0])
+def test_two_keys_equal_the_sequential_pass(spark, seed, n, alphabet, blank_keys, batch):
     rnd = random.Random(seed)
     key = lambda: "" if rnd.random() < 0.1 else f"k{rnd.randrange(alphabet)}"
     rows = [(i, key(), key()) for i in range(n)]
     # A third of the rows share one key.
     rows = [(i, "hot", b) if i % 3 == 0 else (i, a, b) for i, a, b in rows]
     df = spark.createDataFrame(rows, "id int, a string, b string").repartition(3)
-    got = dedup.keep_first_two_keys(df, "a", "b", ["id"], blank_keys)
+    got = dedup.keep_first_two_keys(df, "a", "b", ["id"], blank_keys, batch)
     assert sorted(r["id"] for r in got.collect()) == greedy(rows, blank_keys == "ignore")
 
 
@@ -69,6 +70,42 @@ def test_two_keys_chain_and_empty(spark):
     assert dedup.keep_first_two_keys(df.limit(0), "a", "b", ["id"], "ignore").count() == 0
 
 
+def jobs(spark, fn):
+    """What ``fn`` returns, and how many Spark jobs it ran."""
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        out = fn()
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_two_keys_long_chain_in_few_jobs(spark):
+    """Each of 100,000 rows waits for the one before it."""
+    df = spark.range(100_000).select("id", F.concat(F.lit("k"), "id").alias("a"), F.concat(F.lit("k"), F.col("id") + 1).alias("b"))
+    got, n = jobs(spark, lambda: dedup.keep_first_two_keys(df, "a", "b", ["id"]).agg(F.count("*"), F.sum(F.col("id") % 2)).first())
+    assert tuple(got) == (50_000, 0) and n < 20
+
+
+def test_two_keys_chains_beyond_a_batch(spark):
+    """Chains are followed by doubling; they end in rows that wait for two others."""
+    df = spark.range(3_000).select("id", F.concat(F.lit("k"), "id").alias("a"), F.concat(F.lit("k"), F.col("id") + 1).alias("b"))
+    assert [r["id"] for r in dedup.keep_first_two_keys(df, "a", "b", ["id"], batch=0).orderBy("id").collect()] == list(range(0, 3000, 2))
+    rnd = random.Random(9)
+    chain = list(range(120))
+    for shape in (chain, chain[::-1], rnd.sample(chain, 120), sorted(chain, key=lambda x: x % 7)):
+        rows = [(i, f"k{x}", f"k{x + 1}") for i, x in enumerate(shape)]
+        got = dedup.keep_first_two_keys(spark.createDataFrame(rows, "id int, a string, b string"), "a", "b", ["id"], batch=5)
+        assert sorted(r["id"] for r in got.collect()) == greedy(rows, False)
+
+
+def test_two_keys_swapped_and_equal_keys(spark):
+    rows = [(0, "x", "y"), (1, "y", "x"), (2, "z", "z"), (3, "z", "w"), (4, "w", "v"), (5, None, "u"), (6, "", "t")]
+    for batch in (0, 100):
+        got = dedup.keep_first_two_keys(spark.createDataFrame(rows, "id int, a string, b string"), "a", "b", ["id"], batch=batch)
+        assert sorted(r["id"] for r in got.collect()) == [0, 2, 4, 5]
+
+
 def test_metrics(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("b",)], "t string")
     assert tuple(dedup.dedup_metrics(df, "t").first()) == (5, 3, 2)
