@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import tokens as K
-from ..operators import features
+from ..operators import features, topk
 from . import sqltext as S
 from .registry import query
 from .text_queries import texts
@@ -72,7 +72,7 @@ def term_counts(spark, sf):
 
 @query(f"SELECT term, count(*) AS cf, count(DISTINCT doc_id) AS df FROM ({ONES}) GROUP BY term")
 def term_df(spark, sf):
-    return features.term_stats(_counts(spark, sf, (1, 1), ()))
+    return topk.corpus_stats(texts(spark, sf), "text")
 
 
 def vocab_sql(grams: str, size: int, docs: str = "documents") -> str:
@@ -85,7 +85,7 @@ vocab AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS feature_idx, df,
 
 @query(f"WITH {vocab_sql(grams_sql(), VOCAB)} SELECT term, cf, df FROM top")
 def top_vocabulary(spark, sf):
-    return features.top_terms(features.term_stats(_counts(spark, sf)), VOCAB).select("term", "cf", "df")
+    return topk.top_terms(texts(spark, sf), "text", VOCAB, stop_words=STOP, ngram_range=(1, 2))
 
 
 @query(f"WITH {vocab_sql(grams_sql(), VOCAB)} SELECT term, feature_idx, df, round(idf, 6) AS idf FROM vocab")
