@@ -47,7 +47,7 @@ def stream_dedup(spark, sf):
     work = shared_dir(spark, "stream-dedup")
     url, title = X.alnum_signature("text", 100).alias("url"), X.normalize_title(X.title_prefix("text"), "key").alias("title")
     for stream in landings(spark, sf, work, url, title):
-        ingest.append_first(stream, ["url", "title"], ["doc_id"], f"{work}/out", f"{work}/progress")
+        ingest.append_first(stream, ["url", "title"], ["doc_id"], f"{work}/out", f"{work}/progress", buckets=8)
     return spark.read.parquet(f"{work}/out").drop("batch")
 
 

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.common import stored
 from ..operators.dedup import keep_first
+from .seen import BUCKETS, Seen
 
 
 def landed(
@@ -55,40 +56,28 @@ def append_distinct(stream: DataFrame, keys: Sequence[str], out: str, checkpoint
 
 
 def append_first(
-    stream: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, checkpoint: str
+    stream: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, checkpoint: str, buckets: int = BUCKETS,
 ) -> None:
     """Append the first new row of each key, where every one of ``keys`` must be new.
 
     Key by key, a batch drops the rows whose key an earlier batch has seen and keeps its own
     first row.  A key is seen once a row has come as far as it, whether or not a later key
     then rejects that row, so any split into batches gives the rows of a single batch.
-    Seen keys are kept as digests beside the checkpoint.  A batch writes folders of its own, so
-    repeating it after a failure replaces its rows.
+    Seen keys are kept as bucketed tables of digests beside the checkpoint, see :mod:`.seen`.  A batch
+    writes folders of its own, so repeating it after a failure replaces its rows.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         for i, key in enumerate(keys):
-            seen = f"{checkpoint}-seen/key={i}"
-            digest = F.coalesce(F.unhex(F.sha2(F.col(key).cast("string"), 256)), F.lit(b""))
-            before = _other_batches(spark, seen, batch_id)
-            if before is not None:
-                batch = batch.withColumn("_d", digest).join(before.select("_d"), "_d", "left_anti").drop("_d")
-            batch = keep_first(batch, key, order)
-            batch.select(digest.alias("_d")).write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
+            seen = Seen(batch.sparkSession, f"{checkpoint}-seen/key={i}", buckets)
+            seen.merged(batch_id)
+            # What a key lets through is read twice.
+            batch = stored(keep_first(seen.unseen(batch, key, batch_id), key, order), "unseen")
+            seen.add(batch, key, batch_id)
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     _run(stream.writeStream.foreachBatch(write), checkpoint)
 
 
-def _other_batches(spark: SparkSession, out: str, batch_id: int) -> DataFrame | None:
-    try:
-        return spark.read.parquet(out).where(F.col("batch") != batch_id)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
-
-
 def running_counts(stream: DataFrame, col: str, out: str, checkpoint: str) -> None:
     """Keep a table of row counts per value over everything seen so far."""
     def replace(batch: DataFrame, batch_id: int) -> None:

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from labelforge.streaming import ingest, progress
+from labelforge.streaming.seen import Seen
 
 SCHEMA = "id long, url string, title string"
 
@@ -42,6 +43,45 @@ def test_any_split_into_batches_gives_the_rows_of_one(spark, tmp_path):
     assert got[0] == got[1] == got[2] and 12 not in got[0]
 
 
+def keys(spark, *names):
+    return spark.createDataFrame([(n,) for n in names], "k string")
+
+
+def test_history_is_not_moved(spark, tmp_path):
+    """The only exchange is that of the batch, which is dealt to the history's buckets."""
+    seen = Seen(spark, str(tmp_path / "seen"), buckets=4)
+    for i in range(3):
+        seen.add(keys(spark, *(f"k{j}" for j in range(i * 10, i * 10 + 10))), "k", i)
+    new = seen.unseen(keys(spark, "k3", "k29", "k30", None), "k", 9)
+    rows = {r.k for r in new.collect()}
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert rows == {"k30", None} and final.count("Exchange") == 1 and "BroadcastExchange" not in plan
+    history = final[final.index("FileScan"):]
+    assert "SelectedBucketsCount: 4 out of 4" in history and "Bucketed: true" in history
+
+
+def test_a_repeated_batch_replaces_its_keys(spark, tmp_path):
+    seen = Seen(spark, str(tmp_path / "seen"), buckets=2)
+    seen.add(keys(spark, "a"), "k", 0)
+    seen.add(keys(spark, "b", "c"), "k", 1)  # failed after this
+    assert {r.k for r in seen.unseen(keys(spark, "a", "b", "c"), "k", 1).collect()} == {"b", "c"}
+    seen.add(keys(spark, "b"), "k", 1)
+    again = Seen(spark, str(tmp_path / "seen"), buckets=2)
+    assert {r.k for r in again.unseen(keys(spark, "a", "b", "c"), "k", 2).collect()} == {"c"}
+
+
+def test_partitions_are_merged(spark, tmp_path):
+    seen = Seen(spark, str(tmp_path / "seen"), buckets=2, merge=3)
+    for i in range(7):
+        seen.merged(i)
+        assert len(seen.batches()) <= 3
+        seen.add(keys(spark, f"k{i}", None), "k", i)
+    spark.sql(f"DROP TABLE {seen.name}")  # as for a new session; the files stay
+    back = Seen(spark, str(tmp_path / "seen"), buckets=2, merge=3)
+    assert {r.k for r in back.unseen(keys(spark, *(f"k{i}" for i in range(8)), None), "k", 7).collect()} == {"k7"}
+
+
 def test_append_and_distinct_match_batch(spark, tmp_path):
     folder = str(tmp_path / "in")
     for name in ("a", "b"):
