@@ -21,6 +21,7 @@ def landed(spark, sf, name):
 @query(RECORDS_SQL)
 def stream_ingest(spark, sf):
     work = shared_dir(spark, "stream-ingest")
+    forget_at_exit(spark, work)
     ingest.append(landed(spark, sf, "pages"), records, f"{work}/out", f"{work}/progress")
     return spark.read.parquet(f"{work}/out")
 
@@ -59,9 +60,34 @@ def stream_dedup_state(spark, sf):
     return spark.read.parquet(f"{work}/out")
 
 
+# Events land in goes an hour apart, and keys are remembered for 90 minutes: state that was made in one go is gone before the
+# fourth after it, when the watermark, 90 minutes behind the third, has reached the end of the key's 90 minutes.
+GOES, MEMORY = 9, 4
+
+
+@query(f"""WITH RECURSIVE e AS (SELECT DISTINCT user_id, event_id * {GOES} // (SELECT max(event_id) + 1 FROM events) AS go FROM events),
+a AS (SELECT user_id, min(go) AS go FROM e GROUP BY user_id
+    UNION ALL SELECT a.user_id, min(e.go) FROM a JOIN e ON e.user_id = a.user_id AND e.go >= a.go + {MEMORY} GROUP BY a.user_id)
+SELECT user_id, go FROM a""")
+def stream_dedup_bounded(spark, sf):
+    """Users with events, each again only when the bounded state has forgotten it."""
+    work = shared_dir(spark, "stream-bounded")
+    forget_at_exit(spark, work)
+    events = table(spark, sf, "events").select("user_id", "event_id")
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    rows = events.select("user_id", F.floor(F.col("event_id") * GOES / (last + 1)).alias("go"))
+    rows = rows.withColumn("landed", F.timestamp_seconds(F.col("go") * 3600 + 1_700_000_000))
+    for i in range(GOES):
+        rows.where(F.col("go") == i).write.mode("append").parquet(f"{work}/landed")
+        stream = ingest.landed(spark, f"{work}/landed", rows.schema)
+        ingest.append_distinct_within(stream, ["user_id"], "landed", "90 minutes", f"{work}/out", f"{work}/progress")
+    return spark.read.parquet(f"{work}/out").select("user_id", "go")
+
+
 @query("SELECT source, count(*) AS n FROM documents GROUP BY source")
 def stream_counts(spark, sf):
     work = shared_dir(spark, "stream-counts")
+    forget_at_exit(spark, work)
     ingest.running_counts(landed(spark, sf, "documents"), "source", f"{work}/out", f"{work}/progress")
     return spark.read.parquet(f"{work}/out")
 

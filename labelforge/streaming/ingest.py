@@ -7,6 +7,7 @@ written.  Each run takes what has landed since and stops.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,14 +46,36 @@ def append_distinct(stream: DataFrame, keys: Sequence[str], out: str, checkpoint
 
     Which of a batch's equal keys stays is not fixed; see :func:`append_first`.
     """
-    stream.sparkSession.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-    _run(
-        stream.dropDuplicates(list(keys)).writeStream.format("parquet").outputMode("append").option("path", out),
-        checkpoint,
-    )
+    with _on_disk(stream.sparkSession):
+        _run(stream.dropDuplicates(list(keys)).writeStream.format("parquet").outputMode("append").option("path", out), checkpoint)
+
+
+def append_distinct_within(stream: DataFrame, keys: Sequence[str], time: str, bound: str, out: str, checkpoint: str) -> None:
+    """Append rows whose key was not accepted within ``bound`` before, by the column ``time``.
+
+    A key's state expires once the watermark, ``bound`` behind the latest ``time`` of the batches so far, has passed
+    ``bound`` after its accepted row, so the state holds the keys of a limited span and not of all history.  Keys that
+    recur within ``bound`` are always dropped; later ones are accepted again as soon as their state is gone.  Rows
+    older than the watermark are dropped as late.  Which of a batch's equal keys stays is not fixed.
+    """
+    with _on_disk(stream.sparkSession):
+        fresh = stream.withWatermark(time, bound).dropDuplicatesWithinWatermark(list(keys))
+        _run(fresh.writeStream.format("parquet").outputMode("append").option("path", out), checkpoint)
+
+
+@contextmanager
+def _on_disk(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB; the session's own choice is put back."""
+    option, rocks = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(option, None)
+    spark.conf.set(option, rocks)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(option)
+        else:
+            spark.conf.set(option, before)
 
 
 def append_first(

@@ -101,6 +101,23 @@ def test_append_and_distinct_match_batch(spark, tmp_path):
     assert counts["u1"] == 3 and counts["u2"] == 2 and sum(counts.values()) == 9
 
 
+def test_bounded_state_forgets(spark, tmp_path):
+    """Keys inside the bound are dropped, across restarts; later ones come through again, and the state stays small."""
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    schema = "hour int, k string"
+    for hour in range(12):
+        rows = [(hour, "each"), (hour, f"own{hour}"), *([(hour, "rare")] if hour in (0, 1, 11) else [])]
+        df = spark.createDataFrame(rows, schema).withColumn("at", F.timestamp_seconds(F.col("hour") * 3600 + 1_700_000_000))
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        for _ in range(2):  # the second run finds nothing new
+            stream = ingest.landed(spark, str(tmp_path / "in"), df.schema)
+            ingest.append_distinct_within(stream, ["k"], "at", "90 minutes", str(tmp_path / "out"), str(tmp_path / "state"))
+    got = spark.read.parquet(str(tmp_path / "out")).groupBy("k").agg(F.sort_array(F.collect_list("hour")).alias("hours")).collect()
+    hours = {r.k: r.hours for r in got}
+    assert hours["each"] == [0, 4, 8] and hours["rare"] == [0, 11] and all(hours[f"own{h}"] == [h] for h in range(12))
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
+
+
 def test_progress(spark):
     pages = spark.createDataFrame([("a", 1), ("a", 3), ("b", 2)], "cat string, page int")
     done = spark.createDataFrame([("b",)], "cat string")
