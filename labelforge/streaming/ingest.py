@@ -63,6 +63,15 @@ def append_distinct_within(stream: DataFrame, keys: Sequence[str], time: str, bo
         _run(fresh.writeStream.format("parquet").outputMode("append").option("path", out), checkpoint)
 
 
+def append_changes(changes: DataFrame, out: str, checkpoint: str) -> None:
+    """Append what a stateful stream puts out, a folder per batch, which repeating the batch replaces."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    with _on_disk(changes.sparkSession):
+        _run(changes.writeStream.outputMode("update").foreachBatch(write), checkpoint)
+
+
 @contextmanager
 def _on_disk(spark: SparkSession):
     """Streams started inside keep their state in RocksDB; the session's own choice is put back."""

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from labelforge.streaming import ingest, progress
@@ -118,6 +119,22 @@ def test_bounded_state_forgets(spark, tmp_path):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
 
 
+PAGES = [("a", 1, False), ("b", 2, False), ("a", 3, False), ("c", 9, True), ("a", 2, False), ("b", 1, True), ("c", 10, False)]
+
+
+@pytest.mark.parametrize("size", [1, 3, 7])
+def test_progress_of_any_split_into_batches(spark, tmp_path, size):
+    """Each start goes on from the last; the old progress is read by the first alone."""
+    schema = "category string, page long, completed boolean"
+    old = spark.createDataFrame([("a", 2, False), ("old", 5, True), ("c", 40, False)], "category string, next_page long, completed boolean")
+    for i in range(0, len(PAGES), size):
+        spark.createDataFrame(PAGES[i : i + size], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = ingest.landed(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema)
+        ingest.append_changes(progress.track(stream, old), str(tmp_path / "out"), str(tmp_path / "state"))
+    got = progress.latest(spark.read.parquet(str(tmp_path / "out")), old).collect()
+    assert {tuple(r) for r in got} == {("a", 4, False), ("b", 3, True), ("c", 40, True), ("old", 5, True)}
+
+
 def test_progress(spark):
     pages = spark.createDataFrame([("a", 1), ("a", 3), ("b", 2)], "cat string, page int")
     done = spark.createDataFrame([("b",)], "cat string")
