@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import lookup_join, stored
 
 ORDER = ("source_rank", "row_id")
 #: Open rows of the two-key pass that one task takes; about 100 bytes each.
@@ -42,6 +42,24 @@ def keep_first(
     return _winners(df, keys, order, F.struct(*[F.col(c) if isinstance(c, str) else c for c in order]))
 
 
+def keep_first_batch(
+    df: DataFrame, key: str, batch: str, order: Sequence[str | Column] = ORDER, drop_blank: bool = False
+) -> DataFrame:
+    """All rows of each key's first batch: repeats inside a batch stay, those of later batches go.
+
+    For a crawl that compares a page's titles only with those of earlier pages.  NULL is a key like
+    any other, and a NULL batch comes before all others.  The rows to drop are found on digests, batches
+    and the order, which must be unique per row; texts move only if those rows are too many to broadcast.
+    """
+    if drop_blank:
+        df = df.where(F.col(key) != "")
+    own = [F.col(c) if isinstance(c, str) else c for c in order]
+    narrow = df.select(_digest(key).alias("_d"), F.struct(batch).alias("_b"), *[c.alias(f"_o{i}") for i, c in enumerate(own)])
+    first = narrow.groupBy("_d").agg(F.min("_b").alias("_w"))
+    late = narrow.join(first, "_d").where("_b > _w").select(*[f"_o{i}" for i in range(len(own))])
+    return lookup_join(df, late, [c.eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(own)], "left_anti")
+
+
 def _digest(key: str) -> Column:
     return F.coalesce(F.unhex(F.sha2(F.col(key).cast("string"), 256)), F.lit(b""))
 

@@ -59,6 +59,15 @@ def dedup_key_nonblank(spark, sf):
     return dedup.keep_first(d, "key", ["doc_id"], drop_blank=True)
 
 
+@query(f"""SELECT doc_id, page, key FROM (SELECT doc_id, {RANKED} AS page, {KEY} AS key FROM documents) WHERE key <> ''
+    QUALIFY page = min(page) OVER (PARTITION BY key)""")
+def dedup_key_first_page(spark, sf):
+    """Each source is a page of the crawl: keys of earlier pages go, repeats inside a page stay."""
+    d = ranked(spark, sf).select(
+        F.col("row_id").alias("doc_id"), F.col("source_rank").alias("page"), X.normalize_title(X.title_prefix("text"), "key").alias("key"))
+    return dedup.keep_first_batch(d, "key", "page", ["doc_id"], drop_blank=True)
+
+
 TWO_KEYS_SQL = f"""
 WITH RECURSIVE keyed AS (
     SELECT doc_id AS id, {S.alnum(S.DOC_TITLE)} AS a, {S.alnum("string_split(text, '. ')[2]")} AS b FROM documents),

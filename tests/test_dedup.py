@@ -167,3 +167,22 @@ def test_small_reports(spark):
     assert report.failover(df, df.limit(1), 4).count() == 4 and report.failover(df, df.limit(1), 5).count() == 1
     arr = spark.createDataFrame([(["a", "bb", "cc"],), ([],)], "x array<string>")
     assert [r[0] for r in arr.select(report.longest("x")).collect()] == ["bb", ""]
+
+
+def test_first_batch_keeps_its_own_repeats(spark):
+    table = [(1, 2, "a"), (2, 1, "a"), (3, 1, "a"), (4, 3, "a"), (5, 2, ""), (6, 1, None), (7, 2, None), (8, None, "b"), (9, 1, "b"), (None, 9, "c")]
+    df = spark.createDataFrame(table, "id int, page int, key string")
+    ids = lambda out: sorted(r.id or 0 for r in out.collect())
+    assert ids(dedup.keep_first_batch(df, "key", "page", ["id"])) == [0, 2, 3, 5, 6, 8]
+    assert ids(dedup.keep_first_batch(df, "key", "page", ["id"], drop_blank=True)) == [0, 2, 3, 8]
+    assert dedup.keep_first_batch(df.limit(0), "key", "page", ["id"]).count() == 0
+
+
+def test_first_batch_of_random_rows(spark):
+    rng = random.Random(4)
+    table = [(i, rng.randrange(6), f"k{min(rng.randrange(80), 40)}") for i in range(600)]
+    first = {}
+    for _, page, key in table:
+        first[key] = min(page, first.get(key, page))
+    out = dedup.keep_first_batch(spark.createDataFrame(table, "id int, page int, key string"), "key", "page", ["id"]).collect()
+    assert sorted(map(tuple, out)) == [r for r in table if r[1] == first[r[2]]]
