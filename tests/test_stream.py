@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from labelforge.plans import stream_queries
 from labelforge.streaming import ingest, progress
 from labelforge.streaming.seen import Seen
 
@@ -145,3 +146,14 @@ def test_progress(spark):
     targets = spark.createDataFrame([("x", 120), ("y", 50), ("z", 0)], "name string, n long")
     got = progress.chunk_worklist(targets, "name", "n").orderBy("name", "chunk_no").collect()
     assert [tuple(r) for r in got] == [("x", 0, 0, 50), ("x", 1, 50, 50), ("x", 2, 100, 20), ("y", 0, 0, 50)]
+
+
+@pytest.mark.parametrize("one_file", [False, True])
+def test_counts_of_a_table_in_one_file_or_a_folder_of_files(spark, tmp_path, one_file):
+    rows = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", "x"), (4, None, None)], "doc_id long, text string, source string")
+    if one_file:
+        rows.toPandas().to_parquet(tmp_path / "documents.parquet")
+    else:
+        rows.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = stream_queries.stream_counts(spark, str(tmp_path)).collect()
+    assert {r.source: r.n for r in got} == {"x": 2, "y": 1, None: 1}
