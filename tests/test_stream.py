@@ -157,3 +157,11 @@ def test_counts_of_a_table_in_one_file_or_a_folder_of_files(spark, tmp_path, one
         rows.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
     got = stream_queries.stream_counts(spark, str(tmp_path)).collect()
     assert {r.source: r.n for r in got} == {"x": 2, "y": 1, None: 1}
+
+
+def test_ingest_of_a_table_in_a_folder_of_files(spark, tmp_path):
+    page = "<html><h1>Title {}</h1><p>" + "some words of a paragraph " * 5 + "</p></html>"
+    rows = [(i, f"https://h.example/en/{i}", page.format(i)) for i in range(5)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    got = stream_queries.stream_ingest(spark, str(tmp_path)).collect()
+    assert sorted((r.page_id, r.title) for r in got) == [(i, f"Title {i}") for i in range(5)]
