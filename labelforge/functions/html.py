@@ -9,13 +9,16 @@ from __future__ import annotations
 
 import html as _html
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .binding import cuts
 from .text import strip_ws
 
 INVISIBLE = r"(?is)" + "|".join(rf"<{t}[^>]*>.*?</{t}>" for t in ("script", "style", "template")) + "|<!--.*?-->"
@@ -36,15 +39,31 @@ def visible(html: Column | str) -> Column:
     return F.regexp_replace(_col(html), INVISIBLE, "")
 
 
+#: Bytes of a batch that are Python strings at a time.
+BYTES = 1_000_000
+
+
+def _by_parts(fn: Callable, kind: pa.DataType) -> Callable[[pa.Array], pa.Array]:
+    """``fn`` of each text of a batch; only a part of the texts and results are Python objects at a time, and freed memory is given back."""
+    def run(texts: pa.Array) -> pa.Array:
+        ends = np.cumsum([0, *pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)])
+        parts = [pa.array([None if t is None else fn(t) for t in texts.slice(lo, hi - lo).to_pylist()], kind) for lo, hi in cuts(ends, BYTES)]
+        pa.default_memory_pool().release_unused()
+        return pa.concat_arrays(parts) if parts else pa.array([], kind)
+    return run
+
+
 @F.arrow_udf(T.StringType())
 def _unescape(texts: pa.Array) -> pa.Array:
-    return pa.array([None if t is None else unescape_references(t) for t in texts.to_pylist()], pa.string())
+    return _by_parts(unescape_references, pa.string())(texts)
 
 
 def unescape(c: Column | str) -> Column:
     """Text with its character references decoded, named and numeric ones."""
     c = _col(c)
-    return F.when(F.contains(c, F.lit("&")), _unescape(c)).otherwise(c)
+    some = F.contains(c, F.lit("&"))
+    # Only texts with a reference are sent to the workers.
+    return F.when(some, _unescape(F.when(some, c))).otherwise(c)
 
 
 _NODE, _ELEMENT = "\x00", "\x01"
@@ -118,12 +137,11 @@ def selected(markup: Column | str, tag: str | None, attr: str | None = None, val
     """
     how = {True: "contains", False: "equals"}.get(how, how)
     opening = f"(?i)<{tag}[\\s>/]" if tag else f"(?i){attr}"
-    cut = F.arrow_udf(
-        lambda pages: pa.array([None if p is None else balanced(p, tag, attr, value, how) for p in pages.to_pylist()], pa.list_(pa.string())),
-        "array<string>",
-    )
+    run = _by_parts(lambda page: balanced(page, tag, attr, value, how), pa.list_(pa.string()))
+    cut = F.arrow_udf(lambda pages: run(pages), "array<string>")
     page = _col(markup)
-    return F.when(page.rlike(opening), cut(page)).otherwise(F.array().cast("array<string>"))
+    some = page.rlike(opening)
+    return F.when(some, cut(F.when(some, page))).otherwise(F.array().cast("array<string>"))
 
 
 def hrefs(markup: Column | str) -> Column:

@@ -106,7 +106,9 @@ def first_block(html: Column | str, selectors: Sequence[Selector], min_len: int
 def longest_block(html: Column | str, selector: Selector, fallback_chars: int = 500) -> Column:
     """The longest matching block, else the opening of the page text."""
     best = longest(selector_texts(html, selector))
-    return F.when(best != "", best).otherwise(F.substring(page_text(html), 1, fallback_chars))
+    # The page's own text is read only where it is taken.
+    page = F.when(best == "", F.col(html) if isinstance(html, str) else html)
+    return F.when(best != "", best).otherwise(F.substring(page_text(page), 1, fallback_chars))
 
 
 def block_count(html: Column | str, openings: Sequence[str]) -> Column:
