@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.tokens import counted, ngrams, tokens
+from . import topk
 from .common import stored
+from .counting import lowered, row_terms, word_lists
 
 
 def english_stop_words() -> list[str]:
@@ -25,13 +28,32 @@ def term_counts(
 ) -> DataFrame:
     """``(doc, *keep, term, n)``: how often each term occurs in each document.
 
-    Documents are rows, so the count needs no shuffle.  ``keep_empty`` leaves a
-    document without terms in as one row with a NULL term.
+    Documents are rows, so the count needs no shuffle; words are counted in Arrow batches, a few
+    rows at a time.  ``keep_empty`` leaves a document without terms in as one row with a NULL term.
     """
-    words = tokens(text, mode, stop_words)
-    grams = words if ngram_range == (1, 1) else ngrams(words, *ngram_range)
-    unroll = F.inline_outer if keep_empty else F.inline
-    return df.select(doc, *keep, unroll(counted(grams)))
+    kept = df.select(doc, *keep)
+    stop, (lo, hi) = list(stop_words), ngram_range
+
+    def run(batches):
+        stops = pa.array(stop, pa.string()) if stop else None
+        for batch in batches:
+            others = batch.drop_columns(["__text"])
+            for first, words in word_lists(batch.column("__text"), mode):
+                part, seen = others.slice(first, len(words)), np.zeros(len(words), bool)
+                for row, term, n in row_terms(words, lo, hi, stops):
+                    seen[row] = True
+                    yield _rows(part, pa.array(row), term, pa.array(n.astype(np.int32)))
+                if keep_empty and not seen.all():
+                    none = np.flatnonzero(~seen)
+                    yield _rows(part, pa.array(none), pa.nulls(len(none), pa.string()), pa.nulls(len(none), pa.int32()))
+
+    schema = T.StructType([*kept.schema.fields, T.StructField("term", T.StringType()), T.StructField("n", T.IntegerType())])
+    return df.select(doc, *keep, lowered(text).alias("__text")).mapInArrow(run, schema)
+
+
+def _rows(batch: pa.RecordBatch, row: pa.Array, term: pa.Array, n: pa.Array) -> pa.RecordBatch:
+    """``(*columns of batch, term, n)`` with the given rows of ``batch``."""
+    return pa.record_batch([*batch.take(row).columns, term, n], names=[*batch.schema.names, "term", "n"])
 
 
 def term_stats(counts: DataFrame) -> DataFrame:
@@ -66,7 +88,7 @@ def term_frequency(n: Column | str, sublinear: bool = True) -> Column:
 def fit_vocabulary(df: DataFrame, counts: DataFrame, size: int) -> DataFrame:
     """Vocabulary of ``counts`` with document frequencies over all rows of ``df``."""
     n = df.count()
-    return vocabulary(term_stats(counts), n, size)
+    return vocabulary(topk.top_counts(counts, size), n, size)
 
 
 def tfidf(

@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import as_text
-from . import linear
+from . import linear, topk
 from .common import stored
 from .evaluate import accuracy, averages, category_f1, report
-from .features import term_counts, term_stats, tfidf, to_sparse, to_vectors, vocabulary
+from .features import term_counts, tfidf, to_sparse, to_vectors, vocabulary
 from .score import LinearParams, score_counts
 from .split import class_weights, with_class_weight
 
@@ -74,7 +74,7 @@ def build_features(
         counts = stored(term_counts(train, doc, text, "train", stop_words, ngram_range, [label]), "counts")
     docs = stored(train.select(doc, label), "labels")
     n_rows = docs.count()
-    vocab = stored(vocabulary(term_stats(counts), n_rows, size), "vocab")
+    vocab = stored(vocabulary(topk.top_counts(counts, size), n_rows, size), "vocab")
     weights = stored(tfidf(counts, vocab, doc, size, keep=[label]), "weights")
     return Features(docs, doc, label, weights, vocab, vocab.count(), n_rows, ngram_range, list(stop_words))
 

@@ -12,39 +12,24 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tokens import tokens
 from .common import lookup_join, stored
+from .counting import lowered, row_terms, word_lists
 
 #: Different terms that a task holds before it closes a list.
 HELD = 1_000_000
 _LISTS = "list long, term string, cf long, df long, head boolean"
 
 
-def _grams(words: pa.ListArray, lo: int, hi: int) -> pa.Table:
-    """``(row, term)`` of the runs of ``lo`` to ``hi`` words of each row."""
-    flat, rows = words.flatten(), np.repeat(np.arange(len(words)), np.diff(words.offsets.to_numpy()))
-    out = []
-    for n in range(lo, hi + 1):
-        last = len(flat) - n + 1
-        if last <= 0:
-            break
-        inside = rows[:last] == rows[n - 1 :]
-        run = flat.slice(0, last) if n == 1 else pc.binary_join_element_wise(*[flat.slice(i, last) for i in range(n)], " ")
-        out.append(pa.table({"row": rows[:last][inside], "term": run.filter(pa.array(inside))}))
-    return pa.concat_tables(out) if out else pa.table({"row": np.zeros(0, np.int64), "term": pa.array([], pa.string())})
-
-
 def _merged(tables: list[pa.Table]) -> pa.Table:
     table = pa.concat_tables(tables).group_by("term").aggregate([("cf", "sum"), ("df", "sum")])
     return table.select(["term", "cf_sum", "df_sum"]).rename_columns(["term", "cf", "df"])
 
 
-def _lists(size: int, lo: int, hi: int, held: int):
+def _lists(parts, size: int, held: int):
     def close(tables: list[pa.Table], name: int):
         table = _merged(tables)
         cf = table.column("cf").to_numpy()
@@ -54,23 +39,37 @@ def _lists(size: int, lo: int, hi: int, held: int):
         return table.combine_chunks().to_batches()
 
     def run(batches):
-        name, done, tables, rows = TaskContext.get().partitionId() << 24, False, [], 0
+        name, tables, rows = TaskContext.get().partitionId() << 24, [], 0
         for batch in batches:
-            one = _grams(batch.column("words"), lo, hi).group_by(["row", "term"]).aggregate([([], "count_all")])
-            one = one.group_by("term").aggregate([("count_all", "sum"), ([], "count_all")])
-            tables.append(one.select(["term", "count_all_sum", "count_all"]).rename_columns(["term", "cf", "df"]))
-            rows += tables[-1].num_rows
-            if rows > held:
-                tables = [_merged(tables)]
-                rows = tables[0].num_rows
-                if rows > held // 2:
-                    yield from close(tables, name)
-                    name, tables, rows = name + 1, [], 0
+            for table in parts(batch):
+                tables.append(table)
+                rows += table.num_rows
+                if rows > held:
+                    tables = [_merged(tables)]
+                    rows = tables[0].num_rows
+                    pa.default_memory_pool().release_unused()
+                    if rows > held // 2:
+                        yield from close(tables, name)
+                        name, tables, rows = name + 1, [], 0
         if rows:
             yield from close(tables, name)
     return run
 
 
+def _of_texts(mode: str, stop_words: Sequence[str], lo: int, hi: int):
+    """Counts of a batch of lowered texts, a few rows at a time."""
+    def parts(batch: pa.RecordBatch):
+        stop = pa.array(stop_words, pa.string()) if stop_words else None
+        for _, words in word_lists(batch.column("text"), mode):
+            for _, term, n in row_terms(words, lo, hi, stop):
+                yield pa.table({"term": term, "cf": pa.array(n), "df": pa.array(np.ones(len(n), np.int64))})
+    return parts
+
+
+def _of_counts(batch: pa.RecordBatch):
+    yield pa.table({"term": batch.column("term"), "cf": batch.column("n").cast(pa.int64()), "df": pa.array(np.ones(batch.num_rows, np.int64))})
+
+
 def term_lists(
     df: DataFrame, text: str, mode: str = "train", stop_words: Sequence[str] = (), ngram_range: tuple[int, int] = (1, 1),
     size: int = 0, held: int = HELD,
@@ -79,7 +78,7 @@ def term_lists(
 
     ``head`` marks the ``size`` most frequent terms of a list, with their ties.  Null texts have no terms.
     """
-    return df.select(tokens(text, mode, stop_words).alias("words")).mapInArrow(_lists(size, *ngram_range, held), _LISTS)
+    return df.select(lowered(text).alias("text")).mapInArrow(_lists(_of_texts(mode, list(stop_words), *ngram_range), size, held), _LISTS)
 
 
 def corpus_stats(df: DataFrame, text: str, **options) -> DataFrame:
@@ -96,7 +95,17 @@ def top_terms(df: DataFrame, text: str, size: int, **options) -> DataFrame:
 
     Exact at every size and for every distribution; where all counts are alike, all terms are summed.
     """
-    lists = stored(term_lists(df, text, size=size, **options), "lists")
+    return _top(term_lists(df, text, size=size, **options), size)
+
+
+def top_counts(counts: DataFrame, size: int, held: int = HELD) -> DataFrame:
+    """:func:`top_terms` from rows ``(term, n)``, one for each term of each document; NULL terms are left out."""
+    rows = counts.where(F.col("term").isNotNull()).select("term", "n")
+    return _top(rows.mapInArrow(_lists(_of_counts, size, held), _LISTS), size)
+
+
+def _top(lists: DataFrame, size: int) -> DataFrame:
+    lists = stored(lists, "lists")
     return _summed(survivors(lists, size)).orderBy(F.desc("cf"), "term").limit(size)
 
 
