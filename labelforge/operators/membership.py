@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lookup_join, stored
+from .common import stored
+from .substrings import likely_substrings
 
 
 def signature_set(
@@ -40,34 +41,14 @@ def overlap_count(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
 def contained_signatures(probes: DataFrame, known: DataFrame, sig: str, min_len: int = 6) -> DataFrame:
     """Distinct ``sig`` values of ``probes`` that occur inside some ``sig`` of ``known``.
 
-    Each known signature is cut at the places where some probe could start: those whose
-    ``min_len``-gram opens a probe.  There it yields one substring for each probe length
-    seen with that gram, and whole substrings meet whole probes in an equality join.  The
+    The known signatures are cut where they are read, at the places and lengths where a filter of
+    bounded size has the substring; whole substrings meet whole probes in an equality join.  The
     work is linear in the known signatures whatever their number per gram, since no pair
-    of a probe and a known signature is ever formed.  With a broadcast gram table the known
-    side is cut where it is read and only the substrings that match a gram move.
+    of a probe and a known signature is ever formed, and only substrings that the filter has move.
     """
-    wanted = probes.select(sig).where(F.length(sig) >= min_len).distinct()
-    lengths = wanted.groupBy(F.substring(sig, 1, min_len).alias("gram")).agg(
-        F.collect_set(F.length(sig)).alias("lens")
-    )
-    host = F.col("host")
-    starts = known.select(F.col(sig).alias("host")).where(F.length("host") >= min_len).select(
-        "host", F.explode(F.sequence(F.lit(1), F.length(host) - (min_len - 1))).alias("i")
-    )
-    tails = starts.select(
-        F.substring(host, F.col("i"), F.lit(min_len)).alias("gram"),
-        F.substring(host, F.col("i"), F.length(host)).alias("tail"),
-    )
-    cut = lookup_join(tails, lengths, "gram").select(
-        F.explode(
-            F.transform(
-                F.filter("lens", lambda n: n <= F.length("tail")),
-                lambda n: F.substring(F.col("tail"), F.lit(1), n),
-            )
-        ).alias(sig)
-    )
-    return wanted.join(cut.distinct(), sig, "left_semi")
+    wanted = probes.select(sig).where(F.length(sig) >= min_len)
+    cut = likely_substrings(known.select(sig), wanted, min_len)
+    return wanted.distinct().join(cut.distinct(), sig, "left_semi")
 
 
 def drop_contained(

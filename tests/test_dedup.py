@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from labelforge.operators import dedup, membership, report
+from labelforge.operators import dedup, membership, report, substrings
 
 
 def test_keep_first_prefers_source_then_row(spark):
@@ -134,6 +134,19 @@ def test_containment_plan_has_no_pairs(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_containment_moves_hits_only(spark):
+    """Probes of many lengths that open alike: of 30 hosts with the opening, only what is a probe is cut out."""
+    hosts = [f"{i}abcdefgh{'xyz'[i % 3] * (i % 7)}ü{i}" for i in range(30)] + [None, "", "abc"]
+    probes = ["abcdefgh" + "q" * i for i in range(40)] + ["abcdefghü28", "abcdefgü", "efghyü", None, "hyyyyü", "ghzzzzzü5"]
+    kn, pr = spark.createDataFrame([(h,) for h in hosts], "h string"), spark.createDataFrame([(p,) for p in probes], "p string")
+    hits = {p for p in probes if p and any(p in h for h in hosts if h)}
+    moved = {r.h for r in substrings.likely_substrings(kn, pr.where("length(p) >= 6"), 6).collect()}
+    assert hits <= moved and len(moved) < len(hits) + 5 and len(hits) == 5
+    got = membership.contained_signatures(pr.withColumnRenamed("p", "sig"), kn.withColumnRenamed("h", "sig"), "sig")
+    assert {r.sig for r in got.collect()} == hits
+    assert substrings.likely_substrings(kn, pr.limit(0), 6).count() == 0 == substrings.likely_substrings(kn.limit(0), pr, 6).count()
+
+
 def test_membership(spark):
     a = spark.createDataFrame([("x",), ("x",), ("y",), (None,)], "k string")
     b = spark.createDataFrame([("x",), ("x",)], "k string")
