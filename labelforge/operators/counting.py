@@ -40,42 +40,70 @@ def word_lists(texts: pa.Array, mode: str) -> Iterator[tuple[int, pa.ListArray]]
             yield lo + first, words.slice(first, last - first)
 
 
-def row_terms(words: pa.ListArray, lo: int, hi: int, stop_words: pa.Array | None = None) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray]]:
-    """``(row, term, n)`` of the runs of ``lo`` to ``hi`` words of each row, by length of run; stop words are taken out first."""
+def _coded(words: pa.ListArray, lo: int, hi: int, stop_words: pa.Array | None) -> Iterator[tuple[np.ndarray, list[np.ndarray], pa.Array]]:
+    """``(row, numbers of the words, words)`` of the runs of ``lo`` to ``hi`` words, by length of run."""
     flat, rows = words.flatten(), np.repeat(np.arange(len(words)), np.diff(words.offsets.to_numpy()))
     if stop_words is not None and len(stop_words):
         kept = pc.invert(pc.is_in(flat, stop_words))
         flat, rows = flat.filter(kept), rows[kept.to_numpy(zero_copy_only=False)]
     coded = flat.dictionary_encode()
     code, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
-    base = max(1, len(names))
     for n in range(lo, hi + 1):
         last = len(code) - n + 1
         if last <= 0:
             break
         inside = rows[:last] == rows[n - 1 :]
-        parts = [code[i : i + last][inside] for i in range(n)]
-        at = rows[:last][inside]
-        if base**n * len(words) < 2**62:
+        yield rows[:last][inside], [code[i : i + last][inside] for i in range(n)], names
+
+
+def row_terms(words: pa.ListArray, lo: int, hi: int, stop_words: pa.Array | None = None) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray]]:
+    """``(row, term, n)`` of the runs of ``lo`` to ``hi`` words of each row, by length of run; stop words are taken out first."""
+    for at, parts, names in _coded(words, lo, hi, stop_words):
+        base = max(1, len(names))
+        if base ** len(parts) * len(words) < 2**62:
             yield _by_number(at, parts, names, base)
         else:
             yield _by_name(at, parts, names)
 
 
+def all_terms(words: pa.ListArray, lo: int, hi: int, stop_words: pa.Array | None = None) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """``(term, cf, df)``: occurrences and rows of the runs of :func:`row_terms` over all rows, so that a term is one text here."""
+    for at, parts, names in _coded(words, lo, hi, stop_words):
+        base, n_rows = max(1, len(names)), max(1, len(words))
+        if base ** len(parts) * n_rows >= 2**62:
+            _, term, n = _by_name(at, parts, names)
+            yield term, n, np.ones(len(n), np.int64)
+            continue
+        # In order of term and row, a term's runs stand together, and so do those of one row.
+        key = np.sort(_number(parts, base) * n_rows + at)
+        other = np.diff(key, prepend=-1) != 0
+        run = key // n_rows
+        first = np.flatnonzero(np.diff(run, prepend=-1))
+        df = np.add.reduceat(other, first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
+        yield _named(run[first], len(parts), names, base), np.diff(first, append=len(run)), df
+
+
 def _join(parts: list[pa.Array]) -> pa.Array:
     return parts[0] if len(parts) == 1 else pc.binary_join_element_wise(*parts, " ")
 
 
-def _by_number(rows: np.ndarray, parts: list[np.ndarray], names: pa.Array, base: int) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    key = rows
+def _number(parts: list[np.ndarray], base: int, key: np.ndarray | int = 0) -> np.ndarray:
     for part in parts:
         key = key * base + part
-    key, n = np.unique(key, return_counts=True)
+    return key
+
+
+def _named(key: np.ndarray, n: int, names: pa.Array, base: int) -> pa.Array:
     runs = []
-    for _ in parts:
+    for _ in range(n):
         key, word = np.divmod(key, base)
         runs.insert(0, names.take(pa.array(word)))
-    return key, _join(runs), n
+    return _join(runs)
+
+
+def _by_number(rows: np.ndarray, parts: list[np.ndarray], names: pa.Array, base: int) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    key, n = np.unique(_number(parts, base, rows), return_counts=True)
+    return key // base ** len(parts), _named(key, len(parts), names, base), n
 
 
 def _by_name(rows: np.ndarray, parts: list[np.ndarray], names: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:

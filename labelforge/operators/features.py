@@ -48,7 +48,9 @@ def term_counts(
                     yield _rows(part, pa.array(none), pa.nulls(len(none), pa.string()), pa.nulls(len(none), pa.int32()))
 
     schema = T.StructType([*kept.schema.fields, T.StructField("term", T.StringType()), T.StructField("n", T.IntegerType())])
-    return df.select(doc, *keep, lowered(text).alias("__text")).mapInArrow(run, schema)
+    counts = df.select(doc, *keep, lowered(text).alias("__text")).mapInArrow(run, schema)
+    counts._texts = (df, text, dict(mode=mode, stop_words=stop, ngram_range=(lo, hi)))
+    return counts
 
 
 def _rows(batch: pa.RecordBatch, row: pa.Array, term: pa.Array, n: pa.Array) -> pa.RecordBatch:
@@ -86,9 +88,15 @@ def term_frequency(n: Column | str, sublinear: bool = True) -> Column:
 
 
 def fit_vocabulary(df: DataFrame, counts: DataFrame, size: int) -> DataFrame:
-    """Vocabulary of ``counts`` with document frequencies over all rows of ``df``."""
+    """Vocabulary of ``counts`` with document frequencies over all rows of ``df``.
+
+    Where ``counts`` are what :func:`term_counts` returned, its texts are counted in one pass, and no row for
+    a term of a document leaves a worker; any other rows are counted as they are.
+    """
     n = df.count()
-    return vocabulary(topk.top_counts(counts, size), n, size)
+    texts = getattr(counts, "_texts", None)
+    top = topk.top_terms(texts[0], texts[1], size, **texts[2]) if texts else topk.top_counts(counts, size)
+    return vocabulary(top, n, size)
 
 
 def tfidf(

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import lookup_join, stored
-from .counting import lowered, row_terms, word_lists
+from .counting import all_terms, lowered, word_lists
 
 #: Different terms that a task holds before it closes a list.
 HELD = 1_000_000
@@ -25,7 +25,7 @@ _LISTS = "list long, term string, cf long, df long, head boolean"
 
 
 def _merged(tables: list[pa.Table]) -> pa.Table:
-    table = pa.concat_tables(tables).group_by("term").aggregate([("cf", "sum"), ("df", "sum")])
+    table = pa.concat_tables(tables).group_by("term", use_threads=False).aggregate([("cf", "sum"), ("df", "sum")])
     return table.select(["term", "cf_sum", "df_sum"]).rename_columns(["term", "cf", "df"])
 
 
@@ -61,8 +61,8 @@ def _of_texts(mode: str, stop_words: Sequence[str], lo: int, hi: int):
     def parts(batch: pa.RecordBatch):
         stop = pa.array(stop_words, pa.string()) if stop_words else None
         for _, words in word_lists(batch.column("text"), mode):
-            for _, term, n in row_terms(words, lo, hi, stop):
-                yield pa.table({"term": term, "cf": pa.array(n), "df": pa.array(np.ones(len(n), np.int64))})
+            for term, cf, df in all_terms(words, lo, hi, stop):
+                yield pa.table({"term": term, "cf": pa.array(cf), "df": pa.array(df)})
     return parts
 
 

@@ -1,5 +1,6 @@
 """Counting in parts, against plain Python."""
 
+import collections
 from collections import Counter
 
 import numpy as np
@@ -7,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from labelforge.functions import html as H
-from labelforge.operators import counting
+from labelforge.operators import counting, features, topk
 
 TEXTS = ["a bb cc bb cc", "", "x_1 été-bb  cc", "a b c", "bb cc bb"]
 
@@ -40,3 +41,35 @@ def test_pages_become_python_strings_a_part_at_a_time(monkeypatch):
     assert H._by_parts(str.upper, pa.string())(texts).to_pylist() == ["ABCDEF", None, "XYZ", "", "LONG ENOUGH FOR A PART OF ITS OWN", "Q"]
     assert len(seen) > 1 and sum(seen) == len(texts)
     assert H._by_parts(str.upper, pa.string())(texts[:0]).to_pylist() == []
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_terms_over_all_rows(monkeypatch, wide):
+    """The same occurrences and rows as term by term of each row, also where runs have no numbers of 62 bits."""
+    texts = ["a b a b a", "", "b a b", "c", "a b"] + [f"w{i} w{i + 1}" for i in range(40)]
+    words = pa.array([t.split() for t in texts], pa.list_(pa.string()))
+    want = collections.defaultdict(lambda: [0, 0])
+    for t in texts:
+        grams = [" ".join(t.split()[i : i + n]) for n in (1, 2, 12 if wide else 3) for i in range(len(t.split()) - n + 1)]
+        for g, n in collections.Counter(grams).items():
+            want[g][0] += n
+            want[g][1] += 1
+    got = collections.defaultdict(lambda: [0, 0])
+    for n in (1, 2, 12 if wide else 3):
+        for term, cf, df in counting.all_terms(words, n, n):
+            for g, c, d in zip(term.to_pylist(), cf.tolist(), df.tolist(), strict=True):
+                got[g][0] += c
+                got[g][1] += d
+    assert got == want
+
+
+def test_vocabulary_reads_texts_once(spark):
+    """The vocabulary of term counts is made from their texts in one pass, and from other rows as they are."""
+    docs = spark.createDataFrame([(1, "a b a"), (2, "b c"), (3, None), (4, "a b")], "id long, text string")
+    counts = features.term_counts(docs, "id", "text", "export", (), (1, 2), keep_empty=True)
+    plan = topk.top_terms(*counts._texts[:2], 3, **counts._texts[2])
+    rows = lambda d: sorted(map(tuple, d.collect()))
+    assert rows(plan) == rows(topk.top_counts(counts, 3)) == [("a", 3, 2), ("a b", 2, 2), ("b", 3, 3)]
+    assert rows(features.fit_vocabulary(docs, counts, 3)) == rows(features.fit_vocabulary(docs, counts.where("true"), 3))
+    few = counts.where("id > 1")
+    assert not hasattr(few, "_texts") and [r.term for r in features.fit_vocabulary(docs, few, 1).collect()] == ["b"]
