@@ -14,8 +14,8 @@ from .text_queries import documents
 
 
 def landed(spark, sf, name):
-    """A table's files as landed ones; the pattern takes a table that is one file and one that is a folder of files."""
-    return ingest.landed(spark, f"{sf}/{{{name}}}.parquet", table(spark, sf, name).schema)
+    """A table's files as landed ones; the pattern takes a table that is one file and one that is a folder of files or of partitions."""
+    return ingest.landed(spark, f"{sf}/{{{name}}}.parquet", table(spark, sf, name).schema, base=sf)
 
 
 @query(RECORDS_SQL)

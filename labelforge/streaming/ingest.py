@@ -20,14 +20,16 @@ from .seen import BUCKETS, Seen
 
 def landed(
     spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "parquet", glob: str | None = None,
-    max_files: int | None = None,
+    max_files: int | None = None, base: str | None = None,
 ) -> DataFrame:
-    """A stream over the files of a folder."""
+    """A stream over the files of a folder; columns named by subfolders need ``base``, a folder around them, if ``folder`` is a pattern."""
     reader = spark.readStream.schema(schema).format(fmt)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if base:
+        reader = reader.option("basePath", base)
     return reader.load(folder)
 
 

@@ -165,3 +165,13 @@ def test_ingest_of_a_table_in_a_folder_of_files(spark, tmp_path):
     spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
     got = stream_queries.stream_ingest(spark, str(tmp_path)).collect()
     assert sorted((r.page_id, r.title) for r in got) == [(i, f"Title {i}") for i in range(5)]
+
+
+def test_ingest_of_a_table_in_partitions(spark, tmp_path):
+    """The subfolders' column is no column of the files."""
+    page = "<html><h1>Title {}</h1><p>" + "some words of a paragraph " * 5 + "</p></html>"
+    rows = [(i, f"https://h.example/en/{i}", page.format(i), i % 2) for i in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, part int")
+    pages.write.partitionBy("part").parquet(str(tmp_path / "pages.parquet"))
+    got = stream_queries.stream_ingest(spark, str(tmp_path)).collect()
+    assert sorted((r.page_id, r.title) for r in got) == [(i, f"Title {i}") for i in range(5)]
