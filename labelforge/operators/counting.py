@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from ..functions.binding import cuts
 from ..functions.tokens import WORD_PATTERNS
+from .substrings import Hashes
 
 #: Bytes of text, and words, that are looked at together; what a task holds besides its batch goes by it.
 BYTES, WORDS = 1_000_000, 200_000
 
+_BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
 
 def lowered(text: Column | str) -> Column:
     """What :func:`word_lists` reads."""
@@ -66,9 +69,35 @@ def row_terms(words: pa.ListArray, lo: int, hi: int, stop_words: pa.Array | None
             yield _by_name(at, parts, names)
 
 
-def all_terms(words: pa.ListArray, lo: int, hi: int, stop_words: pa.Array | None = None) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
-    """``(term, cf, df)``: occurrences and rows of the runs of :func:`row_terms` over all rows, so that a term is one text here."""
+def _buckets(parts: list[np.ndarray], names: pa.Array, buckets: int) -> np.ndarray:
+    """The bucket of each run, by its words; ``buckets`` is a power of two."""
+    hashes = Hashes(names)
+    word = hashes.of(hashes.ends[:-1], np.diff(hashes.ends), True)
+    key = word[parts[0]]
+    for part in parts[1:]:
+        key = key * _BASE + word[part]
+    return (((key ^ (key >> np.uint64(32))) * _MIX) >> np.uint64(65 - buckets.bit_length())).astype(np.int64)
+
+
+def run_buckets(words: pa.ListArray, lo: int, hi: int, stop_words: pa.Array | None, buckets: int) -> Iterator[np.ndarray]:
+    """The bucket of each run of :func:`row_terms`, one entry for each occurrence; a term has the same bucket everywhere."""
+    for _, parts, names in _coded(words, lo, hi, stop_words):
+        yield _buckets(parts, names, buckets)
+
+
+def all_terms(
+    words: pa.ListArray, lo: int, hi: int, stop_words: pa.Array | None = None, wanted: np.ndarray | None = None,
+) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """``(term, cf, df)``: occurrences and rows of the runs of :func:`row_terms` over all rows, so that a term is one text here.
+
+    ``wanted`` has a mark for each bucket of :func:`run_buckets`; other runs are left out.
+    """
     for at, parts, names in _coded(words, lo, hi, stop_words):
+        if wanted is not None:
+            kept = wanted[_buckets(parts, names, len(wanted))]
+            at, parts = at[kept], [part[kept] for part in parts]
+        if not len(at):
+            continue
         base, n_rows = max(1, len(names)), max(1, len(words))
         if base ** len(parts) * n_rows >= 2**62:
             _, term, n = _by_name(at, parts, names)
@@ -79,10 +108,48 @@ def all_terms(words: pa.ListArray, lo: int, hi: int, stop_words: pa.Array | None
         other = np.diff(key, prepend=-1) != 0
         run = key // n_rows
         first = np.flatnonzero(np.diff(run, prepend=-1))
-        df = np.add.reduceat(other, first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
+        df = np.add.reduceat(other, first, dtype=np.int64)
         yield _named(run[first], len(parts), names, base), np.diff(first, append=len(run)), df
 
 
+class TermTable:
+    """Finds the runs of words that are among given terms, by numbers.
+
+    Words of terms are numbered, and so are terms' openings of one, two, ... words: one of ``k`` words by its place
+    among the keys ``(number of the opening of k - 1 words, number of the last word)``.
+    """
+
+    def __init__(self, terms: list[str]):
+        split = [t.split(" ") for t in terms]
+        number = {w: i for i, w in enumerate(sorted({w for t in split for w in t}))}
+        self.words, self.base = pa.array([*number], pa.string()), max(1, len(number))
+        coded = [[number[w] for w in t] for t in split]
+        self.keys, self.term = [], []
+        opening = np.zeros(len(terms), np.int64)
+        for k in range(max(map(len, coded), default=0)):
+            long = np.array([i for i, t in enumerate(coded) if len(t) > k])
+            keys, opening[long] = np.unique(opening[long] * self.base + [coded[i][k] for i in long], return_inverse=True)
+            ends = np.array([i for i in long if len(coded[i]) == k + 1], np.int64)
+            self.keys.append(keys)
+            self.term.append(np.full(len(keys), -1))
+            self.term[-1][opening[ends]] = ends
+
+    def row_terms(self, words: pa.ListArray, lo: int, hi: int, stop_words: pa.Array | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """``(row, place of the term, n)`` of the terms among the runs that :func:`row_terms` gives."""
+        for at, parts, names in _coded(words, lo, min(hi, len(self.keys)), stop_words):
+            known = pc.fill_null(pc.index_in(names, self.words), -1).to_numpy().astype(np.int64)
+            opening = np.zeros(len(at), np.int64)
+            for part, keys in zip([known[part] for part in parts], self.keys, strict=False):
+                key = opening * self.base + part
+                place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                opening = np.where((opening >= 0) & (part >= 0) & (keys[place] == key), place, -1)
+            term = np.where(opening >= 0, self.term[len(parts) - 1][opening], -1)
+            found = term >= 0
+            key, n = np.unique(at[found] * (len(self.term[len(parts) - 1]) + 1) + opening[found], return_counts=True)
+            row, opening = np.divmod(key, len(self.term[len(parts) - 1]) + 1)
+            yield row, self.term[len(parts) - 1][opening], n
+
+
 def _join(parts: list[pa.Array]) -> pa.Array:
     return parts[0] if len(parts) == 1 else pc.binary_join_element_wise(*parts, " ")
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from . import topk
 from .common import stored
-from .counting import lowered, row_terms, word_lists
+from .counting import TermTable, lowered, row_terms, word_lists
 
 
 def english_stop_words() -> list[str]:
@@ -53,9 +53,35 @@ def term_counts(
     return counts
 
 
-def _rows(batch: pa.RecordBatch, row: pa.Array, term: pa.Array, n: pa.Array) -> pa.RecordBatch:
+def known_counts(
+    df: DataFrame, doc: str, text: str, terms: Sequence[str], mode: str = "train", stop_words: Sequence[str] = (),
+    ngram_range: tuple[int, int] = (1, 1),
+) -> DataFrame:
+    """``(doc, place, n)``: how often each of ``terms`` occurs in each document, by its place among them.
+
+    The terms are broadcast; others do not become texts.  A document without any is one row with NULLs.
+    """
+    stop, (lo, hi) = list(stop_words), ngram_range
+    shared = df.sparkSession.sparkContext.broadcast(TermTable(terms))
+
+    def run(batches):
+        stops = pa.array(stop, pa.string()) if stop else None
+        for batch in batches:
+            for first, words in word_lists(batch.column("__text"), mode):
+                docs, seen = batch.select([0]).slice(first, len(words)), np.zeros(len(words), bool)
+                for row, place, n in shared.value.row_terms(words, lo, hi, stops):
+                    seen[row] = True
+                    yield _rows(docs, pa.array(row), pa.array(place.astype(np.int32)), pa.array(n.astype(np.int32)), "place")
+                none = np.flatnonzero(~seen)
+                yield _rows(docs, pa.array(none), pa.nulls(len(none), pa.int32()), pa.nulls(len(none), pa.int32()), "place")
+
+    docs = df.select(doc, lowered(text).alias("__text"))
+    return docs.mapInArrow(run, T.StructType([docs.schema[0], T.StructField("place", T.IntegerType()), T.StructField("n", T.IntegerType())]))
+
+
+def _rows(batch: pa.RecordBatch, row: pa.Array, term: pa.Array, n: pa.Array, name: str = "term") -> pa.RecordBatch:
     """``(*columns of batch, term, n)`` with the given rows of ``batch``."""
-    return pa.record_batch([*batch.take(row).columns, term, n], names=[*batch.schema.names, "term", "n"])
+    return pa.record_batch([*batch.take(row).columns, term, n], names=[*batch.schema.names, name, "n"])
 
 
 def term_stats(counts: DataFrame) -> DataFrame:

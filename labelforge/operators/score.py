@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.binding import let
 from .common import stored
-from .features import term_counts, term_frequency
+from .features import known_counts, term_counts, term_frequency
+
+#: Terms of a model that every task may hold.
+HELD = 1_000_000
 
 
 @dataclass
@@ -49,9 +52,16 @@ def score(df: DataFrame, params: LinearParams, doc: str, text: str, tokenizer: s
     A document's terms stay in its task: they are counted in the row, meet the
     broadcast terms, and are added up before the shuffle, which carries one row of sums
     per document.  The norm divides the sums afterwards, so no second pass is needed.
+    Where a task can hold the model's terms, only these leave its worker, as numbers.
     ``tokenizer='train'`` also removes the stop words the model was trained without.
     """
     stop_words = params.stop_words if tokenizer == "train" else ()
+    if params.n_terms <= HELD:
+        place = F.dense_rank().over(Window.orderBy("term")) - 1
+        terms = stored(params.terms.where("term IS NOT NULL").select(place.alias("place"), "term", "idf", "coef"), "terms")
+        names = [r.term for r in terms.select("place", "term").distinct().orderBy("place").collect()]
+        counts = known_counts(df, doc, text, names, tokenizer, stop_words, params.ngram_range)
+        return _scored(counts, terms.drop("term"), "place", params, doc)
     counts = term_counts(
         df, doc, text, tokenizer, stop_words, params.ngram_range, keep_empty=True
     )
@@ -60,9 +70,12 @@ def score(df: DataFrame, params: LinearParams, doc: str, text: str, tokenizer: s
 
 def score_counts(counts: DataFrame, params: LinearParams, doc: str) -> DataFrame:
     """:func:`score` from term counts, which have a NULL term for documents without any."""
-    terms = stored(params.terms.select("term", "idf", "coef"), "terms")
+    return _scored(counts, stored(params.terms.select("term", "idf", "coef"), "terms"), "term", params, doc)
+
+
+def _scored(counts: DataFrame, terms: DataFrame, on: str, params: LinearParams, doc: str) -> DataFrame:
     weight = term_frequency("n", params.sublinear_tf) * F.col("idf")
-    weighted = counts.join(terms, "term", "left").select(
+    weighted = counts.join(terms, on, "left").select(
         doc, weight.alias("w"), *[F.col("coef")[i].alias(f"c{i}") for i in range(len(params.classes))]
     )
     sums = weighted.groupBy(doc).agg(

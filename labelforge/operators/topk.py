@@ -4,6 +4,9 @@ Each task counts the terms of its rows in Arrow batches and writes one list of p
 terms follow in three steps: the heads of all lists give a lower bound for the count that the last of them
 has; a term that reaches it must have at least its share of it in some list; only such terms are summed.
 Rare terms, which are most of a vocabulary, are never shuffled.
+
+The most frequent terms of texts need no list of all terms: the occurrences in buckets of terms, which are as
+few for every corpus, bound each term's from above, and only terms of full buckets become texts and are counted.
 """
 
 from __future__ import annotations
@@ -12,15 +15,17 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import lookup_join, stored
-from .counting import all_terms, lowered, word_lists
+from .counting import all_terms, lowered, run_buckets, word_lists
 
 #: Different terms that a task holds before it closes a list.
 HELD = 1_000_000
+#: Buckets of terms, and the ranges of them that are added up apart.
+BUCKETS, RANGES = 1 << 22, 128
 _LISTS = "list long, term string, cf long, df long, head boolean"
 
 
@@ -56,12 +61,13 @@ def _lists(parts, size: int, held: int):
     return run
 
 
-def _of_texts(mode: str, stop_words: Sequence[str], lo: int, hi: int):
+def _of_texts(mode: str, stop_words: Sequence[str], lo: int, hi: int, wanted: Broadcast | None):
     """Counts of a batch of lowered texts, a few rows at a time."""
     def parts(batch: pa.RecordBatch):
         stop = pa.array(stop_words, pa.string()) if stop_words else None
+        marks = np.unpackbits(wanted.value).view(bool) if wanted else None
         for _, words in word_lists(batch.column("text"), mode):
-            for term, cf, df in all_terms(words, lo, hi, stop):
+            for term, cf, df in all_terms(words, lo, hi, stop, marks):
                 yield pa.table({"term": term, "cf": pa.array(cf), "df": pa.array(df)})
     return parts
 
@@ -72,13 +78,52 @@ def _of_counts(batch: pa.RecordBatch):
 
 def term_lists(
     df: DataFrame, text: str, mode: str = "train", stop_words: Sequence[str] = (), ngram_range: tuple[int, int] = (1, 1),
-    size: int = 0, held: int = HELD,
+    size: int = 0, held: int = HELD, wanted: np.ndarray | None = None,
 ) -> DataFrame:
     """``(list, term, cf, df, head)``: occurrences and rows of each term by list of partial counts.
 
     ``head`` marks the ``size`` most frequent terms of a list, with their ties.  Null texts have no terms.
+    ``wanted`` marks the buckets whose terms are counted.
     """
-    return df.select(lowered(text).alias("text")).mapInArrow(_lists(_of_texts(mode, list(stop_words), *ngram_range), size, held), _LISTS)
+    marks = None if wanted is None else df.sparkSession.sparkContext.broadcast(np.packbits(wanted))
+    return df.select(lowered(text).alias("text")).mapInArrow(_lists(_of_texts(mode, list(stop_words), *ngram_range, marks), size, held), _LISTS)
+
+
+def bucket_counts(
+    df: DataFrame, text: str, mode: str = "train", stop_words: Sequence[str] = (), ngram_range: tuple[int, int] = (1, 1),
+    buckets: int = BUCKETS,
+) -> np.ndarray:
+    """Occurrences of terms by bucket; a task sends one array for each range of buckets, and the driver holds their sums."""
+    stop, (lo, hi), ranges = list(stop_words), ngram_range, min(RANGES, buckets)
+    own = buckets // ranges
+
+    def counted(batches):
+        sums, stops = np.zeros(buckets, np.int64), pa.array(stop, pa.string()) if stop else None
+        for batch in batches:
+            for _, words in word_lists(batch.column("text"), mode):
+                for places in run_buckets(words, lo, hi, stops, buckets):
+                    np.add.at(sums, places, 1)
+        for i, part in enumerate(sums.reshape(ranges, own)):
+            most = part.max()
+            if most:
+                data = part.astype(np.int32 if most < 2**31 else np.int64).tobytes()
+                yield pa.record_batch({"range": pa.array([i], pa.int32()), "counts": pa.array([data], pa.binary())})
+
+    def added(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, data in zip(batch.column("range").to_pylist(), batch.column("counts"), strict=True):
+                part = held.setdefault(i, np.zeros(own, np.int64))
+                part += np.frombuffer(data.as_buffer(), np.int32 if len(data.as_buffer()) == 4 * own else np.int64)
+        for i, part in held.items():
+            yield pa.record_batch({"range": pa.array([i], pa.int32()), "counts": pa.array([part.tobytes()], pa.binary())})
+
+    schema = "range int, counts binary"
+    parts = df.select(lowered(text).alias("text")).mapInArrow(counted, schema)
+    out = np.zeros((ranges, own), np.int64)
+    for row in parts.repartition(ranges, "range").mapInArrow(added, schema).collect():
+        out[row.range] = np.frombuffer(row.counts, np.int64)
+    return out.reshape(-1)
 
 
 def corpus_stats(df: DataFrame, text: str, **options) -> DataFrame:
@@ -90,12 +135,25 @@ def _summed(lists: DataFrame) -> DataFrame:
     return lists.groupBy("term").agg(F.sum("cf").alias("cf"), F.sum("df").alias("df"))
 
 
-def top_terms(df: DataFrame, text: str, size: int, **options) -> DataFrame:
+def top_terms(df: DataFrame, text: str, size: int, held: int = HELD, buckets: int = BUCKETS, **options) -> DataFrame:
     """``(term, cf, df)`` of the ``size`` terms with most occurrences; ties go by term.
 
-    Exact at every size and for every distribution; where all counts are alike, all terms are summed.
+    Exact at every size and for every distribution.  No term has more occurrences than its bucket, so terms of the
+    fullest buckets are counted first.  If ``size`` of them have as many as the last of these buckets, all others have
+    fewer; else the count of their last is a bound that no other bucket below it can reach.  Where all counts are
+    alike, all terms are summed.  The texts are read two or three times.
     """
-    return _top(term_lists(df, text, size=size, **options), size)
+    counts = bucket_counts(df, text, buckets=buckets, **options)
+    floor = int(np.partition(counts, buckets - 2 * size)[buckets - 2 * size]) if 0 < 2 * size <= buckets else 0
+    if floor > 1:
+        found = stored(_summed(term_lists(df, text, held=held, wanted=counts >= floor, **options)), "found")
+        top = found.orderBy(F.desc("cf"), "term").limit(size)
+        least = top.agg(F.min("cf")).first()[0]
+        if least >= floor:
+            return top
+        floor = least
+    wanted = counts >= floor if floor > 1 else None
+    return _top(term_lists(df, text, size=size, held=held, wanted=wanted, **options), size)
 
 
 def top_counts(counts: DataFrame, size: int, held: int = HELD) -> DataFrame:

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from labelforge.functions import html as H
-from labelforge.operators import counting, features, topk
+from labelforge.operators import counting, features, score, topk
 
 TEXTS = ["a bb cc bb cc", "", "x_1 été-bb  cc", "a b c", "bb cc bb"]
 
@@ -73,3 +73,26 @@ def test_vocabulary_reads_texts_once(spark):
     assert rows(features.fit_vocabulary(docs, counts, 3)) == rows(features.fit_vocabulary(docs, counts.where("true"), 3))
     few = counts.where("id > 1")
     assert not hasattr(few, "_texts") and [r.term for r in features.fit_vocabulary(docs, few, 1).collect()] == ["b"]
+
+
+def test_known_terms_of_rows(spark):
+    """Terms of one to three words, also where a longer one has no shorter one at its front, and other terms stay in the worker."""
+    docs = spark.createDataFrame(
+        [(1, "a b a b c"), (2, "c c"), (3, None), (None, "b c the a"), (1, "zz a"), (5, "zz")], "id long, text string")
+    terms = ["a", "a b", "b c d", "a b c", "c c", "", "zz top", "b a"]
+    got = features.known_counts(docs, "id", "text", terms, "export", ["the"], (1, 3)).collect()
+    want = [(1, "a", 2), (1, "a b", 2), (1, "b a", 1), (1, "a b c", 1), (2, "c c", 1), (None, "a", 1), (1, "a", 1), (3, None, None), (5, None, None)]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(((r.id, None if r.place is None else terms[r.place], r.n) for r in got), key=key) == sorted(want, key=key)
+    assert features.known_counts(docs, "id", "text", [], "export", (), (1, 2)).where("place IS NULL").count() == 6
+
+
+@pytest.mark.parametrize("mode", ["train", "export"])
+def test_scores_by_numbers_and_by_terms(spark, monkeypatch, mode):
+    """One score for each id, with repeated ids and terms, and NULLs; only rows of known terms meet the join."""
+    docs = spark.createDataFrame([(1, "aa bb aa bb cc"), (1, "bb"), (None, "aa"), (None, "cc"), (2, None), (3, "xx")], "id long, text string")
+    rows = [("aa", 1.0, [1.0, 0.5]), ("aa bb", 2.0, [0.25, None]), ("aa bb", 1.5, [0.0, 1.0]), (None, 1.0, [1.0, 1.0]), ("cc", None, [1.0, 1.0]), ("bb", 0.5, [-1.0, 3.0])]
+    params = score.LinearParams(["x", "y"], [0.0, 0.1], spark.createDataFrame(rows, "term string, idf double, coef array<double>"), len(rows), stop_words=["bb"])
+    got = {r[0]: r[1:] for r in score.score(docs, params, "id", "text", mode).collect()}
+    monkeypatch.setattr(score, "HELD", 0)
+    assert got == {r[0]: r[1:] for r in score.score(docs, params, "id", "text", mode).collect()} and got.keys() == {1, 2, 3, None}

@@ -71,3 +71,31 @@ def test_rare_terms_do_not_travel(spark):
 
 def test_no_rows(spark):
     assert topk.top_terms(table(spark, [], 1), "text", 5).count() == 0 and topk.corpus_stats(table(spark, [None, ""]), "text").count() == 0
+
+
+@pytest.mark.parametrize("size", [1, 7, 25, 500])
+@pytest.mark.parametrize("buckets", [16, 64, 1 << 12])
+def test_top_terms_by_crowded_buckets(spark, size, buckets):
+    """A bound from buckets that many terms share is too high, and terms below it are still found; all ties are seen."""
+    texts = some_texts() + ["tie1 tie2 tie3 tie4"] * 9
+    cf, df = plain(texts, 1, 2)
+    want = sorted(cf, key=lambda t: (-cf[t], t))[:size]
+    counts = topk.bucket_counts(table(spark, texts), "text", ngram_range=(1, 2), buckets=buckets)
+    assert len(counts) == buckets and counts.sum() == sum(cf.values())
+    got = topk.top_terms(table(spark, texts), "text", size, ngram_range=(1, 2), buckets=buckets).collect()
+    assert [(r.term, r.cf, r.df) for r in got] == [(t, cf[t], df[t]) for t in want]
+
+
+def test_rare_terms_are_not_written(spark, monkeypatch):
+    """Of 10,000 terms that occur once, those in a bucket with others at most become rows."""
+    texts = [" ".join(f"once{i}" for i in range(j * 100, j * 100 + 100)) + " often" * 50 + " again" * 40 + " third" * 30 + " last" * 20 for j in range(100)]
+    written = []
+
+    def stored(df, name="stage", plain=topk.stored):
+        out = plain(df, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(topk, "stored", stored)
+    assert [r.term for r in topk.top_terms(table(spark, texts), "text", 2).collect()] == ["often", "again"]
+    assert written and max(written) < 100
