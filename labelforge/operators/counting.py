@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +35,48 @@ def word_lists(texts: pa.Array, mode: str) -> Iterator[tuple[int, pa.ListArray]]
     least = 1 if length == "+" else int(length.strip("{,}"))
     ends = np.cumsum([0, *pc.binary_length(texts).to_numpy(zero_copy_only=False)])
     for lo, hi in cuts(ends, BYTES):
-        lists = pc.split_pattern_regex(texts.slice(lo, hi - lo), f"[^{letters}]+")
-        flat, rows = lists.flatten(), np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-        kept = pc.greater_equal(pc.utf8_length(flat), least)
-        flat, rows = flat.filter(kept), rows[kept.to_numpy(zero_copy_only=False)]
-        words = pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(hi - lo + 1)).astype(np.int32)), flat)
+        words = _words(texts.slice(lo, hi - lo), letters, least)
         for first, last in cuts(words.offsets.to_numpy(), WORDS):
             yield lo + first, words.slice(first, last - first)
 
 
+def _words(texts: pa.Array, letters: str, least: int) -> pa.ListArray:
+    """Runs of at least ``least`` characters of each text that are in the class ``letters``, found by their bytes."""
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = texts.buffers()[2]
+    data, ends = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data else np.zeros(0, np.uint8), ends - ends[0]
+    inside = np.append(_in_class(tuple(map(chr, range(128))), letters), np.zeros(128, bool))[data]
+    # Characters of several bytes, each as one number; a part has few different ones.
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        size = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
+        byte = [np.where(size > k, data[np.minimum(lead + k, len(data) - 1)], 0).astype(np.int64) for k in range(4)]
+        code, which = np.unique((byte[0] << 24) | (byte[1] << 16) | (byte[2] << 8) | byte[3], return_inverse=True)
+        known = _in_class(tuple(int(c).to_bytes(4, "big").rstrip(b"\0").decode("utf-8", "replace") for c in code), letters)[which]
+        for k in range(4):
+            inside[lead[known & (size > k)] + k] = True
+    # A word starts where the byte before is outside or in another row, and ends likewise.
+    full = np.diff(ends) > 0
+    start, last = inside.copy(), inside.copy()
+    start[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    for mark, edge in ((start, ends[:-1][full]), (last, ends[1:][full] - 1)):
+        mark[edge] = inside[edge]
+    start = np.flatnonzero(start)
+    offsets = np.append(0, np.cumsum(np.flatnonzero(last) + 1 - start)).astype(np.int32)
+    flat = pa.Array.from_buffers(pa.string(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+    first = np.searchsorted(start, ends)
+    if least > 1:
+        long = pc.greater_equal(pc.utf8_length(flat), least)
+        flat, first = flat.filter(long), np.append(0, np.cumsum(long.to_numpy(zero_copy_only=False)))[first]
+    return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), flat)
+
+
+@lru_cache(maxsize=64)
+def _in_class(chars: tuple[str, ...], letters: str) -> np.ndarray:
+    return pc.match_substring_regex(pa.array(chars, pa.string()), f"^[{letters}]").to_numpy(zero_copy_only=False)
+
+
 def _coded(words: pa.ListArray, lo: int, hi: int, stop_words: pa.Array | None) -> Iterator[tuple[np.ndarray, list[np.ndarray], pa.Array]]:
     """``(row, numbers of the words, words)`` of the runs of ``lo`` to ``hi`` words, by length of run."""
     flat, rows = words.flatten(), np.repeat(np.arange(len(words)), np.diff(words.offsets.to_numpy()))

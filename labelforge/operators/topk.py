@@ -25,7 +25,7 @@ from .counting import all_terms, lowered, run_buckets, word_lists
 #: Different terms that a task holds before it closes a list.
 HELD = 1_000_000
 #: Buckets of terms, and the ranges of them that are added up apart.
-BUCKETS, RANGES = 1 << 22, 128
+BUCKETS, RANGES = 1 << 22, 64
 _LISTS = "list long, term string, cf long, df long, head boolean"
 
 

@@ -96,3 +96,15 @@ def test_scores_by_numbers_and_by_terms(spark, monkeypatch, mode):
     got = {r[0]: r[1:] for r in score.score(docs, params, "id", "text", mode).collect()}
     monkeypatch.setattr(score, "HELD", 0)
     assert got == {r[0]: r[1:] for r in score.score(docs, params, "id", "text", mode).collect()} and got.keys() == {1, 2, 3, None}
+
+
+@pytest.mark.parametrize("mode", list(counting.WORD_PATTERNS))
+def test_words_are_found_by_their_bytes(monkeypatch, mode):
+    """Characters of one to four bytes, in slices and by parts, as the pattern finds them."""
+    monkeypatch.setattr(counting, "BYTES", 50)
+    letters = counting.WORD_PATTERNS[mode].partition("]")[0] + "]"
+    rng = np.random.default_rng(5)
+    texts = pa.array(["", "é", "_", "", "漢", *("".join(rng.choice(list("aZé_ 9\tßœ漢字िक्́😀𝒳٣½ ‍.-Ⅷº\0"), 12)) for _ in range(300)), ""]).slice(1)
+    least = 2 if counting.WORD_PATTERNS[mode].endswith("{2,}") else 1
+    lists = counting.pc.split_pattern_regex(texts, letters.replace("[", "[^") + "+").to_pylist()
+    assert [w for _, part in counting.word_lists(texts, mode) for w in part.to_pylist()] == [[w for w in row if len(w) >= least] for row in lists]
