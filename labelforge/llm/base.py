@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.common import stored
+from ..operators.common import stored, tidy
 
 __all__ = ["arrow_map", "components", "deal", "signed", "stored", "table", "tidied", "tidy"]
 Batches = Iterator[pa.RecordBatch]
@@ -24,15 +23,6 @@ def signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values, np.uint64).view(np.int64))
 
 
-def tidy() -> None:
-    """Give freed memory back to the system, where it can be told to: workers live on between stages."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (AttributeError, OSError):
-        pass
-
-
 def tidied(fn: Callable) -> Callable:
     """``fn`` of a group, with freed memory given back after each."""
     def run(group: pa.Table) -> pa.Table:

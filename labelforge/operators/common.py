@@ -1,9 +1,11 @@
-"""Folders for written stages, and joins with tables that are expected to be small."""
+"""Folders for written stages, memory of workers, and joins with tables that are expected to be small."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -37,7 +39,25 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     path = shared_dir(spark, name)
     df.write.parquet(path)
     forget_at_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._folder = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the folder of a :func:`stored` table that nothing reads any more."""
+    spark = table.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(table._folder)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def tidy() -> None:
+    """Give freed memory back to the system, where it can be told to: workers live on between stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:

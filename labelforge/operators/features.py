@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import topk
-from .common import stored
+from .common import stored, tidy
 from .counting import TermTable, lowered, row_terms, word_lists
 
 
@@ -74,11 +74,80 @@ def known_counts(
                     yield _rows(docs, pa.array(row), pa.array(place.astype(np.int32)), pa.array(n.astype(np.int32)), "place")
                 none = np.flatnonzero(~seen)
                 yield _rows(docs, pa.array(none), pa.nulls(len(none), pa.int32()), pa.nulls(len(none), pa.int32()), "place")
+        tidy()
 
     docs = df.select(doc, lowered(text).alias("__text"))
     return docs.mapInArrow(run, T.StructType([docs.schema[0], T.StructField("place", T.IntegerType()), T.StructField("n", T.IntegerType())]))
 
 
+def term_rows(
+    df: DataFrame, doc: str, text: str, vocab: DataFrame, mode: str = "train", stop_words: Sequence[str] = (),
+    ngram_range: tuple[int, int] = (1, 1), keep: Sequence[str] = (), sublinear: bool = True,
+) -> DataFrame:
+    """``(doc, *keep, indices, values, norm)``: one row for each row of ``df``, with the weights of its terms by feature index.
+
+    The values are L2-normalised; ``norm`` is what they were divided by.  A row is made where its text is read: terms outside
+    ``vocab`` do not become texts, and nothing is shuffled.  The vocabulary is broadcast.
+    """
+    known = vocab.select("term", "feature_idx", "idf").orderBy("feature_idx").collect()
+    index, idf = np.array([r[1] for r in known], np.int32), np.array([r[2] for r in known], float)
+    shared = df.sparkSession.sparkContext.broadcast((TermTable([r[0] for r in known]), index, idf))
+    kept, stop, (lo, hi) = df.select(doc, *keep), list(stop_words), ngram_range
+
+    def run(batches):
+        stops, (table, index, idf) = pa.array(stop, pa.string()) if stop else None, shared.value
+        for batch in batches:
+            others = batch.drop_columns(["__text"])
+            for first, words in word_lists(batch.column("__text"), mode):
+                found = [*zip(*table.row_terms(words, lo, hi, stops))] or [[np.zeros(0, np.int64)]] * 3
+                row, place, n = map(np.concatenate, found)
+                order = np.lexsort((place, row))
+                row, place, n = row[order], place[order], n[order].astype(float)
+                value = (1 + np.log(n) if sublinear else n) * idf[place]
+                norm = np.sqrt(np.bincount(row, value * value, len(words)))
+                ends = pa.array(np.searchsorted(row, np.arange(len(words) + 1)), pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (index[place], value / norm[row])]
+                yield pa.record_batch([*others.slice(first, len(words)).columns, *lists, pa.array(norm)], names=[*others.schema.names, *_ROW])
+        tidy()
+
+    fields = zip(_ROW, (T.ArrayType(T.IntegerType()), T.ArrayType(T.DoubleType()), T.DoubleType()))
+    schema = T.StructType([*kept.schema.fields, *[T.StructField(n, t) for n, t in fields]])
+    return df.select(doc, *keep, lowered(text).alias("__text")).mapInArrow(run, schema)
+
+
+_ROW = ("indices", "values", "norm")
+
+
+def _several(rows: DataFrame, doc: str) -> DataFrame:
+    """``(_doc, _whole)`` of documents that stand in several rows, or have no id; ``_whole`` is the norm of all rows together."""
+    groups = rows.groupBy(F.col(doc).alias("_doc")).agg(F.sqrt(F.sum(F.col("norm") * F.col("norm"))).alias("_whole"), F.count("*").alias("_n"))
+    return stored(groups.where("_n > 1 OR _doc IS NULL").drop("_n"), "several")
+
+
+def row_entries(rows: DataFrame, doc: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``(doc, *keep, feature_idx, weight)`` of stored ``rows`` of :func:`term_rows`, as :func:`tfidf` has them.
+
+    Rows of one ``doc``, or without one, share a norm.  No row moves, but for the norms of such documents.
+    """
+    share = F.coalesce(F.col("norm") / F.col("_whole"), F.lit(1.0))
+    shared = rows.join(_several(rows, doc), F.col(doc).eqNullSafe(F.col("_doc")), "left")
+    long = shared.select(doc, *keep, share.alias("_share"), F.inline(F.arrays_zip("indices", "values")))
+    return long.select(doc, *keep, F.col("indices").alias("feature_idx"), (F.col("values") * F.col("_share")).alias("weight"))
+
+
+def joined_rows(rows: DataFrame, doc: str, keep: Sequence[str] = ()) -> DataFrame:
+    """:func:`to_sparse` of stored ``rows`` of :func:`term_rows`: each has the terms of all rows of its ``doc``, and none without one.
+
+    Only rows of documents that stand in several rows move.
+    """
+    several = _several(rows, doc)
+    same = F.col(doc).eqNullSafe(F.col("_doc"))
+    moved = rows.join(several, same, "left_semi")
+    pairs = row_entries(moved.where(F.col(doc).isNotNull()), doc).withColumnRenamed(doc, "_doc")
+    return rows.join(several, same, "left_anti").select(doc, *keep, "indices", "values").unionByName(
+        to_sparse(pairs, moved.withColumn("_doc", F.col(doc)), "_doc", [doc, *keep]).drop("_doc"))
+
+
 def _rows(batch: pa.RecordBatch, row: pa.Array, term: pa.Array, n: pa.Array, name: str = "term") -> pa.RecordBatch:
     """``(*columns of batch, term, n)`` with the given rows of ``batch``."""
     return pa.record_batch([*batch.take(row).columns, term, n], names=[*batch.schema.names, name, "n"])
@@ -155,7 +224,11 @@ def to_vectors(weights: DataFrame, docs: DataFrame, doc: str, size: int, keep: S
     A document has at most ``size`` features.  The vector is built inside the JVM from
     the four fields that a vector column is stored as.
     """
-    sparse = to_sparse(weights, docs, doc, keep)
+    return as_vectors(to_sparse(weights, docs, doc, keep), doc, size, keep)
+
+
+def as_vectors(sparse: DataFrame, doc: str, size: int, keep: Sequence[str] = ()) -> DataFrame:
+    """``(doc, *keep, features)`` from the rows of :func:`to_sparse`."""
     fields = F.struct(F.lit(0).alias("type"), F.lit(size).alias("size"), "indices", "values")
     schema = T.StructType([T.StructField("v", VectorUDT())])
     vector = F.from_json(F.to_json(F.struct(fields.alias("v"))), schema)["v"]

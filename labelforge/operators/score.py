@@ -46,21 +46,27 @@ def softmax(scores: Column) -> Column:
     )
 
 
-def score(df: DataFrame, params: LinearParams, doc: str, text: str, tokenizer: str = "export") -> DataFrame:
+def model_counts(df: DataFrame, params: LinearParams, doc: str, text: str, tokenizer: str = "export") -> DataFrame:
+    """``(doc, place, n)``: how often each term of a model of up to ``HELD`` terms occurs in each row, by its place among the sorted terms."""
+    names = [r.term for r in params.terms.where("term IS NOT NULL").select("term").distinct().orderBy("term").collect()]
+    return known_counts(df, doc, text, names, tokenizer, params.stop_words if tokenizer == "train" else (), params.ngram_range)
+
+
+def score(df: DataFrame, params: LinearParams, doc: str, text: str, tokenizer: str = "export", counts: DataFrame | None = None) -> DataFrame:
     """``(doc, predicted_label, confidence, probs array<double>)`` for every row.
 
     A document's terms stay in its task: they are counted in the row, meet the
     broadcast terms, and are added up before the shuffle, which carries one row of sums
     per document.  The norm divides the sums afterwards, so no second pass is needed.
     Where a task can hold the model's terms, only these leave its worker, as numbers.
-    ``tokenizer='train'`` also removes the stop words the model was trained without.
+    ``tokenizer='train'`` also removes the stop words the model was trained without.  ``counts`` may hold the stored
+    :func:`model_counts` of a model with the same terms.
     """
     stop_words = params.stop_words if tokenizer == "train" else ()
     if params.n_terms <= HELD:
         place = F.dense_rank().over(Window.orderBy("term")) - 1
         terms = stored(params.terms.where("term IS NOT NULL").select(place.alias("place"), "term", "idf", "coef"), "terms")
-        names = [r.term for r in terms.select("place", "term").distinct().orderBy("place").collect()]
-        counts = known_counts(df, doc, text, names, tokenizer, stop_words, params.ngram_range)
+        counts = model_counts(df, params, doc, text, tokenizer) if counts is None else counts
         return _scored(counts, terms.drop("term"), "place", params, doc)
     counts = term_counts(
         df, doc, text, tokenizer, stop_words, params.ngram_range, keep_empty=True

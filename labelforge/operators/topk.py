@@ -19,7 +19,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lookup_join, stored
+from .common import lookup_join, stored, tidy
 from .counting import all_terms, lowered, run_buckets, word_lists
 
 #: Different terms that a task holds before it closes a list.
@@ -58,6 +58,8 @@ def _lists(parts, size: int, held: int):
                         name, tables, rows = name + 1, [], 0
         if rows:
             yield from close(tables, name)
+        tables.clear()
+        tidy()
     return run
 
 
@@ -108,6 +110,7 @@ def bucket_counts(
             if most:
                 data = part.astype(np.int32 if most < 2**31 else np.int64).tobytes()
                 yield pa.record_batch({"range": pa.array([i], pa.int32()), "counts": pa.array([data], pa.binary())})
+        tidy()
 
     def added(batches):
         held: dict[int, np.ndarray] = {}

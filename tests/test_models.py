@@ -185,3 +185,28 @@ def test_missing_labels_are_a_class(spark, docs):
 def test_missing_predictions_count_as_wrong(spark):
     df = spark.createDataFrame([("a", "a"), ("a", None)], "truth string, pred string")
     assert evaluate.accuracy(df, "truth", "pred").first()[0] == 0.5
+
+
+def test_features_come_from_the_texts_alone(spark, docs, monkeypatch):
+    """No long table of terms is made on the way to the solver, also where ids come twice or are missing; the weights are those of the long tables."""
+    import labelforge.operators.features as f
+
+    odd = docs.unionByName(docs.where("id % 10 = 0")).unionByName(docs.where("id % 7 = 0").withColumn("id", F.lit(None).cast("long")))
+    odd = odd.unionByName(spark.createDataFrame([(999, "sky", "!!"), (3, "sea", "wave fish wave"), (5, "land", None)], docs.schema))
+    counts = f.term_counts(odd, "id", "text", "train", ["the"], (1, 2), ["label"]).persist()
+    old = models.build_features(odd, "id", "text", "label", 30, (1, 2), ["the"], counts)
+    assert old.entries.count() and old.sparse.count()
+    for where, name in ((models, "term_counts"), (models, "tfidf"), (models.topk, "top_counts")):
+        monkeypatch.setattr(where, name, None)
+    new = models.build_features(odd, "id", "text", "label", 30, (1, 2), ["the"])
+    assert new.n_rows == old.n_rows and new.classes == old.classes
+    assert sorted(map(tuple, new.vocab.collect())) == sorted(map(tuple, old.vocab.collect()))
+
+    def entries(feats):
+        return collections.Counter((r["id"], r["label"], r["feature_idx"], r["term"], round(r["weight"], 9)) for r in feats.weights.collect())
+
+    def rows(feats):
+        return collections.Counter((r["id"], r["label"], tuple(r["indices"]), tuple(round(x, 9) for x in r["values"])) for r in feats.sparse.collect())
+
+    assert entries(new) == entries(old) and rows(new) == rows(old)
+    assert sum(rows(new).values()) == odd.count() and any(i is None for i, *_ in rows(new))
