@@ -210,3 +210,13 @@ def test_features_come_from_the_texts_alone(spark, docs, monkeypatch):
 
     assert entries(new) == entries(old) and rows(new) == rows(old)
     assert sum(rows(new).values()) == odd.count() and any(i is None for i, *_ in rows(new))
+
+
+def test_variants_count_the_terms_of_a_range_once(docs, monkeypatch):
+    calls, top_terms = [], models.topk.top_terms
+    monkeypatch.setattr(models.topk, "top_terms", lambda *a, **k: calls.append(a[2]) or top_terms(*a, **k))
+    monkeypatch.setattr(models, "term_counts", None)  # no long table of terms is written
+    variants = [{"variant_id": str(n), "description": "", "kind": "nb", "alpha": 0.1, "size": n, "ngram_range": (1, 2)} for n in (10, 30)]
+    train, test = docs.where("id % 4 > 0"), docs.where("id % 4 = 0")
+    rows = models.run_variants(train, test, "id", "text", "label", variants, ["the"], ["sky"]).collect()
+    assert calls == [30] and [r["variant_id"] for r in rows] == ["10", "30"] and rows[1]["accuracy"] > 0.6
